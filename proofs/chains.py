@@ -17,7 +17,9 @@ from tidelake.plans.steps import run_job, run_sql_step
 from tidelake.plans.trips import trip_ingest_chain
 from tidelake.schemas import TRIP_FEEDS
 from tidelake.sinks.catalog import create_databases, create_tables
-from tidelake.sinks.parquet import overwrite_partitions, overwrite_table, replace_landing
+from tidelake.sinks.parquet import (
+    land_domain, overwrite_partitions, overwrite_table, replace_landing,
+)
 from tidelake.sources.csv import load_csv_as_view
 from tidelake.sources.tables import partitioned_parquet_scan
 
@@ -111,8 +113,8 @@ def geo_chain(spark, sf_dir):
 
 
 def land_event_feeds(lake, sf_dir):
-    for feed, raw in event_feeds(lake.spark, sf_dir).items():
-        replace_landing(raw, lake.path(f"stg.tlc_{feed}_trip"))
+    feeds = event_feeds(lake.spark, sf_dir)
+    land_domain(lake, "tlc", {f"stg.tlc_{feed}_trip": raw for feed, raw in feeds.items()})
 
 
 @proof("trip_ingest_chain", EVENT_UNION)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from proofs.registry import table
 from tidelake.functions.times import month_of, year_of
-from tidelake.lake import Lake, scratch_path
+from tidelake.lake import Lake, scratch_path, stage
 from tidelake.operators.joins import join_dimension
 from tidelake.schemas import TABLES, union_trip_schema
 
@@ -87,8 +87,17 @@ NATION_ZONES = """
 
 
 def line_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The order lines as four trip feeds; each line is in exactly one of them."""
-    trips = line_trips(spark, sf_dir)
+    """The order lines as four trip feeds; each line is in exactly one of them.
+
+    The joined lines are written once, as the feeds' common origin.
+    """
+    trips = stage(
+        line_trips(spark, sf_dir).select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
+            "o_orderdate", "pulocationid", "dolocationid",
+        )
+    )
     pickup, dropoff = F.col("o_orderdate").cast("string"), F.col("l_shipdate").cast("string")
     at = [
         F.col("pulocationid").cast("bigint").alias("pulocationid"),

@@ -32,16 +32,17 @@ def view_name(name: str) -> str:
 def scratch_path(spark: SparkSession) -> str:
     """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting a temporary folder is used, in local mode only: on a cluster no
-    machine's own disk is visible to the others.
+    Each application has one folder there, which may be removed once it has ended. Without
+    that setting a temporary folder is used, in local mode only: on a cluster no machine's own
+    disk is visible to the others.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SCRATCH.get(app)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        app = spark.sparkContext.applicationId
-        root = _LOCAL_SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="tidelake-"))
-    return f"{root.rstrip('/')}/tidelake/{uuid.uuid4().hex}"
+        root = _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tidelake-")
+    return f"{root.rstrip('/')}/tidelake/{app}/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:

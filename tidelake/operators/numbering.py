@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidelake.lake import scratch_path
+from tidelake.lake import Lake, scratch_path
 from tidelake.operators.joins import broadcast_if_small
 
 _FILE = "_row_file"
@@ -80,3 +80,8 @@ def sample_every_nth(
 def preview(df: DataFrame, n: int = 1, order_by: Sequence[str] = ()) -> DataFrame:
     """The first n rows; any n rows if no order is given."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)
+
+
+def preview_tables(lake: Lake, names: Iterable[str], n: int = 1) -> dict[str, DataFrame]:
+    """The first rows of several catalog tables."""
+    return {name: preview(lake.spark.table(lake.catalog_name(name)), n) for name in names}

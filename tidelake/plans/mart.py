@@ -58,9 +58,14 @@ def trip_metrics(trips: DataFrame, metered: Sequence[str] = METERED_TYPES) -> Da
 
 
 def join_hour_dim(trips: DataFrame, hours: DataFrame, how: str = "inner") -> DataFrame:
-    """Hour columns by the computed key of the pickup time."""
+    """Hour columns by the computed key of the pickup time.
+
+    A time that cannot be read gets a key that no hour has. So the key is never NULL, and the
+    optimizer adds no filter that would read the text a second time.
+    """
     take = {"dwid": "hour_dwid", **{c: c for c in HOUR_COLUMNS}}
-    return join_dimension(trips, hours, hour_key("pickup_datetime"), "dwid", take, how)
+    key = F.coalesce(hour_key("pickup_datetime"), F.lit(-1))
+    return join_dimension(trips, hours, key, "dwid", take, how)
 
 
 def join_pickup_zone(trips: DataFrame, zones: DataFrame, how: str = "inner") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.lake import stage
+from tidelake.lake import Lake, stage
+from tidelake.schemas import TABLES
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:
@@ -58,3 +59,14 @@ def replace_landing(df: DataFrame, path: str, header: bool = True) -> None:
         writer.text(path)
     else:
         writer.option("header", header).csv(path)
+
+
+def land_domain(lake: Lake, domain: str, feeds: Mapping[str, DataFrame]) -> None:
+    """Replace a domain's whole raw area: a folder without new rows is left empty."""
+    names = [n for n in TABLES if n.startswith(f"stg.{domain}_")]
+    unknown = set(feeds) - set(names)
+    if unknown:
+        raise ValueError(f"no raw tables of {domain}: {sorted(unknown)}")
+    for name in names:
+        nothing = lake.spark.createDataFrame([], lake.schema(name))
+        replace_landing(feeds.get(name, nothing), lake.path(name))
