@@ -137,7 +137,9 @@ def mart(spark, sf_dir):
     hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
     overwrite_table(hours, lake.path(HOURS))
     zones = nation_zones(spark, sf_dir)
-    trip_mart(lake, line_feeds(spark, sf_dir), zones, order_by=UNION_COLUMNS)
+    trip_mart(
+        lake, line_feeds(spark, sf_dir), zones, order_by=UNION_COLUMNS, clustered=False
+    )
     return partitioned_parquet_scan(spark, lake.path(WIDE), lake.schema(WIDE))
 
 

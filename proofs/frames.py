@@ -45,10 +45,11 @@ def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = join_dimension(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         customers, F.col("o_custkey"), "c_custkey", {"c_nationkey": "pulocationid"},
+        fact_is_table=True,
     )
     trips = join_dimension(
         lines, orders, F.col("l_orderkey"), "o_orderkey",
-        {"o_orderdate": "o_orderdate", "pulocationid": "pulocationid"},
+        {"o_orderdate": "o_orderdate", "pulocationid": "pulocationid"}, fact_is_table=True,
     )
     suppliers = table(spark, sf_dir, "supplier")
     return join_dimension(
@@ -70,7 +71,8 @@ def nation_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
     return join_dimension(
-        nations, regions, F.col("n_regionkey"), "r_regionkey", {"r_name": "borough"}
+        nations, regions, F.col("n_regionkey"), "r_regionkey", {"r_name": "borough"},
+        fact_is_table=True,
     ).select(
         F.col("n_nationkey").cast("bigint").alias("locationid"),
         "borough",

@@ -7,6 +7,7 @@ from proofs.frames import (
     nation_zones, wide_sql,
 )
 from proofs.registry import proof, table
+from tidelake.lake import stage
 from tidelake.operators.dimensions import date_hour_dimension_of
 from tidelake.operators.numbering import surrogate_key
 from tidelake.plans.mart import (
@@ -35,7 +36,7 @@ def union(spark, sf_dir):
 def hour_join(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     trips = events.select("event_id", F.col("ts").cast("string").alias("pickup_datetime"))
-    hours = date_hour_dimension_of(events, "ts")
+    hours = stage(date_hour_dimension_of(events, "ts"))
     return join_hour_dim(trips, hours).drop("pickup_datetime")
 
 
@@ -93,6 +94,6 @@ def numbered_in_place(spark, sf_dir):
 @proof("wide_trips", wide_sql(LINE_UNION, NATION_ZONES, hours_sql("orders", "o_orderdate")))
 def wide(spark, sf_dir):
     """The wide mart over all order lines, numbered in a fixed order."""
-    hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
+    hours = stage(date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate"))
     trips = union_trips(line_feeds(spark, sf_dir))
     return wide_trips(trips, nation_zones(spark, sf_dir), hours, order_by=UNION_COLUMNS)

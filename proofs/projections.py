@@ -133,7 +133,7 @@ def shipments(spark, sf_dir):
     """Order lines with the time from order to shipping."""
     shipped = join_dimension(
         table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), F.col("l_orderkey"),
-        "o_orderkey", {"o_orderdate": "o_orderdate"},
+        "o_orderkey", {"o_orderdate": "o_orderdate"}, fact_is_table=True,
     )
     return shipped.withColumn("seconds", elapsed_seconds("o_orderdate", "l_shipdate"))
 

@@ -9,7 +9,7 @@ from proofs.frames import (
 from proofs.registry import proof, table
 from proofs.scans import ORDER_SCHEMA
 from tidelake.functions.text import strip_chars
-from tidelake.lake import scratch_path
+from tidelake.lake import scratch_path, stage
 from tidelake.operators.dimensions import date_hour_dimension_of
 from tidelake.operators.keyed import precombine, stamp_commit
 from tidelake.plans.mart import union_trips, wide_trips
@@ -64,7 +64,7 @@ def overwrite(spark, sf_dir):
 )
 def overwrite_mart(spark, sf_dir):
     """Write all months, then replace those of one year; their numbers start again."""
-    hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
+    hours = stage(date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate"))
     zones = nation_zones(spark, sf_dir)
     trips = union_trips(line_feeds(spark, sf_dir))
     path = scratch_path(spark)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.operators import joins
-from tidelake.operators.joins import frequent_keys, join_dimension, rows_without, size_in_bytes
+from tidelake.operators.joins import hot_keys, join_dimension, rows_without, size_in_bytes
 from tidelake.plans.mart import join_hour_dim, widen_trips
 
 
@@ -56,10 +56,19 @@ def test_hot_keys_of_a_large_dimension_are_joined_apart(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_frequent_keys(spark):
+def test_hot_keys(spark):
     fact, _ = sides(spark)
-    assert frequent_keys(fact, "k", 100) == [7]
-    assert frequent_keys(fact, "k", 10_000) == []
+    assert [r._hot_key for r in hot_keys(fact, "k", 100).collect()] == [7]
+    assert hot_keys(fact, "k", 10_000).isEmpty()
+
+
+def test_hot_keys_that_do_not_fit_are_reduced_to_hotter_ones(spark, monkeypatch):
+    """With room for one key's row only, the others go through the shuffle."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 60)
+    fact, dim = sides(spark)
+    want = sorted(fact.join(dim, fact.k == dim.key).select("id", "k", "name").collect())
+    got = join_dimension(fact, dim, F.col("k"), "key", {"name": "name"}, hot_rows=11)
+    assert sorted(got.collect()) == want
 
 
 def test_only_known_join_types(spark):

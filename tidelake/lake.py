@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -67,6 +69,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def partition_folder(path: str, partition: Mapping[str, str | None]) -> str:
+    """Folder of one partition, escaped as Spark's writer escapes it."""
+
+    def escaped(value: str | None) -> str:
+        if value is None or value == "":
+            return "__HIVE_DEFAULT_PARTITION__"
+        # The characters that are written as %XX in a partition folder.
+        return re.sub(
+            r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""",
+            lambda m: f"%{ord(m.group()):02X}", str(value),
+        )
+
+    return "/".join([path, *[f"{c}={escaped(v)}" for c, v in partition.items()]])
+
+
 @dataclass(frozen=True)
 class Lake:
     """One lake: its root path and, for several lakes in one catalog, a database prefix."""

@@ -6,12 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidelake.lake import stage
+
 #: A side is broadcast only if the exact size of its columns stays under this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: A key is joined apart from the others if the fact has at least this many rows of it.
-HOT_ROWS = 5_000_000
-#: So many of the most frequent keys are looked at; each further one has under 1/1000 of all rows.
-HOT_KEYS = 1000
+HOT_ROWS = 1_000_000
 
 
 def size_in_bytes(df: DataFrame) -> int:
@@ -31,16 +31,13 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return F.broadcast(df) if fits(df, limit) else df
 
 
-def frequent_keys(df: DataFrame, key: str, at_least: int) -> list:
-    """The keys with most rows, at most HOT_KEYS of them. Counts are combined before the shuffle."""
-    top = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count("*").alias("rows"))
-        .orderBy(F.desc("rows"), F.asc(key))
-        .limit(HOT_KEYS)
-    )
-    return [row[0] for row in top.filter(F.col("rows") >= at_least).collect()]
+def hot_keys(df: DataFrame, key: str, at_least: int) -> DataFrame:
+    """Keys with at least so many rows, as ``_hot_key`` with ``_rows``, written once.
+
+    Rows are counted before the shuffle too. There are at most ``rows / at_least`` such keys.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot_key"))
+    return stage(counts.agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= at_least))
 
 
 def join_dimension(
@@ -50,6 +47,7 @@ def join_dimension(
     dim_key: str,
     take: Mapping[str, str],
     how: str = "inner",
+    fact_is_table: bool = False,
     broadcast_bytes: int | None = None,
     hot_rows: int | None = None,
 ) -> DataFrame:
@@ -60,7 +58,9 @@ def join_dimension(
 
     A small dimension is broadcast, so the fact is not shuffled. For a larger one the fact's
     hot keys (and, in a left join, its NULL keys) are joined by broadcasting only the
-    dimension's few rows for them, and the rest with a shuffle, in which no key is hot.
+    dimension's rows for them, and the rest with a shuffle, in which no key is hot. The fact
+    is then read several times, so it is written once unless ``fact_is_table`` says that it
+    is a plain scan.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
@@ -71,21 +71,32 @@ def join_dimension(
     on = F.col("_fact_key") == F.col("_dim_key")
 
     def joined(a: DataFrame, b: DataFrame) -> DataFrame:
-        return a.join(b, on, how).drop("_fact_key", "_dim_key")
+        return a.join(b, on, how).drop("_fact_key", "_dim_key", "_hot_key")
 
     if fits(right, broadcast_bytes):
         return joined(left, F.broadcast(right))
-    hot = frequent_keys(left, "_fact_key", HOT_ROWS if hot_rows is None else hot_rows)
-    hot_right = right.filter(F.col("_dim_key").isin(hot))
-    if not hot or not fits(hot_right):
-        return joined(left, right)
-    is_hot = F.col("_fact_key").isin(hot)
+    if how == "inner":
+        left = left.filter(F.col("_fact_key").isNotNull())
+    if not fact_is_table:
+        left = stage(left)
+    least = HOT_ROWS if hot_rows is None else hot_rows
+    counted = hot_keys(left, "_fact_key", least)
+    while True:
+        hot = counted.filter(F.col("_rows") >= least).select("_hot_key")
+        if how == "inner" and hot.isEmpty():
+            return joined(left, right)
+        of_hot = right.join(
+            broadcast_if_small(hot), F.col("_dim_key") == F.col("_hot_key"), "left_semi"
+        )
+        if fits(hot) and fits(of_hot):
+            break
+        least *= 10  # fewer keys, each with more rows; the other join takes the rest
+    marked = left.join(F.broadcast(hot), F.col("_fact_key") == F.col("_hot_key"), "left")
+    is_hot = F.col("_hot_key").isNotNull()
     if how == "left":
         is_hot |= F.col("_fact_key").isNull()
-    else:
-        left = left.filter(F.col("_fact_key").isNotNull())
-    return joined(left.filter(is_hot), F.broadcast(hot_right)).unionAll(
-        joined(left.filter(~is_hot), right.filter(~F.col("_dim_key").isin(hot)))
+    return joined(marked.filter(is_hot), F.broadcast(of_hot)).unionAll(
+        joined(marked.filter(~is_hot), right)
     )
 
 

@@ -8,7 +8,7 @@ from tidelake.lake import Lake
 from tidelake.operators.dimensions import date_hour_dimension
 from tidelake.plans.geo import geo_dimension_chain
 from tidelake.plans.mart import HOURS, ZONES, trip_mart
-from tidelake.plans.trips import dwh_trips, month_of, trip_ingest_chain
+from tidelake.plans.trips import month_of, trip_ingest_chain
 from tidelake.schemas import TRIP_FEEDS
 from tidelake.sinks.parquet import overwrite_table
 from tidelake.sources.csv import csv_scan_with_schema
@@ -49,5 +49,7 @@ def monthly_build(
         lake, *(hours or (f"{year:04d}-01-01 00:00:00", f"{year:04d}-12-31 23:00:00"))
     )
     zones = partitioned_parquet_scan(lake.spark, lake.path(ZONES), lake.schema(ZONES))
-    feeds = {feed: dwh_trips(lake, feed) for feed in TRIP_FEEDS}
+    feeds = {
+        feed: lake.spark.table(lake.catalog_name(f"dwh.tlc_{feed}_trip")) for feed in TRIP_FEEDS
+    }
     trip_mart(lake, feeds, zones, month_of(year, month), how, order_by)

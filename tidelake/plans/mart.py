@@ -12,12 +12,12 @@ from tidelake.functions.rates import (
 )
 from tidelake.functions.text import route_label
 from tidelake.functions.times import elapsed_minutes, elapsed_seconds, hour_key
-from tidelake.lake import Lake
+from tidelake.lake import Lake, partition_folder
 from tidelake.operators.joins import join_dimension
 from tidelake.operators.numbering import surrogate_key
 from tidelake.operators.union import union_sources
 from tidelake.schemas import TABLES, TRIP_FEEDS, TRIP_RENAMES
-from tidelake.sinks.catalog import attach_partition
+from tidelake.sinks.catalog import attach_partition, register_catalog
 from tidelake.sinks.parquet import overwrite_partitions
 from tidelake.sources.tables import partitioned_parquet_scan
 
@@ -108,20 +108,25 @@ def wide_trips(
 
 
 def build_union_trip(
-    lake: Lake, feeds: Mapping[str, DataFrame], month: Mapping[str, str] | None = None
+    lake: Lake,
+    feeds: Mapping[str, DataFrame],
+    month: Mapping[str, str] | None = None,
+    clustered: bool = True,
 ) -> None:
-    """Replace the month of all sources at once, or every month; a rerun adds nothing."""
+    """Replace the month of all sources at once, or every month; a rerun adds nothing.
+
+    ``clustered`` says that the feeds' files hold few months each, as those of partitioned
+    tables do. Then the rows are written where they were read, without a shuffle.
+    """
     if month:
-        feeds = {
-            n: partition_filter(df, month) for n, df in feeds.items()
-        }
+        feeds = {name: in_month(df, month) for name, df in feeds.items()}
     overwrite_partitions(
         union_trips(feeds), lake.path(UNION), lake.table(UNION).partition_by,
-        rebalance=not month,
+        rebalance=not (month or clustered),
     )
 
 
-def partition_filter(df: DataFrame, month: Mapping[str, str]) -> DataFrame:
+def in_month(df: DataFrame, month: Mapping[str, str]) -> DataFrame:
     for column, value in month.items():
         df = df.filter(F.col(column) == value)
     return df
@@ -134,14 +139,18 @@ def build_wide_trip(
     how: str = "inner",
     order_by: Sequence[str] = (),
 ) -> None:
-    """Replace the month, or every month, of the wide mart. Numbers restart with each call."""
+    """Replace the month, or every month, of the wide mart. Numbers restart with each call.
+
+    Without ``order_by`` nothing is shuffled: trips stay with those of their month. Rows that
+    were sorted for their numbers are gathered by month again.
+    """
     trips = partitioned_parquet_scan(
         lake.spark, lake.path(UNION), lake.schema(UNION), **(month or {})
     )
     hours = lake.spark.read.schema(lake.schema(HOURS)).parquet(lake.path(HOURS))
     overwrite_partitions(
         wide_trips(trips, zones, hours, how, order_by), lake.path(WIDE),
-        lake.table(WIDE).partition_by, rebalance=not month,
+        lake.table(WIDE).partition_by, rebalance=bool(order_by) and not month,
     )
 
 
@@ -152,14 +161,25 @@ def trip_mart(
     month: Mapping[str, str] | None = None,
     how: str = "inner",
     order_by: Sequence[str] = (),
+    clustered: bool = True,
 ) -> None:
     """Union, then wide mart."""
     if set(feeds) - set(TRIP_FEEDS):
         raise ValueError(f"unknown feeds {set(feeds) - set(TRIP_FEEDS)}")
-    build_union_trip(lake, feeds, month)
+    build_union_trip(lake, feeds, month, clustered)
     build_wide_trip(lake, zones, month, how, order_by)
+    for name in (UNION, WIDE):
+        publish_months(lake, name, month)
+
+
+def publish_months(lake: Lake, name: str, month: Mapping[str, str] | None) -> None:
+    """Bring the catalog entry of a mart, if there is one, up to the months written."""
+    entry = lake.catalog_name(name)
+    if not lake.spark.catalog.tableExists(entry):
+        return
     if month:
-        for name in (UNION, WIDE):
-            folder = "/".join([lake.path(name), *[f"{c}={v}" for c, v in month.items()]])
-            if lake.spark.catalog.tableExists(lake.catalog_name(name)):
-                attach_partition(lake.spark, lake.catalog_name(name), month, folder)
+        attach_partition(lake.spark, entry, month, partition_folder(lake.path(name), month))
+    else:
+        register_catalog(
+            lake.spark, entry, lake.schema(name), lake.path(name), lake.table(name).partition_by
+        )

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
-from tidelake.lake import Lake
+from tidelake.lake import Lake, partition_folder
 from tidelake.operators.project import star_append
 from tidelake.schemas import TRIP_FEEDS
 from tidelake.sinks.catalog import attach_partition
@@ -31,7 +31,7 @@ def ingest_feed(lake: Lake, feed: str, year: int, month: int, header: bool = Tru
     overwrite_partitions(
         star_append(raw, partition), lake.path(ods), lake.table(ods).partition_by, rebalance=False
     )
-    location = "/".join([lake.path(ods), *[f"{c}={v}" for c, v in partition.items()]])
+    location = partition_folder(lake.path(ods), partition)
     for name in (ods, dwh):
         attach_partition(lake.spark, lake.catalog_name(name), partition, location)
 

@@ -7,7 +7,6 @@ the log, so a failed write leaves the table as it was.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -18,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidelake.lake import path_exists, stage
+from tidelake.lake import partition_folder, path_exists, stage
 from tidelake.operators.joins import broadcast_if_small
 from tidelake.operators.keyed import merge_rows, precombine, rows_without, stamp_commit
 from tidelake.sinks.parquet import append_table, overwrite_partitions
@@ -65,20 +64,6 @@ def _in_partitions(
     return stored.join(right, on, "left_semi")
 
 
-def _folder(path: str, row: Row, columns: Sequence[str]) -> str:
-    """Folder of one partition, escaped as Spark's writer escapes it."""
-    def escaped(value) -> str:
-        if value is None or value == "":
-            return "__HIVE_DEFAULT_PARTITION__"
-        # The characters that are written as %XX in a partition folder.
-        return re.sub(
-            r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""",
-            lambda m: f"%{ord(m.group()):02X}", str(value),
-        )
-
-    return "/".join([path, *[f"{c}={escaped(row[c])}" for c in columns]])
-
-
 def upsert_partitioned(
     batch: DataFrame,
     path: str,
@@ -125,7 +110,7 @@ def upsert_partitioned(
     # A partition that lost its last row is not in the output, so dynamic overwrite leaves it.
     no_rows = merged.drop(*partition_by).limit(0)
     for row in empty.toLocalIterator():
-        no_rows.write.mode("overwrite").parquet(_folder(path, row, partition_by))
+        no_rows.write.mode("overwrite").parquet(partition_folder(path, row.asDict()))
 
 
 def upsert_unpartitioned(

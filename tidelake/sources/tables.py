@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidelake.lake import path_exists
+from tidelake.lake import partition_folder, path_exists
 
 #: The log of an unpartitioned keyed table: one row per finished commit.
 COMMIT_LOG = StructType(
@@ -25,8 +25,17 @@ def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
 def partitioned_parquet_scan(
     spark: SparkSession, path: str, schema: StructType, **partition: str
 ) -> DataFrame:
-    """A ``year=/month=`` table. The schema keeps '01' a string; ``partition`` prunes folders."""
-    df = spark.read.schema(schema).parquet(path)
+    """A ``year=/month=`` table under a schema, which keeps '01' a string.
+
+    ``partition`` picks partitions. If its columns lead the table's layout, only that folder is
+    listed, not the whole table.
+    """
+    reader = spark.read.schema(schema)
+    folder = partition_folder(path, partition)
+    if partition and path_exists(spark, folder):
+        df = reader.option("basePath", path).parquet(folder)
+    else:
+        df = reader.parquet(path)
     for column, value in partition.items():
         df = df.filter(F.col(column) == value)
     return df
