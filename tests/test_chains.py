@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from tidelake.lake import path_exists, scratch_path, table_path, view_name
 from tidelake.operators.keyed import latest_commit
-from tidelake.plans.build import build_date_dimension, load_date_dimension, monthly_build
+from tidelake.plans.build import (
+    build_date_dimension, jobs, load_date_dimension, monthly_build,
+)
 from tidelake.plans.geo import DMT, DWH, ODS, STG, geo_dimension_chain
 from tidelake.plans.mart import HOURS, UNION, WIDE, trip_mart
 from tidelake.plans.steps import run_job, run_sql_step
@@ -270,3 +272,19 @@ def test_incremental_consumption_by_the_last_instant(lake):
     assert rows(snapshot_scan(spark, lake.path(DWH)), "locationid", "borough") == [
         (1, "b1"), (2, "b2"),
     ]
+
+
+def test_single_jobs_make_the_same_mart_as_the_build(lake):
+    prepared(lake)
+    hours = ("2020-01-01", "2020-01-31 23:00:00")
+    monthly_build(lake, 2020, 1, "20200102000000", ts=1, hours=hours)
+    columns = [c for c in TABLES[WIDE].schema.names if c != "dwid"]
+    want = rows(lake.spark.table(lake.catalog_name(WIDE)), *columns)
+    replace_landing(lake.spark.read.parquet(lake.path(HOURS)), lake.path("stg.pub_dim_date"))
+    steps = jobs(lake, 2020, 1, "20200102000000", ts=1)
+    assert len(steps) == 29
+    order = [n for n in steps if n.endswith("_create")]
+    order += [n for n in steps if not n.endswith("_create")]
+    for name in order:
+        steps[name]()
+    assert rows(lake.spark.table(lake.catalog_name(WIDE)), *columns) == want

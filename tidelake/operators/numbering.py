@@ -6,26 +6,25 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidelake.lake import Lake, scratch_path
+from tidelake.lake import Lake, scratch_path, stage
 from tidelake.operators.joins import broadcast_if_small
 
 _FILE = "_row_file"
 _ROW = "_row_index"
+#: Columns that tell equal rows apart.
+ADDRESS = ["_tie_file", "_tie_row"]
 
 
-def _written_with_address(df: DataFrame) -> DataFrame:
-    """Write ``df`` to scratch space; each row then has a fixed address: file and position."""
-    spark = df.sparkSession
-    path = scratch_path(spark)
-    df.write.parquet(path)
-    return (
-        spark.read.schema(df.schema)
-        .parquet(path)
-        .select(
-            "*",
-            F.col("_metadata.file_name").alias(_FILE),
-            F.col("_metadata.row_index").alias(_ROW),
-        )
+def with_address(df: DataFrame, is_scan: bool = False) -> DataFrame:
+    """Add the place each row was read from: a hash of its file's path and its position there.
+
+    ``is_scan`` says that ``df`` reads Parquet files, which know these places; any other frame
+    is written once first.
+    """
+    return (df if is_scan else stage(df)).select(
+        "*",
+        F.xxhash64("_metadata.file_path").alias(ADDRESS[0]),
+        F.col("_metadata.row_index").alias(ADDRESS[1]),
     )
 
 
@@ -42,20 +41,29 @@ def surrogate_key(
 
     Without ``order_by`` the order is arbitrary and no row is shuffled. With it, rows are
     range-sorted first. ``unique`` says that the order columns identify a row; otherwise equal
-    rows are told apart by their address in a first written copy, so that a large group of
-    them spreads over many tasks.
+    rows are told apart by their address, so that a large group of them spreads over many
+    tasks.
     """
     if name in df.columns:
         raise ValueError(f"column {name} exists")
     columns = df.columns
-    if order_by:
-        order = list(order_by)
-        if not unique:
-            df = _written_with_address(df)
-            order += [_FILE, _ROW]
-        df = df.orderBy(*order).select(*columns)
-    rows = _written_with_address(df)
+    if order_by and unique:
+        df = df.orderBy(*order_by)
+    elif order_by:
+        df = with_address(df).orderBy(*order_by, *ADDRESS).select(*columns)
 
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.parquet(path)
+    rows = (
+        spark.read.schema(df.schema)
+        .parquet(path)
+        .select(
+            "*",
+            F.col("_metadata.file_name").alias(_FILE),
+            F.col("_metadata.row_index").alias(_ROW),
+        )
+    )
     part = F.regexp_extract(_FILE, r"^part-(\d+)", 1).cast("bigint")
     before = Window.orderBy("part", _FILE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
+
+from pyspark.sql import DataFrame
 
 from tidelake.lake import Lake
 from tidelake.operators.dimensions import date_hour_dimension
-from tidelake.plans.geo import geo_dimension_chain
-from tidelake.plans.mart import HOURS, ZONES, trip_mart
-from tidelake.plans.trips import month_of, trip_ingest_chain
-from tidelake.schemas import TRIP_FEEDS
+from tidelake.plans.geo import (
+    conform_zones, geo_dimension_chain, load_zones, month_start, publish_zones,
+)
+from tidelake.plans.mart import (
+    HOURS, UNION, WIDE, ZONES, build_union_trip, build_wide_trip, publish_months, trip_mart,
+)
+from tidelake.plans.trips import load_feed, month_of, publish_feed, trip_ingest_chain
+from tidelake.schemas import TABLES, TRIP_FEEDS
+from tidelake.sinks.catalog import create_tables
 from tidelake.sinks.parquet import overwrite_table
 from tidelake.sources.csv import csv_scan_with_schema
 from tidelake.sources.tables import partitioned_parquet_scan
@@ -27,6 +35,63 @@ def load_date_dimension(lake: Lake, header: bool = True) -> None:
     overwrite_table(raw, lake.path(HOURS))
 
 
+def catalog_feeds(lake: Lake) -> dict[str, DataFrame]:
+    """The dwh trip tables."""
+    return {
+        feed: lake.spark.table(lake.catalog_name(f"dwh.tlc_{feed}_trip")) for feed in TRIP_FEEDS
+    }
+
+
+def current_zones(lake: Lake) -> DataFrame:
+    return partitioned_parquet_scan(lake.spark, lake.path(ZONES), lake.schema(ZONES))
+
+
+def jobs(
+    lake: Lake,
+    year: int,
+    month: int,
+    instant: str,
+    after: str | None = None,
+    ts: int | None = None,
+) -> dict[str, Callable[[], None]]:
+    """Each table's job by name, to run single steps of a month in any order.
+
+    ``<layer>_<domain>_create`` creates the tables of a domain, ``…_<table>_create`` one of
+    them; ``…_insert``, ``…_upsert`` and ``…_overwrite`` fill a table.
+    """
+    after = month_start(year, month) if after is None else after
+    partition = month_of(year, month)
+    found: dict[str, Callable[[], None]] = {}
+    for name, table in TABLES.items():
+        if name.startswith("stg.") or table.keys:
+            continue
+        job = name.replace(".", "_")
+        domain = "_".join(job.split("_")[:2])
+        same = [n for n in TABLES if n.replace(".", "_").startswith(f"{domain}_")]
+        same = [n for n in same if not TABLES[n].keys]
+        found[f"{domain}_create"] = partial(create_tables, lake, same, True)
+        found[f"{job}_create"] = partial(create_tables, lake, [name], True)
+    for feed in TRIP_FEEDS:
+        found[f"ods_tlc_{feed}_trip_insert"] = partial(load_feed, lake, feed, year, month)
+        found[f"dwh_tlc_{feed}_trip_insert"] = partial(publish_feed, lake, feed, year, month)
+
+    def union() -> None:
+        build_union_trip(lake, catalog_feeds(lake), partition)
+        publish_months(lake, UNION, partition)
+
+    def wide() -> None:
+        build_wide_trip(lake, current_zones(lake), partition)
+        publish_months(lake, WIDE, partition)
+
+    found["ods_geo_taxi_zone_insert"] = partial(load_zones, lake, year, month, instant, ts)
+    found["dwh_geo_taxi_zone_upsert"] = partial(conform_zones, lake, after, instant)
+    found["dmt_geo_dim_taxi_zone_upsert"] = partial(publish_zones, lake, after, instant)
+    found["dmt_pub_dim_date_overwrite"] = partial(load_date_dimension, lake)
+    found["dmt_tlc_union_trip_insert"] = union
+    found["dmt_tlc_wide_trip_insert"] = wide
+    return found
+
+
 def monthly_build(
     lake: Lake,
     year: int,
@@ -48,8 +113,4 @@ def monthly_build(
     build_date_dimension(
         lake, *(hours or (f"{year:04d}-01-01 00:00:00", f"{year:04d}-12-31 23:00:00"))
     )
-    zones = partitioned_parquet_scan(lake.spark, lake.path(ZONES), lake.schema(ZONES))
-    feeds = {
-        feed: lake.spark.table(lake.catalog_name(f"dwh.tlc_{feed}_trip")) for feed in TRIP_FEEDS
-    }
-    trip_mart(lake, feeds, zones, month_of(year, month), how, order_by)
+    trip_mart(lake, catalog_feeds(lake), current_zones(lake), month_of(year, month), how, order_by)

@@ -14,7 +14,7 @@ from tidelake.functions.text import route_label
 from tidelake.functions.times import elapsed_minutes, elapsed_seconds, hour_key
 from tidelake.lake import Lake, partition_folder
 from tidelake.operators.joins import join_dimension
-from tidelake.operators.numbering import surrogate_key
+from tidelake.operators.numbering import ADDRESS, surrogate_key, with_address
 from tidelake.operators.union import union_sources
 from tidelake.schemas import TABLES, TRIP_FEEDS, TRIP_RENAMES
 from tidelake.sinks.catalog import attach_partition, register_catalog
@@ -99,12 +99,18 @@ def widen_trips(
 
 def wide_trips(
     trips: DataFrame, zones: DataFrame, hours: DataFrame, how: str = "inner",
-    order_by: Sequence[str] = (),
+    order_by: Sequence[str] = (), is_scan: bool = False,
 ) -> DataFrame:
-    """The wide mart. ``dwid`` is dense and unique within the result."""
+    """The wide mart. ``dwid`` is dense and unique within the result.
+
+    Numbers that follow an order need equal trips told apart; this is done before the trips
+    are widened, while their rows are short. ``is_scan`` says that the trips read Parquet files.
+    """
     columns = [c for c in TABLES[WIDE].schema.names if c != "dwid"]
-    wide = widen_trips(trips, zones, hours, how).select(*columns)
-    return surrogate_key(wide, "dwid", order_by)
+    if not order_by:
+        return surrogate_key(widen_trips(trips, zones, hours, how).select(*columns))
+    wide = widen_trips(with_address(trips, is_scan), zones, hours, how).select(*columns, *ADDRESS)
+    return surrogate_key(wide, "dwid", [*order_by, *ADDRESS], unique=True).drop(*ADDRESS)
 
 
 def build_union_trip(
@@ -149,7 +155,7 @@ def build_wide_trip(
     )
     hours = lake.spark.read.schema(lake.schema(HOURS)).parquet(lake.path(HOURS))
     overwrite_partitions(
-        wide_trips(trips, zones, hours, how, order_by), lake.path(WIDE),
+        wide_trips(trips, zones, hours, how, order_by, is_scan=True), lake.path(WIDE),
         lake.table(WIDE).partition_by, rebalance=bool(order_by) and not month,
     )
 

@@ -20,20 +20,38 @@ def month_of(year: int, month: int) -> dict[str, str]:
     return {"year": f"{year:04d}", "month": f"{month:02d}"}
 
 
-def ingest_feed(lake: Lake, feed: str, year: int, month: int, header: bool = True) -> None:
-    """Load a feed's landed CSV into the ods month and publish that month in dwh.
+def _folder(lake: Lake, feed: str, partition: dict[str, str]) -> str:
+    return partition_folder(lake.path(f"ods.tlc_{feed}_trip"), partition)
+
+
+def load_feed(lake: Lake, feed: str, year: int, month: int, header: bool = True) -> None:
+    """Load a feed's landed CSV into the ods month.
 
     The month is a constant, so every task writes one partition and nothing is shuffled.
     """
-    stg, ods, dwh = (f"{layer}.tlc_{feed}_trip" for layer in ("stg", "ods", "dwh"))
+    stg, ods = f"stg.tlc_{feed}_trip", f"ods.tlc_{feed}_trip"
     partition = month_of(year, month)
     raw = load_csv_as_view(lake.spark, stg, lake.path(stg), lake.schema(stg), header)
     overwrite_partitions(
         star_append(raw, partition), lake.path(ods), lake.table(ods).partition_by, rebalance=False
     )
-    location = partition_folder(lake.path(ods), partition)
-    for name in (ods, dwh):
-        attach_partition(lake.spark, lake.catalog_name(name), partition, location)
+    attach_partition(
+        lake.spark, lake.catalog_name(ods), partition, _folder(lake, feed, partition)
+    )
+
+
+def publish_feed(lake: Lake, feed: str, year: int, month: int) -> None:
+    """Make the files of the ods month the dwh month, without a copy."""
+    partition = month_of(year, month)
+    attach_partition(
+        lake.spark, lake.catalog_name(f"dwh.tlc_{feed}_trip"), partition,
+        _folder(lake, feed, partition),
+    )
+
+
+def ingest_feed(lake: Lake, feed: str, year: int, month: int, header: bool = True) -> None:
+    load_feed(lake, feed, year, month, header)
+    publish_feed(lake, feed, year, month)
 
 
 def trip_ingest_chain(
