@@ -11,7 +11,7 @@ from tidelake.functions.rates import (
     METERED_TYPES, average_speed, distance_profit_rate, time_profit_rate,
 )
 from tidelake.functions.text import route_label
-from tidelake.functions.times import elapsed_minutes, elapsed_seconds, hour_key
+from tidelake.functions.times import elapsed_seconds, hour_key
 from tidelake.lake import Lake, partition_folder
 from tidelake.operators.joins import join_dimension
 from tidelake.operators.numbering import ADDRESS, surrogate_key, with_address
@@ -40,21 +40,26 @@ def trip_metrics(trips: DataFrame, metered: Sequence[str] = METERED_TYPES) -> Da
 
     Needs pickup_datetime, dropoff_datetime, trip_distance, total_amount and tlc_trip_type.
     """
-    distance = F.col("trip_distance")
-    seconds = elapsed_seconds("pickup_datetime", "dropoff_datetime")
+    distance, seconds = F.col("trip_distance"), F.col("_seconds")
     minutes, speed = F.col("travel_time"), F.col("travel_average_speed")
     amount, kind = F.col("total_amount"), F.col("tlc_trip_type")
-    return (
-        trips.withColumn("_seconds", seconds)
-        .withColumn("travel_distance_rank", distance_bucket(distance))
-        .withColumn("travel_time", F.col("_seconds") / F.lit(60.0))
-        .withColumn("travel_time_rank", duration_bucket(minutes))
-        .withColumn("travel_average_speed", average_speed(distance, F.col("_seconds")))
-        .withColumn("travel_average_speed_rank", speed_bucket(speed))
-        .withColumn("time_profit_rate", time_profit_rate(amount, minutes, kind, metered))
-        .withColumn("distance_profit_rate", distance_profit_rate(amount, distance, kind, metered))
-        .drop("_seconds")
+    measured = trips.withColumn(
+        "_seconds", elapsed_seconds("pickup_datetime", "dropoff_datetime")
+    ).withColumns(
+        {
+            "travel_time": seconds / F.lit(60.0),
+            "travel_average_speed": average_speed(distance, seconds),
+        }
     )
+    return measured.withColumns(
+        {
+            "travel_distance_rank": distance_bucket(distance),
+            "travel_time_rank": duration_bucket(minutes),
+            "travel_average_speed_rank": speed_bucket(speed),
+            "time_profit_rate": time_profit_rate(amount, minutes, kind, metered),
+            "distance_profit_rate": distance_profit_rate(amount, distance, kind, metered),
+        }
+    ).drop("_seconds")
 
 
 def join_hour_dim(trips: DataFrame, hours: DataFrame, how: str = "inner") -> DataFrame:
