@@ -10,6 +10,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check import compare
+from proofs.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -24,10 +25,11 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     ok, _, note = compare(
         spark, con, name, spark_entry.queries()[name], spark_entry.oracle_sql()[name], SF_DIR

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -14,8 +13,6 @@ from pyspark.sql.types import StructType
 
 from tidelake.schemas import TABLES, Table
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def table_path(root: str, name: str) -> str:
     """Path of ``layer.domain_table``; the stg layer has one folder per domain."""
@@ -34,16 +31,13 @@ def view_name(name: str) -> str:
 def scratch_path(spark: SparkSession) -> str:
     """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Each application has one folder there, which may be removed once it has ended. Without
-    that setting a temporary folder is used, in local mode only: on a cluster no machine's own
-    disk is visible to the others.
+    Each application has one folder there, which may be removed once it has ended. There is no
+    default: on a cluster no machine's own disk is visible to the others.
     """
     app = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_SCRATCH.get(app)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tidelake-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/tidelake/{app}/{uuid.uuid4().hex}"
 
 
