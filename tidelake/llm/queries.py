@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidelake.lake import scratch_path, stage
 from tidelake.llm.chat import format_chats, linear_replies, read_chats
 from tidelake.llm.common import table
 from tidelake.llm.digests import mark_copies
 from tidelake.llm.hilbert import write_shards
 from tidelake.llm.licenses import scan_licenses
+from tidelake.llm.repair import read_tokens, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,25 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+#: The id that ends each document in the token files.
+END_ID = 2
+
+
+@query("op1_repair_tokens")
+def repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark)
+    docs = table(spark, sf_dir, "documents")
+    write_tokens(docs, path, tokenizer_file("byte_bpe_50k.json"), END_ID)
+    return read_tokens(spark, path, with_ids=False)
+
+
 @query("op5_licenses")
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
@@ -70,9 +91,7 @@ PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[IN
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     given = given.unionByName(spark.createDataFrame(PROBE, given.schema))
-    written = write_and_read(
-        format_chats(linear_replies(given, "conv_id", "turn", "role", "text"))
-    )
+    written = stage(format_chats(linear_replies(given, "conv_id", "turn", "role", "text")))
     read = read_chats(written)
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     learnt = F.array_join("learnt", "")
@@ -86,12 +105,6 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_and_read(df: DataFrame) -> DataFrame:
-    from tidelake.lake import stage
-
-    return stage(df)
-
-
 @query(
     "op8_exact_dedup",
     """
