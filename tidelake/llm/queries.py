@@ -12,7 +12,10 @@ from tidelake.llm.common import table
 from tidelake.llm.digests import mark_copies
 from tidelake.llm.hilbert import write_shards
 from tidelake.llm.licenses import scan_licenses
+from tidelake.llm.mixing import mix
+from tidelake.llm.pieces import encode_texts
 from tidelake.llm.repair import read_tokens, write_tokens
+from tidelake.llm.topk import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +52,43 @@ def repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, with_ids=False)
 
 
+@query("op3_cube_mix")
+def cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies"
+    )
+
+
+TOP_K, SCALE, EVERY = 20, 64, 20
+
+
+@query(
+    "op4_exact_top_k",
+    f"""
+    WITH given AS (
+      SELECT CAST(vec_id AS BIGINT) AS vec_id,
+        list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM given q JOIN given c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+      WHERE q.vec_id % {EVERY} = 0
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+      FROM scored
+    ) WHERE rank <= {TOP_K}
+    """,
+)
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, F.col("vec_id") % EVERY == 0, TOP_K, SCALE)
+
+
 @query("op5_licenses")
 def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
@@ -127,6 +167,12 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_sentencepiece")
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return encode_texts(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
 SHARDS = 8
 
 
