@@ -6,8 +6,9 @@ words is taken floor(r) times, and once more with probability r - floor(r). Whic
 once more is decided by the cube method: the probabilities of a few documents at a time are moved
 along a direction in which neither the number of documents nor the number of words changes, until
 one of them is 0 or 1. Blocks of documents do this side by side; what is left undecided, at most
-two documents of a source and block, meets again in fewer blocks, until one block is left. Only its
-last two documents per source are rounded (landing).
+two documents of a source and block, meets again in a quarter of the blocks or less, until one block is
+left. There the largest few documents of each source wait; with the last two undecided ones they
+are the landing problem, solved by trying every rounding.
 
 Nulls and edge cases: a null text has size 0, a null source is a source of its own, the last one.
 Documents of size 0 are decided like others; they add no words. A source without words has target
@@ -18,6 +19,7 @@ columns are carried by ``mixed_rows`` only.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -34,6 +36,8 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 #: Documents of a block, about.
 BLOCK_ROWS = 20_000
+#: Documents of a source, besides at most two, that are rounded together at the end.
+LANDING = 12
 #: Probabilities this close to 0 or 1 are decided.
 EPSILON = 1e-9
 
@@ -120,34 +124,47 @@ class Flight:
         return decided
 
 
+def land(units: list[list]) -> list[tuple[object, bool]]:
+    """Round the last units (key, size, chance, …) of a source, trying every way.
+
+    Of the ways in which the number of documents is off by less than one, the one whose words come
+    nearest; of equal ones the one with the larger chances.
+    """
+    sizes = np.array([u[1] for u in units], float)
+    chances = np.array([u[2] for u in units])
+    ways = (np.arange(1 << len(units))[:, None] >> np.arange(len(units))) & 1
+    off = np.abs(ways.sum(axis=1) - chances.sum())
+    error = np.abs(ways @ sizes - chances @ sizes)
+    error[off >= 1] = np.inf
+    near = np.flatnonzero(error <= error.min() + 1e-6)
+    best = ways[near[np.argmax(ways[near] @ chances)]]
+    return [(u[0], bool(t)) for u, t in zip(units, best, strict=True)]
+
+
 def _flight(last: bool):
     """Rows (block, source, key, size, chance, draw) sorted by block and source, to the same
-    rows with ``extra``: 0 or 1, or null with the chance that is left."""
+    rows with ``extra``: 0 or 1, or null with the chance that is left.
+
+    In the last round the ``LANDING`` largest documents of each source wait for the landing, where
+    they make up for each other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, flight, held = None, Flight(), {}
+        waiting: list[tuple] = []  # a heap: the smallest document first
         out: list[tuple] = []
 
         def close() -> None:
-            left = [(u[0], u[2]) for u in flight.open]
-            if last and left:
-                # Landing: the rounding whose words come nearest, then by the larger chance.
-                sizes = {u[0]: u[1] for u in flight.open}
-                want = sum(sizes[k] * p for k, p in left)
-                best = min(
-                    range(1 << len(left)),
-                    key=lambda bits: (
-                        abs(want - sum(sizes[k] for i, (k, _) in enumerate(left) if bits >> i & 1)),
-                        -sum(p for i, (_, p) in enumerate(left) if bits >> i & 1),
-                    ),
-                )
-                for i, (k, p) in enumerate(left):
-                    out.append((*held.pop(k), p, best >> i & 1))
+            left = flight.open
+            if last:
+                left = left + [[number, size, chance] for size, number, chance, _ in waiting]
+                waiting.clear()
+                out.extend((*held.pop(k), None, int(t)) for k, t in land(left) if left)
             else:
-                out.extend((*held.pop(k), p, None) for k, p in left)
+                out.extend((*held.pop(u[0]), u[2], None) for u in left)
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) or [[]] * 6
+            columns = list(zip(*out, strict=True)) or [[]] * len(_KINDS)
             out.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, _KINDS.values(), strict=True)],
@@ -164,7 +181,13 @@ def _flight(last: bool):
                     group, flight = (block, source), Flight()
                 number += 1
                 held[number] = (source, key, size, draw)
-                for k, taken in flight.add(number, size, chance, draw):
+                unit = (size, number, chance, draw)
+                if last and len(waiting) < LANDING:
+                    heapq.heappush(waiting, unit)
+                    continue
+                if last:
+                    unit = heapq.heappushpop(waiting, unit)
+                for k, taken in flight.add(unit[1], unit[0], unit[2], unit[3]):
                     out.append((*held.pop(k), None, int(taken)))
             yield batch()
         close()
@@ -187,9 +210,9 @@ def decide(units: DataFrame, seed: int, block_rows: int = BLOCK_ROWS) -> DataFra
     rows = units.withColumn("draw", F.shiftrightunsigned(hashed, 11) / F.lit(2.0**53))
     rows = stage(rows.select("source", "key", "size", "chance", "draw"))
     done: list[DataFrame] = []
-    count, level = rows.count(), 0
+    count, level, blocks = rows.count(), 0, 1 << 62
     while True:
-        blocks = max(1, math.ceil(count / block_rows))
+        blocks = max(1, min(math.ceil(count / block_rows), blocks // 4))
         block = F.pmod(F.xxhash64(F.lit(seed + level), "key", "size"), F.lit(blocks))
         ordered = (
             rows.withColumn("block", block)
