@@ -11,6 +11,7 @@ from tidelake.llm.chat import format_chats, linear_replies, read_chats
 from tidelake.llm.common import table
 from tidelake.llm.digests import mark_copies
 from tidelake.llm.hilbert import write_shards
+from tidelake.llm.langid import identify
 from tidelake.llm.licenses import scan_licenses
 from tidelake.llm.mixing import mix
 from tidelake.llm.pieces import encode_texts
@@ -52,6 +53,11 @@ def repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, with_ids=False)
 
 
+@query("op2_language")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @query("op3_cube_mix")
 def cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
