@@ -16,6 +16,7 @@ from tidelake.llm.licenses import scan_licenses
 from tidelake.llm.mixing import mix
 from tidelake.llm.pieces import encode_texts
 from tidelake.llm.repair import read_tokens, write_tokens
+from tidelake.llm.setjoin import near_duplicates
 from tidelake.llm.topk import exact_top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +101,11 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query("op6_near_duplicates")
+def near_duplicate_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 # The turns of conversation -1.
 PROBE = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
