@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,21 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def per_process(spark: SparkSession) -> Callable[[str, Callable], object]:
+    """A function that gives a Python worker's own object of a name, made at the first use.
+
+    A broadcast value stays with a worker from task to task; here it is a dictionary to fill.
+    """
+    kept = spark.sparkContext.broadcast({})
+
+    def get(name: str, make: Callable) -> object:
+        if name not in kept.value:
+            kept.value[name] = make()
+        return kept.value[name]
+
+    return get
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], text: str, most_bytes: int
 ) -> Iterator[pa.RecordBatch]:

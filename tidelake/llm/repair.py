@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidelake.llm.common import ranges, slices, utf8
+from tidelake.llm.common import per_process, ranges, slices, utf8
 from tidelake.llm.tokens import Encoder, with_end
 from tidelake.operators.joins import broadcast_if_small
 
@@ -248,9 +248,10 @@ def write_tokens(
 
     One shuffle: the range sort of the texts. A task holds one slice of text and one shard.
     """
+    kept = per_process(df.sparkSession)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = kept("encoder", lambda: Encoder(tokenizer))
         out = _Shards(max(encoder.size, end_id + 1))
         for batch in slices(batches, "text", SLICE_BYTES):
             ids, at = with_end(*encoder.encode(*utf8(batch.column("text"))), end_id)
