@@ -248,7 +248,7 @@ def predict(
     df: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The id, lang_pred and score of every row; no shuffle."""
-    chosen = df.select(id_col, text_col)
+    chosen = df.select(id_col, F.col(text_col).alias("_text"))
     kind = chosen.schema[id_col].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(
         (models.families, models.likelihood, models.machines)
@@ -256,7 +256,7 @@ def predict(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Models(*shared.value)
-        for batch in slices(batches, text_col, SLICE_BYTES):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             lang, score = own.predict(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],

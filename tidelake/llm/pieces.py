@@ -31,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.common import ranges, slices, text_array, utf8
 
@@ -393,13 +393,13 @@ def encode_texts(
     ``ids_crc32`` is the checksum of the ids as little-endian unsigned 32-bit numbers.
     ``round_trip`` says whether decoding the ids gave the text, byte by byte. No shuffle.
     """
-    chosen = df.select(id_col, text_col)
+    chosen = df.select(id_col, F.col(text_col).alias("_text"))
     kind = chosen.schema[id_col].dataType.simpleString()
     shared = df.sparkSession.sparkContext.broadcast(vars(load_model(model)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Model.of(shared.value)
-        for batch in slices(batches, text_col, SLICE_BYTES):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             texts = batch.column(1)
             ids, at = encode(pieces, texts)
             given, given_at = utf8(texts)

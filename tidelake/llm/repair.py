@@ -94,13 +94,12 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, l
             break
         # One pair at most in each place of a table small enough to stay in the cache.
         table, symbol = np.zeros(1 << 16, kind), np.zeros(1 << 16, kind)
+        table[0] = 1  # the pair 0 belongs there: an empty place must not look like it
         place = _slot(new)
         table[place] = new
         symbol[place] = terminals + sum(rounds) + np.arange(len(new))
         place = _slot(pairs)
         match = table[place] == pairs
-        if not table[0]:  # no rule there: an empty place looks like the pair (0, 0)
-            match &= pairs != 0
         at = np.flatnonzero(match)
         # Neighbouring matches are runs of one symbol: every other one counts.
         head = np.concatenate([[True], np.diff(at) != 1])

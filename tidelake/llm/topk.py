@@ -12,7 +12,8 @@ whose scores are cut to the range of a long).
 Nulls and edge cases: vectors that are null, or hold a null, NaN or infinite component, and rows
 without an id take no part. Vectors are only compared with those of the same length; empty ones
 score 0. A query's own row is the one with its id, so rows that repeat an id are not compared with
-each other; for other queries they all are candidates. Equal scores are ranked by the smaller id.
+each other; for other queries they all are candidates. Queries that repeat an id and a vector ask
+once; those that repeat an id with another vector share one list. Equal scores are ranked by the smaller id.
 With fewer candidates than k all are returned. Other columns are not read.
 """
 
@@ -130,7 +131,7 @@ def exact_top_k(
     asking = rows.filter("asks").select(
         F.col("id").alias("query"), F.col("v").alias("of_query"), width,
         F.pmod(place, F.lit(blocks)).alias("block"),
-    )
+    ).dropDuplicates(["query", "of_query"])
     # Every shard meets every block: a grid of tiles, not a join of rows.
     found = found.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
         "block", F.col("block").cast("bigint")
