@@ -35,7 +35,7 @@ from tidelake.operators.joins import broadcast_if_small
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 #: Documents of a block, about.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 4_000
 #: Documents of a source, besides at most two, that are rounded together at the end.
 LANDING = 12
 #: Probabilities this close to 0 or 1 are decided.
