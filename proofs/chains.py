@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from proofs.frames import (
-    EVENT_UNION, LINE_UNION, MONTHLY_ORDERS, NATION_ZONES, UNION_COLUMNS, event_feeds, hours_sql,
+    LINE_UNION, MONTHLY_ORDERS, NATION_ZONES, UNION_COLUMNS, event_feeds, event_union, hours_sql,
     line_feeds, monthly_orders, nation_zones, new_lake, wide_sql,
 )
 from proofs.registry import proof, table
@@ -64,7 +64,7 @@ def job(spark, sf_dir):
 
 
 def zone_batches(spark, sf_dir):
-    """Customers as zones: all of them in January; changed and new ones in February."""
+    """Customers as zones: all of them, then changed ones, then new ones."""
     zones = (
         table(spark, sf_dir, "customer")
         .select(
@@ -80,7 +80,11 @@ def zone_batches(spark, sf_dir):
     )
     new = zones.filter("c_nationkey = 3").withColumn("LocationID", -1 - F.col("LocationID"))
     columns = ["LocationID", "Borough", "Zone", "service_zone"]
-    return zones.select(*columns), changed.unionAll(new).select(*columns)
+    return zones.select(*columns), changed.select(*columns), new.select(*columns)
+
+
+#: Business month and instant of each run: months are built in the following month, January twice.
+ZONE_RUNS = ((1, "20200201031500"), (1, "20200205031500"), (2, "20200301031500"))
 
 
 @proof(
@@ -92,38 +96,40 @@ def zone_batches(spark, sf_dir):
              c_nationkey
       FROM customer)
     SELECT locationid, borough, zone, CAST(1 AS BIGINT) AS ts, '2020' AS year, '01' AS month,
-           '20200102000000' AS _commit_time, service_zone
+           '20200201031500' AS _commit_time, service_zone
     FROM z WHERE c_acctbal >= 0
     UNION ALL
-    SELECT locationid, borough || '-Updated', zone, 2, '2020', '02', '20200202000000',
+    SELECT locationid, borough || '-Updated', zone, 2, '2020', '01', '20200205031500',
            service_zone
     FROM z WHERE c_acctbal < 0
     UNION ALL
-    SELECT -1 - locationid, borough, zone, 2, '2020', '02', '20200202000000', service_zone
+    SELECT -1 - locationid, borough, zone, 3, '2020', '02', '20200301031500', service_zone
     FROM z WHERE c_nationkey = 3
     """,
 )
 def geo_chain(spark, sf_dir):
+    """Three commits, two of them in one month, the last one run twice."""
     lake = new_lake(spark)
     create_databases(lake)
-    for month, batch in enumerate(zone_batches(spark, sf_dir), 1):
+    for ts, (batch, (month, instant)) in enumerate(zip(zone_batches(spark, sf_dir), ZONE_RUNS), 1):
         replace_landing(batch, lake.path("stg.geo_taxi_zone"))
-        geo_dimension_chain(lake, 2020, month, f"2020{month:02d}02000000", ts=month)
+        for _ in range(2 if ts == 3 else 1):
+            geo_dimension_chain(lake, 2020, month, instant, ts=ts)
     return spark.table(lake.catalog_name("dmt.geo_dim_taxi_zone"))
 
 
-def land_event_feeds(lake, sf_dir):
-    feeds = event_feeds(lake.spark, sf_dir)
+def land_event_feeds(lake, events):
+    feeds = event_feeds(events)
     land_domain(lake, "tlc", {f"stg.tlc_{feed}_trip": raw for feed, raw in feeds.items()})
 
 
-@proof("trip_ingest_chain", EVENT_UNION)
+@proof("trip_ingest_chain", event_union())
 def ingest_chain(spark, sf_dir):
     """Four CSV feeds become dwh partitions; shown united."""
     lake = new_lake(spark)
     create_databases(lake)
     create_tables(lake)
-    land_event_feeds(lake, sf_dir)
+    land_event_feeds(lake, table(spark, sf_dir, "events"))
     trip_ingest_chain(lake, 2024, 1)
     return union_trips(
         {feed: spark.table(lake.catalog_name(f"dwh.tlc_{feed}_trip")) for feed in TRIP_FEEDS}
@@ -143,21 +149,59 @@ def mart(spark, sf_dir):
     return partitioned_parquet_scan(spark, lake.path(WIDE), lake.schema(WIDE))
 
 
+# Even events a month earlier; of the others one at the end of time and one in an earlier year.
+MOVED_EVENTS = """
+    (SELECT * REPLACE (CASE WHEN event_id % 2 = 0 THEN ts - INTERVAL 31 DAY
+                            WHEN event_id = 1 THEN TIMESTAMP '9999-12-30 10:00:00'
+                            WHEN event_id = 3 THEN TIMESTAMP '2022-12-31 23:58:00'
+                            ELSE ts END AS ts)
+     FROM events {where})
+"""
+EVEN = MOVED_EVENTS.format(where="WHERE event_id % 2 = 0")
+ODD = MOVED_EVENTS.format(where="WHERE event_id % 2 = 1")
+STRIPPED_ZONES = NATION_ZONES.replace("replace(r_name, ' ', '/')", "replace(r_name, ' ', '')")
+MOVED_ZONES = f"""
+    SELECT * REPLACE (CASE WHEN locationid = 3 THEN 'Moved' ELSE service_zone END AS service_zone)
+    FROM ({STRIPPED_ZONES})
+"""
+ALL_HOURS = hours_sql(MOVED_EVENTS.format(where=""), "ts")
+
+
 @proof(
     "monthly_build",
-    wide_sql(
-        EVENT_UNION,
-        NATION_ZONES.replace("replace(r_name, ' ', '/')", "replace(r_name, ' ', '')"),
-        hours_sql("events", "ts"),
-    ),
+    f"""
+    SELECT * FROM ({wide_sql(event_union(EVEN, "2023", "12"), STRIPPED_ZONES, ALL_HOURS)})
+    UNION ALL
+    SELECT * FROM ({wide_sql(event_union(ODD, "2024", "01"), MOVED_ZONES, ALL_HOURS)})
+    """,
 )
 def build(spark, sf_dir):
-    """The whole build of January 2024, run twice: the second run changes nothing."""
+    """December and January in turn, each in the month after; the second build runs twice.
+
+    Trips begin in other years than their month's, too. A zone moves to another service zone.
+    """
     lake = new_lake(spark)
     create_databases(lake)
     create_tables(lake)
-    land_event_feeds(lake, sf_dir)
-    replace_landing(nation_zones(spark, sf_dir), lake.path("stg.geo_taxi_zone"))
-    for _ in range(2):
-        monthly_build(lake, 2024, 1, "20240102000000", ts=1, order_by=UNION_COLUMNS)
+    number, ts = F.col("event_id"), F.col("ts")
+    moved = table(spark, sf_dir, "events").withColumn(
+        "ts",
+        F.when(number % 2 == 0, ts - F.expr("INTERVAL '31' DAY"))
+        .when(number == 1, F.lit("9999-12-30 10:00:00").cast("timestamp_ntz"))
+        .when(number == 3, F.lit("2022-12-31 23:58:00").cast("timestamp_ntz"))
+        .otherwise(ts),
+    )
+    zones = nation_zones(spark, sf_dir)
+    landed = F.when(F.col("locationid") == 3, "Moved").otherwise(F.col("service_zone"))
+    months = (
+        (2023, 12, "20240101031500", 0, zones),
+        (2024, 1, "20240201031500", 1, zones.withColumn("service_zone", landed)),
+    )
+    for year, month, instant, odd, own in months:
+        land_event_feeds(lake, moved.filter(number % 2 == odd))
+        replace_landing(own, lake.path("stg.geo_taxi_zone"))
+        for _ in range(1 + odd):
+            monthly_build(
+                lake, year, month, instant, ts=1, order_by=UNION_COLUMNS, global_key=True
+            )
     return spark.table(lake.catalog_name(WIDE))

@@ -10,6 +10,7 @@ from proofs.registry import table
 from tidelake.functions.times import month_of, year_of
 from tidelake.lake import Lake, scratch_path, stage
 from tidelake.operators.joins import join_dimension
+from tidelake.plans.mart import ZONE_COLUMNS
 from tidelake.schemas import TABLES, union_trip_schema
 
 UNION_COLUMNS = union_trip_schema().names
@@ -184,9 +185,8 @@ LINE_UNION = f"""
 """
 
 
-def event_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The events as four raw trip feeds of January 2024; each event is in one of them."""
-    events = table(spark, sf_dir, "events")
+def event_feeds(events: DataFrame) -> dict[str, DataFrame]:
+    """Events as four raw trip feeds of a month; each event is in one of them."""
     end = F.expr("timestampadd(SECOND, cast(floor(value * 60) as int), ts)")
     pickup = F.substring(F.col("ts").cast("string"), 1, 19)
     dropoff = F.substring(end.cast("string"), 1, 19)
@@ -232,7 +232,7 @@ def event_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-EVENT_UNION = """
+_EVENT_UNION = """
     SELECT CASE event_type WHEN 'view' THEN 'green' WHEN 'purchase' THEN 'fhv'
              WHEN 'error' THEN 'fhvhv' ELSE 'yellow' END AS tlc_trip_type,
            CASE WHEN taxi THEN event_id END AS vendorid,
@@ -259,10 +259,15 @@ EVENT_UNION = """
            CASE WHEN event_type = 'error' THEN 'HV1' END AS hvfhs_license_num,
            CASE WHEN NOT taxi THEN 'B' || event_id END AS dispatching_base_num,
            CASE WHEN NOT taxi THEN CAST(user_id AS VARCHAR) END AS sr_flag,
-           '2024' AS year, '01' AS month
-    FROM (SELECT *, event_type IN ('click', 'signup', 'view') AS taxi FROM events)
+           '{year}' AS year, '{month}' AS month
+    FROM (SELECT *, event_type IN ('click', 'signup', 'view') AS taxi FROM {events})
 """
 
+
+def event_union(events: str = "events", year: str = "2024", month: str = "01") -> str:
+    return _EVENT_UNION.format(events=events, year=year, month=month)
+
+
 # SQL fragments shared by the twins.
 
 HOURS_SQL = """
@@ -273,12 +278,9 @@ HOURS_SQL = """
            CAST(week(t) AS INTEGER) AS week, dayname(t) AS day_name,
            monthname(t) AS month_name, dayofweek(t) IN (0, 6) AS weekend_flag
     FROM (
-      SELECT unnest(generate_series(
-               CAST(date_trunc('month', min({column})) AS TIMESTAMP),
-               CAST(date_trunc('month', max({column})) + INTERVAL 1 MONTH - INTERVAL 1 HOUR
-                    AS TIMESTAMP),
-               INTERVAL 1 HOUR)) AS t
-      FROM {table})
+      SELECT unnest(generate_series(m, m + INTERVAL 1 MONTH - INTERVAL 1 HOUR,
+                                    INTERVAL 1 HOUR)) AS t
+      FROM (SELECT DISTINCT CAST(date_trunc('month', {column}) AS TIMESTAMP) AS m FROM {table}))
 """
 
 
@@ -286,6 +288,9 @@ def hours_sql(table_name: str, column: str) -> str:
     return HOURS_SQL.format(table=table_name, column=column)
 
 
+# The labels of the ranges of distance, time and speed.
+
+
 def distance_label_sql(x: str) -> str:
     return f"""CASE WHEN {x} <= 1 THEN '0-1 Mile' WHEN {x} <= 2 THEN '1-2 Miles'
       WHEN {x} <= 3 THEN '2-3 Miles' WHEN {x} <= 4 THEN '3-4 Miles'
@@ -316,7 +321,7 @@ def wide_sql(union_sql: str, zones_sql: str, hours: str) -> str:
     order = ", ".join(f"{c} NULLS FIRST" for c in [*UNION_COLUMNS])
     seconds = "(epoch(dropoff_datetime::TIMESTAMP) - epoch(pickup_datetime::TIMESTAMP))"
     return f"""
-    WITH u AS ({union_sql}), z AS ({zones_sql}), h AS ({hours}),
+    WITH u AS ({union_sql}), pu AS ({zones_sql}), "do" AS ({zones_sql}), h AS ({hours}),
     m AS (
       SELECT u.*, {seconds} / 60 AS travel_time,
              trip_distance / nullif({seconds} / 3600, 0) AS travel_average_speed
@@ -329,9 +334,8 @@ def wide_sql(union_sql: str, zones_sql: str, hours: str) -> str:
            {speed_label_sql("travel_average_speed")} AS travel_average_speed_rank,
            h.dwid AS hour_dwid, h.db_date, h.day, h.hour, h.quarter, h.week, h.day_name, h.month_name,
            h.weekend_flag,
-           puz.borough AS pu_borough, puz.zone AS pu_zone, puz.service_zone AS pu_service_zone,
-           doz.borough AS do_borough, doz.zone AS do_zone, doz.service_zone AS do_service_zone,
-           puz.zone || ' -> ' || doz.zone AS pu_do_zone,
+           {", ".join(f'"{e}".{c} AS {e}_{c}' for e in ("pu", "do") for c in ZONE_COLUMNS)},
+           pu.zone || ' -> ' || "do".zone AS pu_do_zone,
            CASE WHEN tlc_trip_type IN ('yellow', 'green')
              THEN total_amount / nullif(travel_time, 0) END AS time_profit_rate,
            CASE WHEN tlc_trip_type IN ('yellow', 'green')
@@ -339,6 +343,6 @@ def wide_sql(union_sql: str, zones_sql: str, hours: str) -> str:
            m.year, m.month
     FROM m
     JOIN h ON CAST(strftime(pickup_datetime::TIMESTAMP, '%Y%m%d%H') AS BIGINT) = h.dwid
-    JOIN z AS puz ON pulocationid = puz.locationid
-    JOIN z AS doz ON dolocationid = doz.locationid
+    JOIN pu ON pulocationid = pu.locationid
+    JOIN "do" ON dolocationid = "do".locationid
     """

@@ -4,16 +4,21 @@ from pyspark.sql import functions as F
 
 from proofs.frames import (
     LINE_TRIPS, LINE_UNION, NATION_ZONES, UNION_COLUMNS, hours_sql, line_feeds, line_trips,
-    nation_zones, wide_sql,
+    nation_zones, new_lake, wide_sql,
 )
 from proofs.registry import proof, table
 from tidelake.lake import stage
 from tidelake.operators.dimensions import date_hour_dimension_of
+from tidelake.operators.joins import join_dimension
 from tidelake.operators.numbering import surrogate_key
 from tidelake.plans.mart import (
-    join_dropoff_zone, join_hour_dim, join_pickup_zone, union_trips, wide_trips,
+    HOURS, WIDE, build_union_trip, build_wide_trip, join_dropoff_zone, join_hour_dim,
+    join_pickup_zone, union_trips, wide_trips,
 )
+from tidelake.sinks.parquet import overwrite_table
+from tidelake.sources.tables import partitioned_parquet_scan
 
+# The names of the hour columns.
 HOUR_COLUMNS_SQL = (
     "h.dwid AS hour_dwid, h.db_date, h.day, h.hour, h.quarter, h.week, h.day_name,"
     " h.month_name, h.weekend_flag"
@@ -83,12 +88,45 @@ def numbered(spark, sf_dir):
     return surrogate_key(orders, "dwid", ["o_orderkey"], unique=True)
 
 
-@proof(
-    "surrogate_key_any_order", "SELECT row_number() OVER () AS dwid FROM lineitem"
-)
+def dense(df):
+    """The rows without their numbers, and what shows that these are 1..n in some order.
+
+    Dense numbers start at 1 and end at the number of rows, and none occurs twice.
+    """
+    low, high, n, distinct = df.agg(
+        F.min("dwid"), F.max("dwid"), F.count("*"), F.count_distinct("dwid")
+    ).first()
+    return df.drop("dwid").withColumns(
+        {
+            name: F.lit(value).cast("bigint")
+            for name, value in zip(
+                ("lowest", "highest", "numbers", "n"), (low, high, distinct, n), strict=True
+            )
+        }
+    )
+
+
+def dense_sql(sql):
+    return f"""
+    SELECT * EXCLUDE (dwid), min(dwid) OVER () AS lowest, max(dwid) OVER () AS highest,
+           (SELECT count(*) FROM ({sql})) AS numbers, count(*) OVER () AS n
+    FROM ({sql})
+    """
+
+
+LINES_NUMBERED = """
+    SELECT row_number() OVER () AS dwid, l_orderkey, l_linenumber, l_partkey, l_extendedprice
+    FROM lineitem
+"""
+
+
+@proof("surrogate_key_any_order", dense_sql(LINES_NUMBERED))
 def numbered_in_place(spark, sf_dir):
     """Without an order no row is shuffled; the numbers are still 1..n."""
-    return surrogate_key(table(spark, sf_dir, "lineitem")).select("dwid")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"
+    )
+    return dense(surrogate_key(lines))
 
 
 @proof("wide_trips", wide_sql(LINE_UNION, NATION_ZONES, hours_sql("orders", "o_orderdate")))
@@ -97,3 +135,49 @@ def wide(spark, sf_dir):
     hours = stage(date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate"))
     trips = union_trips(line_feeds(spark, sf_dir))
     return wide_trips(trips, nation_zones(spark, sf_dir), hours, order_by=UNION_COLUMNS)
+
+
+@proof(
+    "wide_trips_any_order",
+    dense_sql(wide_sql(LINE_UNION, NATION_ZONES, hours_sql("orders", "o_orderdate"))),
+)
+def wide_in_place(spark, sf_dir):
+    """The wide mart as it is built by default: no order, written through the lake."""
+    lake = new_lake(spark)
+    hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
+    overwrite_table(hours, lake.path(HOURS))
+    build_union_trip(lake, line_feeds(spark, sf_dir), clustered=False)
+    build_wide_trip(lake, nation_zones(spark, sf_dir))
+    return dense(partitioned_parquet_scan(spark, lake.path(WIDE), lake.schema(WIDE)))
+
+
+HOT_LINES = """
+    SELECT l_orderkey, l_linenumber,
+           CASE WHEN l_returnflag = 'N' THEN 1 WHEN l_returnflag = 'R' THEN l_suppkey END AS key
+    FROM lineitem
+"""
+
+
+@proof(
+    "join_large_dimension",
+    f"""
+    SELECT l.*, s_name, s_acctbal FROM ({HOT_LINES}) l JOIN supplier ON key = s_suppkey
+    UNION ALL
+    SELECT -1 - l_orderkey, l_linenumber, key, s_name, s_acctbal
+    FROM ({HOT_LINES}) LEFT JOIN supplier ON key = s_suppkey AND s_suppkey % 2 = 1
+    """,
+)
+def large_join(spark, sf_dir):
+    """No side is small; half of the lines share one key and a quarter has none. Inner and left."""
+    flag, key = F.col("l_returnflag"), F.col("l_suppkey")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.when(flag == "N", F.lit(1).cast("bigint")).when(flag == "R", key).alias("key"),
+    )
+    suppliers, take = table(spark, sf_dir, "supplier"), {"s_name": "s_name", "s_acctbal": "s_acctbal"}
+    large = {"broadcast_bytes": 0, "hot_rows": 1500, "fact_is_table": True}
+    inner = join_dimension(lines, suppliers, F.col("key"), "s_suppkey", take, **large)
+    left = join_dimension(
+        lines, suppliers.filter("s_suppkey % 2 = 1"), F.col("key"), "s_suppkey", take, "left", **large
+    )
+    return inner.unionAll(left.withColumn("l_orderkey", -1 - F.col("l_orderkey")))

@@ -77,39 +77,50 @@ def positional(spark, sf_dir):
 
 @proof(
     "in_list",
-    "SELECT event_id, event_type IN ('click', 'view') AS seen,"
-    " CASE WHEN event_type IN ('click', 'view') THEN value END AS seen_value FROM events",
+    "SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN value / nullif(user_id, 0)"
+    " END AS rate FROM events",
 )
 def in_list(spark, sf_dir):
-    seen = F.col("event_type").isin("click", "view")
-    return table(spark, sf_dir, "events").select(
-        "event_id", seen.alias("seen"), F.when(seen, F.col("value")).alias("seen_value")
+    """A rate that only rows of some types have."""
+    rate = time_profit_rate(
+        F.col("value"), F.col("user_id"), F.col("event_type"), ("click", "view")
     )
+    return table(spark, sf_dir, "events").select("event_id", rate.alias("rate"))
 
 
 @proof(
     "null_guard",
-    "SELECT l_orderkey, CASE WHEN l_returnflag <> 'N' AND l_quantity <= 10 THEN 'small' END"
-    " AS size FROM lineitem",
+    f"""
+    SELECT l_orderkey, {distance_label_sql("(CASE WHEN l_returnflag <> 'N' THEN l_quantity END)")}
+             AS label
+    FROM lineitem
+    """,
 )
 def null_guard(spark, sf_dir):
+    """A missing value has no label."""
     quantity = F.when(F.col("l_returnflag") != "N", F.col("l_quantity"))
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", F.when(quantity.isNotNull() & (quantity <= 10), "small").alias("size")
+        "l_orderkey", distance_bucket(quantity).alias("label")
     )
 
 
 @proof(
     "comparisons",
-    "SELECT event_id, value <= 5.0 AS low, value > 100.0 AS high,"
-    " (CASE WHEN value > 100.0 THEN 'NaN'::DOUBLE ELSE value END) > 30.0 AS above FROM events",
+    f"""
+    SELECT event_id, {speed_label_sql("value")} AS label,
+           {speed_label_sql("(CASE WHEN value > 100.0 THEN 'NaN'::DOUBLE ELSE value END)")}
+             AS holed_label,
+           {duration_label_sql("value")} AS duration_label
+    FROM events
+    """,
 )
 def comparisons(spark, sf_dir):
+    """Bounds are part of the lower range; NaN is above all of them."""
     value = F.col("value")
     holed = F.when(value > 100.0, F.lit(float("nan"))).otherwise(value)
     return table(spark, sf_dir, "events").select(
-        "event_id", (value <= 5.0).alias("low"), (value > 100.0).alias("high"),
-        (holed > 30.0).alias("above"),
+        "event_id", speed_bucket(value).alias("label"), speed_bucket(holed).alias("holed_label"),
+        duration_bucket(value).alias("duration_label"),
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from proofs.frames import MONTHLY_ORDERS, monthly_orders, new_lake
 from proofs.registry import proof, table
-from tidelake.lake import scratch_path
+from tidelake.lake import scratch_path, stage
 from tidelake.operators.keyed import incremental_scan, scan_since_latest_commit
 from tidelake.operators.numbering import preview, sample_every_nth
 from tidelake.operators.project import null_pad
@@ -12,7 +12,7 @@ from tidelake.schemas import COMMIT_TIME, struct_of
 from tidelake.sinks.catalog import register_catalog
 from tidelake.sinks.keyed import upsert_unpartitioned
 from tidelake.sinks.parquet import overwrite_partitions, replace_landing
-from tidelake.sources.csv import csv_scan_with_schema, infer_merge_schema
+from tidelake.sources.csv import csv_scan_with_schema, infer_merge_schema, sample_lines
 from tidelake.sources.tables import catalog_scan, partitioned_parquet_scan, snapshot_scan
 
 ORDER_SCHEMA = struct_of(
@@ -168,7 +168,35 @@ def infer(spark, sf_dir):
 )
 def every_nth(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return sample_every_nth(orders, 100, ["o_orderkey"], unique=True)
+    return sample_every_nth(orders, 100, ["o_orderkey"], unique=True, is_scan=True)
+
+
+@proof(
+    "sample_lines",
+    """
+    SELECT value FROM (
+      SELECT o_orderkey || '|' || o_custkey || '|' || o_orderpriority AS value,
+             row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) AS line
+      FROM orders)
+    WHERE line % 100 = 0
+    """,
+)
+def every_nth_line(spark, sf_dir):
+    """Three raw files, each read in several blocks; lines count from 1 in each file."""
+    path = scratch_path(spark)
+    line = F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderpriority")
+    raw = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") % 3).alias("part"), "o_orderkey", line.alias("value")
+    )
+    one_file_each = raw.repartition(3, "part").sortWithinPartitions("part", "o_orderkey")
+    one_file_each.select("part", "value").write.partitionBy("part").text(path)
+    block = "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(block)
+    spark.conf.set(block, "16k")
+    try:
+        return stage(sample_lines(spark, path, 100))
+    finally:
+        spark.conf.set(block, usual)
 
 
 @proof(

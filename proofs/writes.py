@@ -12,7 +12,7 @@ from tidelake.functions.text import strip_chars
 from tidelake.lake import scratch_path, stage
 from tidelake.operators.dimensions import date_hour_dimension_of
 from tidelake.operators.keyed import precombine, stamp_commit
-from tidelake.plans.mart import union_trips, wide_trips
+from tidelake.plans.mart import HOURS, WIDE, build_union_trip, build_wide_trip
 from tidelake.schemas import COMMIT_TIME, TABLES, struct_of
 from tidelake.sinks.catalog import (
     attach_partition, create_databases, create_tables, detach_partition,
@@ -29,10 +29,10 @@ BY_MONTH = ["year", "month"]
 FIRST, SECOND = "20240101000000", "20240201000000"
 
 
-@proof("temp_view", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
+@proof("temp_view", "SELECT event_type, event_id, value * 2 AS doubled FROM events")
 def view(spark, sf_dir):
     temp_view(table(spark, sf_dir, "events"), "v_proof_events")
-    return spark.sql("SELECT event_id, value FROM v_proof_events WHERE event_type = 'purchase'")
+    return spark.sql("SELECT event_type, event_id, value * 2 AS doubled FROM v_proof_events")
 
 
 @proof(
@@ -64,14 +64,13 @@ def overwrite(spark, sf_dir):
 )
 def overwrite_mart(spark, sf_dir):
     """Write all months, then replace those of one year; their numbers start again."""
-    hours = stage(date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate"))
-    zones = nation_zones(spark, sf_dir)
-    trips = union_trips(line_feeds(spark, sf_dir))
-    path = scratch_path(spark)
-    for part in (trips, trips.filter("year = '1996'")):
-        mart = wide_trips(part, zones, hours, order_by=UNION_COLUMNS)
-        overwrite_partitions(mart, path, BY_MONTH)
-    return partitioned_parquet_scan(spark, path, TABLES["dmt.tlc_wide_trip"].schema).select(
+    lake = new_lake(spark)
+    hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
+    overwrite_table(hours, lake.path(HOURS))
+    build_union_trip(lake, line_feeds(spark, sf_dir), clustered=False)
+    for part in (None, {"year": "1996"}):
+        build_wide_trip(lake, nation_zones(spark, sf_dir), part, order_by=UNION_COLUMNS)
+    return partitioned_parquet_scan(spark, lake.path(WIDE), lake.schema(WIDE)).select(
         "dwid", "year", "month", "tlc_trip_type", "pu_do_zone", "total_amount"
     )
 

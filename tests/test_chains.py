@@ -6,8 +6,10 @@ from tidelake.operators.keyed import latest_commit
 from tidelake.plans.build import (
     build_date_dimension, jobs, load_date_dimension, monthly_build,
 )
-from tidelake.plans.geo import DMT, DWH, ODS, STG, geo_dimension_chain
-from tidelake.plans.mart import HOURS, UNION, WIDE, trip_mart
+from tidelake.plans.geo import (
+    DMT, DWH, ODS, STG, conform_zones, geo_dimension_chain, load_zones,
+)
+from tidelake.plans.mart import HOURS, UNION, WIDE, join_hour_dim, trip_mart, widen_trips
 from tidelake.plans.steps import run_job, run_sql_step
 from tidelake.plans.trips import dwh_trips, ingest_feed, trip_ingest_chain
 from tidelake.schemas import TABLES
@@ -166,8 +168,8 @@ def test_monthly_build(lake):
         monthly_build(lake, 2020, 1, "20200102000000", ts=1, hours=("2020-01-01", "2020-01-31 23:00:00"))
     wide = lake.spark.table(lake.catalog_name(WIDE))
     assert wide.columns == TABLES[WIDE].schema.names
-    # The fhvhv trips lie outside the hour dimension.
-    assert sorted(r.dwid for r in wide.collect()) == [1, 2, 3, 4, 5, 6]
+    # The fhvhv trips begin in other months; their hours are added.
+    assert sorted(r.dwid for r in wide.collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
     by_type = {r.tlc_trip_type: r for r in wide.collect()}
     yellow, green, fhv = (by_type[k] for k in ("yellow", "green", "fhv"))
     assert (yellow.travel_distance_rank, yellow.travel_time, yellow.travel_time_rank) == (
@@ -194,7 +196,7 @@ def test_a_failing_step_stops_the_build(lake):
 
 def test_the_mart_of_one_month_leaves_others(lake):
     spark = lake.spark
-    build_date_dimension(lake, "2020-01-01", "2020-12-31 23:00:00")
+    build_date_dimension(lake, hours=("2020-01-01", "2020-12-31 23:00:00"))
     dim = zones(spark, (1, "A", "Z1", "S1"), (2, "B", "Z2", "S2"))
     schema = TABLES["dwh.tlc_fhv_trip"].schema
     trips = spark.createDataFrame(
@@ -213,7 +215,7 @@ def test_the_mart_of_one_month_leaves_others(lake):
 
 
 def test_hours_may_come_from_csv(lake):
-    build_date_dimension(lake, "2020-01-01", "2020-01-01 23:00:00")
+    build_date_dimension(lake, hours=("2020-01-01", "2020-01-01 23:00:00"))
     hours = lake.spark.read.parquet(lake.path(HOURS))
     want = rows(hours)
     replace_landing(hours, lake.path("stg.pub_dim_date"))
@@ -221,6 +223,58 @@ def test_hours_may_come_from_csv(lake):
     assert rows(lake.spark.read.parquet(lake.path(HOURS))) == want
 
 
+def test_hours_are_added_and_a_landed_calendar_goes_first(lake):
+    spark = lake.spark
+    build_date_dimension(lake, hours=("2019-05-01", "2019-05-01 02:00:00"))
+    landed = spark.read.parquet(lake.path(HOURS)).filter("hour = 1").withColumn(
+        "day_name", F.lit("Holiday")
+    )
+    replace_landing(landed, lake.path("stg.pub_dim_date"))
+    times = spark.createDataFrame(
+        [("2019-12-31 23:58:00",), ("9999-01-01 00:00:00",), ("soon",), (None,)], "t string"
+    )
+    build_date_dimension(lake, times, "t")
+    hours = spark.read.parquet(lake.path(HOURS))
+    assert hours.count() == 3 + 2 * 744 == hours.select("dwid").distinct().count()
+    assert rows(hours.filter("year = 2019 AND month = 5"), "hour", "day_name") == [
+        (0, "Wednesday"), (1, "Holiday"), (2, "Wednesday"),
+    ]
+    # Trips are joined with hours of any of these years.
+    trips = times.withColumnRenamed("t", "pickup_datetime")
+    assert join_hour_dim(trips, hours).count() == 2
+
+
+def test_a_zone_that_occurs_twice_is_an_error_unless_allowed(spark):
+    dim = zones(spark, (1, "A", "Z1", "S1"), (1, "A", "Z1", "S2"), (2, "B", "Z2", "S2"))
+    trips = spark.createDataFrame(
+        [("t", "2020-01-01 00:00:00", "2020-01-01 00:10:00", 1.0, 2.0, 1, 2)],
+        "tlc_trip_type string, pickup_datetime string, dropoff_datetime string,"
+        "trip_distance double, total_amount double, pulocationid bigint, dolocationid bigint",
+    )
+    with pytest.raises(ValueError, match="twice"):
+        widen_trips(trips, dim)
+    assert widen_trips(trips, dim, repeated_zones=True).count() == 2
+
+
+def test_commits_are_consumed_once_each(lake):
+    """Two commits wait; one is taken at a time, then none is left."""
+    spark = lake.spark
+    create_databases(lake)
+    for i, instant in enumerate(("20200201000000", "20200202000000"), 1):
+        replace_landing(zones(spark, (i, "A", f"Z{i}", "S"), (9, "A", f"Z{i}", "S")),
+                        lake.path("stg.geo_taxi_zone"))
+        load_zones(lake, 2020, i, instant, ts=i)
+    state = lambda: rows(
+        snapshot_scan(spark, lake.path("dwh.geo_taxi_zone")), "locationid", "zone")
+    conform_zones(lake, "20200301000000", max_commits=1)
+    assert state() == [(1, "Z1"), (9, "Z1")]
+    for _ in range(2):  # a rerun takes the same commit again
+        conform_zones(lake, "20200302000000", max_commits=1)
+        assert state() == [(1, "Z1"), (2, "Z2"), (9, "Z2")]
+    conform_zones(lake, "20200303000000")
+    assert state() == [(1, "Z1"), (2, "Z2"), (9, "Z2")]
+
+
 def test_partitions_are_attached_without_a_copy(lake):
     spark = lake.spark
     create_databases(lake, replace=True)

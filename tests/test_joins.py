@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.operators import joins
-from tidelake.operators.joins import hot_keys, join_dimension, rows_without, size_in_bytes
+from tidelake.operators.joins import (
+    hot_keys, join_dimension, measured, rows_without, size_in_bytes,
+)
 from tidelake.plans.mart import join_hour_dim, widen_trips
 
 
@@ -62,13 +64,29 @@ def test_hot_keys(spark):
     assert hot_keys(fact, "k", 10_000).isEmpty()
 
 
-def test_hot_keys_that_do_not_fit_are_reduced_to_hotter_ones(spark, monkeypatch):
-    """With room for one key's row only, the others go through the shuffle."""
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 60)
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_that_do_not_fit_are_dealt_to_many_tasks(spark, monkeypatch, how):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    fact, dim = sides(spark)
+    want = fact.join(dim, fact.k == dim.key, how).select("id", "k", "name").collect()
+    got = join_dimension(fact, dim, F.col("k"), "key", {"name": "name"}, how, hot_rows=11)
+    assert sorted(got.collect(), key=str) == sorted(want, key=str)
+
+
+def test_hot_keys_from_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SAMPLED_ROWS", 50)
+    fact = spark.range(40_000).select(F.when(F.col("id") % 4 == 0, 7).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in hot_keys(fact, "k", 5_000).collect()] == [(7, 10_001)]
+
+
+def test_a_dimension_is_measured_once(spark):
     fact, dim = sides(spark)
-    want = sorted(fact.join(dim, fact.k == dim.key).select("id", "k", "name").collect())
-    got = join_dimension(fact, dim, F.col("k"), "key", {"name": "name"}, hot_rows=11)
-    assert sorted(got.collect()) == want
+    known = measured(dim, "key")
+    assert known.small and not known.repeated
+    assert measured(dim.unionAll(dim), "key").repeated
+    assert not measured(dim, "key", 10).small
+    want = fact.join(dim, fact.k == dim.key).count()
+    assert join_dimension(fact, known, F.col("k"), "key", {"name": "name"}).count() == want
 
 
 def test_only_known_join_types(spark):

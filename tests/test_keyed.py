@@ -3,11 +3,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidelake.lake import read_partitions
 from tidelake.operators.keyed import (
     incremental_scan, latest_commit, precombine, scan_since_latest_commit, stamp_commit,
 )
 from tidelake.schemas import struct_of
-from tidelake.sinks import keyed
 from tidelake.sinks.keyed import upsert_partitioned, upsert_unpartitioned
 from tidelake.sources.tables import current_snapshot, partitioned_parquet_scan, snapshot_scan
 
@@ -114,16 +114,22 @@ def test_a_moved_key_stays_in_both_partitions_unless_it_is_global(spark, path, t
     assert rows(read(spark, other), "k", "v", "p")[-1] == (9, "J", "x")
 
 
-def test_upsert_with_many_touched_partitions(spark, path, monkeypatch):
-    monkeypatch.setattr(keyed, "LITERAL_PARTITIONS", 2)
-    many = spark.range(20).select(
+def test_upsert_reads_only_touched_partitions_however_many(spark, path):
+    many = spark.range(1_300).select(
         F.col("id").alias("k"), F.lit("a").alias("v"), F.lit(1).cast("bigint").alias("ts"),
-        (F.col("id") % 5).cast("string").alias("p"),
-    )
+        F.concat(F.lit("p,{1} "), F.col("id").cast("string")).alias("p"),
+    ).coalesce(1)
     upsert(many, path, "01")
-    upsert(many.filter("k % 5 < 4").withColumn("v", F.lit("b")), path, "02")
-    got = rows(read(spark, path), "k", "v")
-    assert got == sorted([(i, "b" if i % 5 < 4 else "a") for i in range(20)], key=str)
+    before = set(read(spark, path).inputFiles())
+    few = many.filter("k < 1100")
+    touched = [r.asDict() for r in few.select("p").collect()]
+    stored = read_partitions(spark, path, SCHEMA, touched)
+    assert len(stored.inputFiles()) == 1_100 and stored.count() == 1_100
+    upsert(few.withColumn("v", F.lit("b")), path, "02", schema=SCHEMA)
+    got = read(spark, path)
+    assert got.filter("v = 'b'").count() == 1_100 and got.filter("v = 'a'").count() == 200
+    assert len(before & set(got.inputFiles())) == 200
+    assert read_partitions(spark, path, SCHEMA, [{"p": "nowhere"}]) is None
 
 
 def test_empty_batches(spark, path, tmp_path):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,6 +15,9 @@ from pyspark.sql.types import StructType
 
 from tidelake.schemas import TABLES, Table
 
+#: The scratch folder of the running scope, if there is one.
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
 
 def table_path(root: str, name: str) -> str:
     """Path of ``layer.domain_table``; the stg layer has one folder per domain."""
@@ -34,6 +39,8 @@ def scratch_path(spark: SparkSession) -> str:
     Each application has one folder there, which may be removed once it has ended. There is no
     default: on a cluster no machine's own disk is visible to the others.
     """
+    if _SCOPE.get():
+        return f"{_SCOPE.get()}/{uuid.uuid4().hex}"
     app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -41,6 +48,31 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tidelake/{app}/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch space for steps whose result is written before the scope ends; then it is removed.
+
+    After an error it stays. Inside another scope this is the outer one.
+    """
+    if _SCOPE.get():
+        yield _SCOPE.get()
+        return
+    folder = scratch_path(spark)
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+    remove_folders(spark, [folder])
+
+
+def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete folders with all that is in them; one that does not exist is no error."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once to scratch space and read it back.
 
@@ -78,6 +110,34 @@ def partition_folder(path: str, partition: Mapping[str, str | None]) -> str:
     return "/".join([path, *[f"{c}={escaped(v)}" for c, v in partition.items()]])
 
 
+def folders_glob(path: str, partitions: Iterable[Mapping[str, str | None]]) -> str:
+    """A path pattern for the folders of some partitions; it lists no others."""
+    folders = [partition_folder("", p)[1:] for p in partitions]
+    # Signs that a folder's name may hold and that a pattern would read otherwise.
+    plain = [re.sub(r"([,}{\[\]*?\\])", r"\\\1", f) for f in folders]
+    return f"{path}/{{{','.join(plain)}}}"
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: StructType | None,
+    partitions: list[Mapping[str, str | None]],
+) -> DataFrame | None:
+    """The rows of some partitions of a table, listing only their folders; None if there are none.
+
+    Without a schema it is merged from these folders' files.
+    """
+    if not partitions:
+        return None
+    reader = spark.read.option("basePath", path)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
+    try:
+        return reader.parquet(folders_glob(path, partitions))
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 @dataclass(frozen=True)
 class Lake:
     """One lake: its root path and, for several lakes in one catalog, a database prefix."""

@@ -50,25 +50,41 @@ def date_hour_dimension(spark: SparkSession, start: str, end: str) -> DataFrame:
     bounds = spark.range(1).select(
         local_time(F.lit(start)).alias("lo"), local_time(F.lit(end)).alias("hi")
     )
-    return _hours_between(bounds)
+    number = lambda t: F.year(t) * 12 + F.month(t) - 1
+    months = bounds.select(
+        "lo", "hi", F.explode(F.sequence(number("lo"), number("hi"))).alias("i")
+    ).select("lo", "hi", _month((F.col("i") / 12).cast("int"), F.col("i") % 12 + 1).alias("m"))
+    return describe_hours(_hours_of(months).filter("t >= lo AND t <= hi").select("t"))
 
 
-def date_hour_dimension_of(df: DataFrame, column: str) -> DataFrame:
-    """The hours of all months that ``column`` touches, from the first month to the last."""
+def _month(year: Column, month: Column) -> Column:
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(year, month, F.lit(1), zero, zero, zero)
+
+
+def months_of(df: DataFrame, column: str) -> DataFrame:
+    """The months that ``column`` touches, each by its first instant, as ``m``.
+
+    A time that cannot be read is in no month. Each task hands on a month at most once.
+    """
     t = local_time(column)
-    bounds = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi")).select(
-        _month_start("lo").alias("lo"),
-        (
-            _month_start("hi") + F.expr("INTERVAL '1' MONTH") - F.expr("INTERVAL '1' HOUR")
-        ).alias("hi"),
-    )
-    return _hours_between(bounds)
+    return df.select(_month(F.year(t), F.month(t)).alias("m")).filter("m IS NOT NULL").distinct()
 
 
-def _month_start(column: str) -> Column:
-    return F.expr(f"make_timestamp_ntz(year({column}), month({column}), 1, 0, 0, 0)")
+def date_hour_dimension_of(df: DataFrame, column: str) -> DataFrame:
+    """The hours of all months that ``column`` touches.
 
+    Months become hours where they lie, so a single stray year adds its own months only.
+    """
+    return describe_hours(_hours_of(months_of(df, column)).select("t"))
 
-def _hours_between(bounds: DataFrame) -> DataFrame:
-    hours = F.explode(F.sequence("lo", "hi", F.expr("INTERVAL '1' HOUR")))
-    return describe_hours(bounds.select(hours.alias("t")))
+
+def _hours_of(months: DataFrame) -> DataFrame:
+    """The hours of each month ``m``, as ``t``."""
+    hours = F.dayofmonth(F.last_day(F.col("m").cast("date"))) * 24
+    place = F.explode(F.sequence(F.lit(0), hours - 1))
+    t = F.make_timestamp_ntz(
+        F.year("m"), F.month("m"), (F.col("h") / 24).cast("int") + 1, F.col("h") % 24, F.lit(0),
+        F.lit(0),
+    )
+    return months.withColumn("h", place).withColumn("t", t)

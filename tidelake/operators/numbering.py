@@ -10,6 +10,7 @@ from tidelake.lake import Lake, scratch_path, stage
 from tidelake.operators.joins import broadcast_if_small
 
 _FILE = "_row_file"
+_CHUNK = "_row_chunk"
 _ROW = "_row_index"
 #: Columns that tell equal rows apart.
 ADDRESS = ["_tie_file", "_tie_row"]
@@ -37,7 +38,8 @@ def surrogate_key(
     """Put a dense number 1..n first, as a bigint.
 
     The rows are written once. A row's number is its position in its file plus the rows of all
-    files before it; only these counts, one per file, go through one task.
+    files before it. Files are told apart by the numbers in their names, 16 bytes; their counts are
+    summed by thousands of files, so one task sees one row per thousand.
 
     Without ``order_by`` the order is arbitrary and no row is shuffled. With it, rows are
     range-sorted first. ``unique`` says that the order columns identify a row; otherwise equal
@@ -55,34 +57,53 @@ def surrogate_key(
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.parquet(path)
+    file = F.col("_metadata.file_name")
     rows = (
         spark.read.schema(df.schema)
         .parquet(path)
         .select(
             "*",
-            F.col("_metadata.file_name").alias(_FILE),
+            F.regexp_extract(file, r"^part-(\d+)", 1).cast("bigint").alias(_FILE),
+            F.coalesce(
+                F.regexp_extract(file, r"-c(\d+)", 1).try_cast("bigint"), F.lit(0)
+            ).alias(_CHUNK),
             F.col("_metadata.row_index").alias(_ROW),
         )
     )
-    part = F.regexp_extract(_FILE, r"^part-(\d+)", 1).cast("bigint")
-    before = Window.orderBy("part", _FILE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(_FILE)
-        .agg(F.count("*").alias("rows"))
-        .withColumn("part", part)
-        .select(_FILE, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_offset"))
+    counts = rows.groupBy(_FILE, _CHUNK).agg(F.count("*").alias("rows")).withColumn(
+        "thousand", F.floor(F.col(_FILE) / 1000)
     )
-    return rows.join(broadcast_if_small(offsets), _FILE).select(
+    before = Window.orderBy("thousand").rowsBetween(Window.unboundedPreceding, -1)
+    thousands = counts.groupBy("thousand").agg(F.sum("rows").alias("all")).select(
+        "thousand", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base")
+    )
+    within = Window.partitionBy("thousand").orderBy(_FILE, _CHUNK).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = counts.withColumn(
+        "since", F.coalesce(F.sum("rows").over(within), F.lit(0))
+    ).join(thousands, "thousand").select(
+        _FILE, _CHUNK, (F.col("base") + F.col("since")).alias("_offset")
+    )
+    return rows.join(broadcast_if_small(offsets), [_FILE, _CHUNK]).select(
         (F.col("_offset") + F.col(_ROW) + 1).alias(name), *columns
     )
 
 
 def sample_every_nth(
-    df: DataFrame, n: int, order_by: Sequence[str], unique: bool = False
+    df: DataFrame, n: int, order_by: Sequence[str], unique: bool = False, is_scan: bool = False
 ) -> DataFrame:
-    """Rows n, 2n, 3n, … in the given order."""
-    numbered = surrogate_key(df, "_number", order_by, unique)
-    return numbered.filter(F.col("_number") % n == 0).drop("_number")
+    """Rows n, 2n, 3n, … in the given order.
+
+    Only the order's columns and the rows' addresses are sorted; of the rest of the columns just
+    the rows found are fetched. ``is_scan`` is that of ``with_address``.
+    """
+    placed = with_address(df, is_scan)
+    tie = [] if unique else ADDRESS
+    keys = placed.select(*dict.fromkeys([*order_by, *ADDRESS]))
+    numbered = surrogate_key(keys, "_number", [*order_by, *tie], unique=True)
+    found = stage(numbered.filter(F.col("_number") % n == 0).select(*ADDRESS))
+    return placed.join(broadcast_if_small(found), ADDRESS, "left_semi").drop(*ADDRESS)
 
 
 def preview(df: DataFrame, n: int = 1, order_by: Sequence[str] = ()) -> DataFrame:

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tidelake.lake import Lake
-from tidelake.operators.dimensions import date_hour_dimension
-from tidelake.plans.geo import (
-    conform_zones, geo_dimension_chain, load_zones, month_start, publish_zones,
-)
+from tidelake.lake import Lake, path_exists, scratch_scope
+from tidelake.operators.dimensions import date_hour_dimension, date_hour_dimension_of
+from tidelake.plans.geo import conform_zones, geo_dimension_chain, load_zones, publish_zones
 from tidelake.plans.mart import (
-    HOURS, UNION, WIDE, ZONES, build_union_trip, build_wide_trip, publish_months, trip_mart,
+    HOURS, UNION, WIDE, ZONES, build_union_trip, build_wide_trip, publish_months,
 )
 from tidelake.plans.trips import load_feed, month_of, publish_feed, trip_ingest_chain
 from tidelake.schemas import TABLES, TRIP_FEEDS
@@ -23,16 +21,46 @@ from tidelake.sources.csv import csv_scan_with_schema
 from tidelake.sources.tables import partitioned_parquet_scan
 
 
-def build_date_dimension(lake: Lake, first: str, last: str) -> None:
-    """Generate the hours from ``first`` to ``last`` and replace the dimension."""
-    overwrite_table(date_hour_dimension(lake.spark, first, last), lake.path(HOURS))
+def build_date_dimension(
+    lake: Lake, months_in: DataFrame | None = None, column: str = "pickup_datetime",
+    hours: tuple[str, str] | None = None,
+) -> None:
+    """Add hours to the dimension: those of all months in the data, and a range.
+
+    Hours that are stored stay as they are, whatever their year. A landed calendar goes before
+    them; only hours that neither has are generated.
+    """
+    spark, schema = lake.spark, lake.schema(HOURS)
+    found = []
+    landed = lake.path("stg.pub_dim_date")
+    if path_exists(spark, landed):
+        found.append(csv_scan_with_schema(spark, landed, lake.schema("stg.pub_dim_date")))
+    if path_exists(spark, lake.path(HOURS)):
+        found.append(spark.read.schema(schema).parquet(lake.path(HOURS)))
+    if months_in is not None:
+        found.append(date_hour_dimension_of(months_in, column))
+    if hours is not None:
+        found.append(date_hour_dimension(spark, *hours))
+    names = schema.names
+    ranked = [
+        df.filter("dwid IS NOT NULL").select(*names, F.lit(rank).alias("_rank"))
+        for rank, df in enumerate(found)
+    ]
+    if not ranked:
+        return
+    first = reduce(DataFrame.unionAll, ranked).groupBy("dwid").agg(
+        F.min(F.struct("_rank", *[c for c in names if c != "dwid"])).alias("_first")
+    )
+    with scratch_scope(spark):
+        overwrite_table(first.select("dwid", "_first.*").select(*names), lake.path(HOURS))
 
 
 def load_date_dimension(lake: Lake, header: bool = True) -> None:
     """Replace the dimension with the landed CSV of hours."""
     name = "stg.pub_dim_date"
     raw = csv_scan_with_schema(lake.spark, lake.path(name), lake.schema(name), header)
-    overwrite_table(raw, lake.path(HOURS))
+    with scratch_scope(lake.spark):
+        overwrite_table(raw, lake.path(HOURS))
 
 
 def catalog_feeds(lake: Lake) -> dict[str, DataFrame]:
@@ -53,15 +81,17 @@ def jobs(
     instant: str,
     after: str | None = None,
     ts: int | None = None,
+    max_commits: int | None = None,
+    global_key: bool = False,
 ) -> dict[str, Callable[[], None]]:
     """Each table's job by name, to run single steps of a month in any order.
 
     ``<layer>_<domain>_create`` creates the tables of a domain, ``…_<table>_create`` one of
     them; ``…_insert``, ``…_upsert`` and ``…_overwrite`` fill a table.
     """
-    after = month_start(year, month) if after is None else after
     partition = month_of(year, month)
     found: dict[str, Callable[[], None]] = {}
+    # The names of the jobs, from the names of the layers and tables.
     for name, table in TABLES.items():
         if name.startswith("stg.") or table.keys:
             continue
@@ -84,8 +114,12 @@ def jobs(
         publish_months(lake, WIDE, partition)
 
     found["ods_geo_taxi_zone_insert"] = partial(load_zones, lake, year, month, instant, ts)
-    found["dwh_geo_taxi_zone_upsert"] = partial(conform_zones, lake, after, instant)
-    found["dmt_geo_dim_taxi_zone_upsert"] = partial(publish_zones, lake, after, instant)
+    found["dwh_geo_taxi_zone_upsert"] = partial(
+        conform_zones, lake, instant, after, max_commits
+    )
+    found["dmt_geo_dim_taxi_zone_upsert"] = partial(
+        publish_zones, lake, instant, after, max_commits, global_key
+    )
     found["dmt_pub_dim_date_overwrite"] = partial(load_date_dimension, lake)
     found["dmt_tlc_union_trip_insert"] = union
     found["dmt_tlc_wide_trip_insert"] = wide
@@ -102,15 +136,25 @@ def monthly_build(
     hours: tuple[str, str] | None = None,
     how: str = "inner",
     order_by: Sequence[str] = (),
+    max_commits: int | None = None,
+    global_key: bool = False,
+    repeated_zones: bool = False,
 ) -> None:
     """Trips, zones and hours, then the marts of one month. The first error stops the build.
 
-    The month's raw files must have landed and the tables must have been created. ``hours``
-    bounds the hour dimension; by default it is the whole year.
+    The month's raw files must have landed and the tables must have been created. The hour
+    dimension gains the hours of all months in which the month's trips begin, and those of the
+    range ``hours``. A zone that moves to another service zone needs ``global_key``; else it is
+    there twice, which is an error unless ``repeated_zones``.
     """
+    partition = month_of(year, month)
     trip_ingest_chain(lake, year, month)
-    geo_dimension_chain(lake, year, month, instant, after, ts)
-    build_date_dimension(
-        lake, *(hours or (f"{year:04d}-01-01 00:00:00", f"{year:04d}-12-31 23:00:00"))
+    geo_dimension_chain(lake, year, month, instant, after, ts, max_commits, global_key)
+    build_union_trip(lake, catalog_feeds(lake), partition)
+    trips = partitioned_parquet_scan(
+        lake.spark, lake.path(UNION), lake.schema(UNION), **partition
     )
-    trip_mart(lake, catalog_feeds(lake), current_zones(lake), month_of(year, month), how, order_by)
+    build_date_dimension(lake, trips, hours=hours)
+    build_wide_trip(lake, current_zones(lake), partition, how, order_by, repeated_zones)
+    for name in (UNION, WIDE):
+        publish_months(lake, name, partition)

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidelake.functions.text import strip_chars
 from tidelake.functions.times import load_ts
-from tidelake.lake import Lake
-from tidelake.operators.keyed import incremental_scan
+from tidelake.lake import Lake, scratch_scope, stage
+from tidelake.operators.keyed import incremental_scan, latest_commit
 from tidelake.operators.project import exclude_columns, star_append
 from tidelake.schemas import COMMIT_TIME
 from tidelake.sinks.catalog import create_table, register_catalog
-from tidelake.sinks.keyed import upsert_partitioned, upsert_unpartitioned
+from tidelake.sinks.keyed import (
+    consumed_before, note_consumed, upsert_partitioned, upsert_unpartitioned,
+)
 from tidelake.sources.csv import load_csv_as_view
 from tidelake.sources.tables import current_snapshot, partitioned_parquet_scan, snapshot_scan
 
@@ -20,22 +22,29 @@ STG, ODS, DWH, DMT = (
 )
 
 
-def month_start(year: int, month: int) -> str:
-    """The instant at which a month begins."""
-    return f"{year:04d}{month:02d}01000000"
-
-
 def _upsert_partitioned(lake: Lake, name: str, batch, instant: str, global_key: bool) -> None:
     table = lake.table(name)
-    upsert_partitioned(
+    touched = upsert_partitioned(
         batch, lake.path(name), table.keys, table.precombine, table.partition_by, instant,
         schema=table.schema, global_key=global_key,
     )
     register_catalog(
-        lake.spark, lake.catalog_name(name), table.schema, lake.path(name), table.partition_by
+        lake.spark, lake.catalog_name(name), table.schema, lake.path(name), table.partition_by,
+        touched.written, touched.emptied,
     )
 
 
+def _new_rows(
+    lake: Lake, source: DataFrame, target: str, instant: str, after: str | None,
+    max_commits: int | None,
+) -> tuple[DataFrame, str]:
+    """Rows of the source's commits that the target has not taken in, and the last of these."""
+    if after is None:
+        after = consumed_before(lake.spark, lake.path(target), instant)
+    rows = stage(incremental_scan(source, after, max_commits))
+    return rows, latest_commit(rows) or after
+
+
 def load_zones(
     lake: Lake, year: int, month: int, instant: str, ts: int | None = None, header: bool = True
 ) -> None:
@@ -47,30 +56,39 @@ def load_zones(
     _upsert_partitioned(lake, ODS, batch, instant, global_key=False)
 
 
-def conform_zones(lake: Lake, after: str, instant: str, max_commits: int | None = 1) -> None:
-    """Upsert the rows of the first new ods commits into the current state of all zones."""
+def conform_zones(
+    lake: Lake, instant: str, after: str | None = None, max_commits: int | None = None
+) -> None:
+    """Upsert the rows of new ods commits into the current state of all zones.
+
+    New are the commits after ``after``; by default after the last one that an earlier commit of
+    this table took in. ``max_commits`` leaves later ones for the next run.
+    """
     ods = partitioned_parquet_scan(lake.spark, lake.path(ODS), lake.schema(ODS))
-    batch = exclude_columns(incremental_scan(ods, after, max_commits))
+    rows, last = _new_rows(lake, ods, DWH, instant, after, max_commits)
     table = lake.table(DWH)
     upsert_unpartitioned(
-        batch, lake.path(DWH), table.keys, table.precombine, instant, schema=table.schema
+        exclude_columns(rows), lake.path(DWH), table.keys, table.precombine, instant,
+        schema=table.schema,
     )
+    note_consumed(lake.spark, lake.path(DWH), instant, last)
     _, snapshot = current_snapshot(lake.spark, lake.path(DWH))
     create_table(lake.spark, lake.catalog_name(DWH), table.schema, snapshot, replace=True)
 
 
 def publish_zones(
-    lake: Lake, after: str, instant: str, max_commits: int | None = 1, global_key: bool = False
+    lake: Lake, instant: str, after: str | None = None, max_commits: int | None = None,
+    global_key: bool = False,
 ) -> None:
-    """Upsert the rows of the first new dwh commits into the mart, by service zone.
+    """Upsert the rows of new dwh commits into the mart, by service zone.
 
     A zone that changes its service zone stays in the old partition too, unless ``global_key``.
     """
     dwh = snapshot_scan(lake.spark, lake.path(DWH), lake.schema(DWH))
-    batch = incremental_scan(dwh, after, max_commits).withColumn(
-        "service_zone", strip_chars(F.col("service_zone"))
-    )
+    rows, last = _new_rows(lake, dwh, DMT, instant, after, max_commits)
+    batch = rows.withColumn("service_zone", strip_chars(F.col("service_zone")))
     _upsert_partitioned(lake, DMT, batch.drop(COMMIT_TIME), instant, global_key)
+    note_consumed(lake.spark, lake.path(DMT), instant, last)
 
 
 def geo_dimension_chain(
@@ -80,14 +98,15 @@ def geo_dimension_chain(
     instant: str,
     after: str | None = None,
     ts: int | None = None,
-    max_commits: int | None = 1,
+    max_commits: int | None = None,
     global_key: bool = False,
 ) -> None:
-    """One month through all layers.
+    """One month through all layers, at the instant of the run.
 
-    ``after`` is the last instant consumed by the layers above; by default the month's start.
+    Every commit that a layer has not taken in yet is consumed, in whichever month it was made.
+    ``after`` takes another instant as the last one consumed, in both upper layers.
     """
-    after = month_start(year, month) if after is None else after
-    load_zones(lake, year, month, instant, ts)
-    conform_zones(lake, after, instant, max_commits)
-    publish_zones(lake, after, instant, max_commits, global_key)
+    with scratch_scope(lake.spark):
+        load_zones(lake, year, month, instant, ts)
+        conform_zones(lake, instant, after, max_commits)
+        publish_zones(lake, instant, after, max_commits, global_key)

@@ -12,8 +12,8 @@ from tidelake.functions.rates import (
 )
 from tidelake.functions.text import route_label
 from tidelake.functions.times import elapsed_seconds, hour_key
-from tidelake.lake import Lake, partition_folder
-from tidelake.operators.joins import join_dimension
+from tidelake.lake import Lake, partition_folder, scratch_scope
+from tidelake.operators.joins import Dimension, join_dimension, measured
 from tidelake.operators.numbering import ADDRESS, surrogate_key, with_address
 from tidelake.operators.union import union_sources
 from tidelake.schemas import TABLES, TRIP_FEEDS, TRIP_RENAMES
@@ -62,7 +62,9 @@ def trip_metrics(trips: DataFrame, metered: Sequence[str] = METERED_TYPES) -> Da
     ).drop("_seconds")
 
 
-def join_hour_dim(trips: DataFrame, hours: DataFrame, how: str = "inner") -> DataFrame:
+def join_hour_dim(
+    trips: DataFrame, hours: DataFrame | Dimension, how: str = "inner"
+) -> DataFrame:
     """Hour columns by the computed key of the pickup time.
 
     A time that cannot be read gets a key that no hour has. So the key is never NULL, and the
@@ -73,28 +75,51 @@ def join_hour_dim(trips: DataFrame, hours: DataFrame, how: str = "inner") -> Dat
     return join_dimension(trips, hours, key, "dwid", take, how)
 
 
-def join_pickup_zone(trips: DataFrame, zones: DataFrame, how: str = "inner") -> DataFrame:
+def join_pickup_zone(
+    trips: DataFrame, zones: DataFrame | Dimension, how: str = "inner"
+) -> DataFrame:
     take = {c: f"pu_{c}" for c in ZONE_COLUMNS}
     return join_dimension(trips, zones, F.col("pulocationid"), "locationid", take, how)
 
 
-def join_dropoff_zone(trips: DataFrame, zones: DataFrame, how: str = "inner") -> DataFrame:
+def join_dropoff_zone(
+    trips: DataFrame, zones: DataFrame | Dimension, how: str = "inner"
+) -> DataFrame:
     take = {c: f"do_{c}" for c in ZONE_COLUMNS}
     return join_dimension(trips, zones, F.col("dolocationid"), "locationid", take, how)
 
 
+def measured_zones(zones: DataFrame | Dimension, repeated_zones: bool = False) -> Dimension:
+    """The zones, measured once for both ends. A repeated zone key is an error unless allowed.
+
+    A repeated zone would double each of its trips per end.
+    """
+    if not isinstance(zones, Dimension):
+        zones = measured(zones.select("locationid", *ZONE_COLUMNS), "locationid")
+    if zones.repeated and not repeated_zones:
+        raise ValueError("a zone occurs twice; publish zones with global_key, or allow it")
+    return zones
+
+
+def measured_hours(hours: DataFrame | Dimension) -> Dimension:
+    if isinstance(hours, Dimension):
+        return hours
+    return measured(hours.select("dwid", *HOUR_COLUMNS), "dwid")
+
+
 def widen_trips(
     trips: DataFrame,
-    zones: DataFrame,
-    hours: DataFrame | None = None,
+    zones: DataFrame | Dimension,
+    hours: DataFrame | Dimension | None = None,
     how: str = "inner",
     metered: Sequence[str] = METERED_TYPES,
+    repeated_zones: bool = False,
 ) -> DataFrame:
     """Trips with metrics, hour and both zones, without a number.
 
     With inner joins a trip without a known hour or zone is left out.
     """
-    wide = trips
+    wide, zones = trips, measured_zones(zones, repeated_zones)
     if hours is not None:
         wide = join_hour_dim(wide, hours, how)
     wide = join_dropoff_zone(join_pickup_zone(wide, zones, how), zones, how)
@@ -102,20 +127,40 @@ def widen_trips(
     return trip_metrics(wide, metered)
 
 
+def known_trips(trips: DataFrame, zones: Dimension, hours: Dimension) -> DataFrame:
+    """The trips whose hour and zones are known, with their own columns."""
+    key = F.coalesce(hour_key("pickup_datetime"), F.lit(-1))
+    found = join_dimension(trips, hours, key, "dwid", {})
+    for end in ("pulocationid", "dolocationid"):
+        found = join_dimension(found, zones, F.col(end), "locationid", {})
+    return found
+
+
 def wide_trips(
-    trips: DataFrame, zones: DataFrame, hours: DataFrame, how: str = "inner",
-    order_by: Sequence[str] = (), is_scan: bool = False,
+    trips: DataFrame, zones: DataFrame | Dimension, hours: DataFrame | Dimension,
+    how: str = "inner", order_by: Sequence[str] = (), is_scan: bool = False,
+    repeated_zones: bool = False,
 ) -> DataFrame:
     """The wide mart. ``dwid`` is dense and unique within the result.
 
-    Numbers that follow an order need equal trips told apart; this is done before the trips
-    are widened, while their rows are short. ``is_scan`` says that the trips read Parquet files.
+    The trips that stay are numbered while their rows are short, and widened only as they are
+    read. Where a dimension's key repeats, trips multiply, so the wide rows are numbered. Numbers
+    that follow an order need equal trips told apart. ``is_scan`` says that the trips read
+    Parquet files.
     """
     columns = [c for c in TABLES[WIDE].schema.names if c != "dwid"]
-    if not order_by:
-        return surrogate_key(widen_trips(trips, zones, hours, how).select(*columns))
-    wide = widen_trips(with_address(trips, is_scan), zones, hours, how).select(*columns, *ADDRESS)
-    return surrogate_key(wide, "dwid", [*order_by, *ADDRESS], unique=True).drop(*ADDRESS)
+    zones, hours = measured_zones(zones, repeated_zones), measured_hours(hours)
+    placed = with_address(trips, is_scan) if order_by else trips
+    order = [*order_by, *ADDRESS] if order_by else []
+    if zones.repeated or hours.repeated:
+        wide = widen_trips(placed, zones, hours, how, repeated_zones=True)
+        wide = wide.select(*columns, *(ADDRESS if order else []))
+        # Copies of one trip have its address, so the ends' zones tell them apart.
+        ends = [f"{end}_{c}" for end in ("pu", "do") for c in ZONE_COLUMNS] if order else []
+        return surrogate_key(wide, "dwid", [*order, *ends], unique=True).drop(*ADDRESS)
+    kept = known_trips(placed, zones, hours) if how == "inner" else placed
+    numbered = surrogate_key(kept, "dwid", order, unique=True).drop(*ADDRESS)
+    return widen_trips(numbered, zones, hours, how).select("dwid", *columns)
 
 
 def build_union_trip(
@@ -149,20 +194,24 @@ def build_wide_trip(
     month: Mapping[str, str] | None = None,
     how: str = "inner",
     order_by: Sequence[str] = (),
+    repeated_zones: bool = False,
 ) -> None:
     """Replace the month, or every month, of the wide mart. Numbers restart with each call.
 
-    Without ``order_by`` nothing is shuffled: trips stay with those of their month. Rows that
-    were sorted for their numbers are gathered by month again.
+    Wide rows are written once, into the mart. Without ``order_by`` nothing is shuffled: trips
+    stay with those of their month. Rows that were sorted for their numbers are gathered by month
+    again.
     """
     trips = partitioned_parquet_scan(
         lake.spark, lake.path(UNION), lake.schema(UNION), **(month or {})
     )
     hours = lake.spark.read.schema(lake.schema(HOURS)).parquet(lake.path(HOURS))
-    overwrite_partitions(
-        wide_trips(trips, zones, hours, how, order_by, is_scan=True), lake.path(WIDE),
-        lake.table(WIDE).partition_by, rebalance=bool(order_by) and not month,
-    )
+    with scratch_scope(lake.spark):
+        wide = wide_trips(trips, zones, hours, how, order_by, True, repeated_zones)
+        overwrite_partitions(
+            wide, lake.path(WIDE), lake.table(WIDE).partition_by,
+            rebalance=bool(order_by) and not month,
+        )
 
 
 def trip_mart(
@@ -173,12 +222,13 @@ def trip_mart(
     how: str = "inner",
     order_by: Sequence[str] = (),
     clustered: bool = True,
+    repeated_zones: bool = False,
 ) -> None:
     """Union, then wide mart."""
     if set(feeds) - set(TRIP_FEEDS):
         raise ValueError(f"unknown feeds {set(feeds) - set(TRIP_FEEDS)}")
     build_union_trip(lake, feeds, month, clustered)
-    build_wide_trip(lake, zones, month, how, order_by)
+    build_wide_trip(lake, zones, month, how, order_by, repeated_zones)
     for name in (UNION, WIDE):
         publish_months(lake, name, month)
 

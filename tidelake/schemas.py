@@ -76,6 +76,7 @@ _DATE = (
     "quarter int, week int, day_name string, month_name string, weekend_flag boolean"
 )
 
+# The feeds, and the columns that the union calls by other names.
 TRIP_FEEDS = ("yellow", "green", "fhv", "fhvhv")
 
 #: Column renames that bring each feed to the names of the union schema.

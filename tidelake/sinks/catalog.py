@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidelake.lake import Lake
+from tidelake.lake import Lake, partition_folder
 from tidelake.schemas import TABLES
 
 # The layers.
@@ -80,15 +80,35 @@ def register_catalog(
     schema: StructType,
     path: str,
     partition_by: Sequence[str] = (),
+    added: Sequence[Mapping[str, str | None]] | None = None,
+    removed: Sequence[Mapping[str, str | None]] = (),
 ) -> None:
-    """Register a written table, or bring its entry up to the files' partitions and schema."""
-    if spark.catalog.tableExists(name) and (
-        set(spark.table(name).columns) != set(schema.names) or not partition_by
-    ):
+    """Register a written table, or bring its entry up to the files' partitions and schema.
+
+    ``added`` and ``removed`` name the partitions that have changed; without them the table's
+    folders are all listed.
+    """
+    known = spark.catalog.tableExists(name)
+    if known and (set(spark.table(name).columns) != set(schema.names) or not partition_by):
         drop_tables(spark, [name])
+        known = False
     create_table(spark, name, schema, path, partition_by)
-    if partition_by:
+    changed = [*(added or ()), *removed]
+    # A null partition has no literal in these statements.
+    listed = not known or added is None or any(v in (None, "") for p in changed for v in p.values())
+    if partition_by and listed:
         spark.sql(f"MSCK REPAIR TABLE {_name(name)} SYNC PARTITIONS")
+    elif partition_by:
+        # Many partitions in a statement, but not without bound.
+        for i in range(0, len(added), 1000):
+            own = [
+                f"PARTITION ({_spec(p)}) LOCATION {_text(partition_folder(path, p))}"
+                for p in added[i : i + 1000]
+            ]
+            spark.sql(f"ALTER TABLE {_name(name)} ADD IF NOT EXISTS {' '.join(own)}")
+        for i in range(0, len(removed), 1000):
+            own = ", ".join(f"PARTITION ({_spec(p)})" for p in removed[i : i + 1000])
+            spark.sql(f"ALTER TABLE {_name(name)} DROP IF EXISTS {own}")
     spark.sql(f"REFRESH TABLE {_name(name)}")
 
 

@@ -3,65 +3,83 @@
 A partitioned keyed table is a Hive-style Parquet table of live rows. An unpartitioned one is
 ``<path>/snapshots/<instant>-<id>`` with a log ``<path>/commits``; a snapshot counts once it is in
 the log, so a failed write leaves the table as it was.
+
+Either kind may have a log ``<path>/_consumed``: for each commit the last commit of its source that
+it has taken in. Parquet readers do not see it.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidelake.lake import partition_folder, path_exists, stage
+from tidelake.lake import partition_folder, path_exists, read_partitions, remove_folders, stage
 from tidelake.operators.joins import broadcast_if_small
-from tidelake.operators.keyed import merge_rows, precombine, rows_without, stamp_commit
+from tidelake.operators.keyed import merge_rows, precombine, stamp_commit
 from tidelake.sinks.parquet import append_table, overwrite_partitions
 from tidelake.sources.tables import COMMIT_LOG, current_snapshot
 
-#: Up to this many touched partitions become a literal filter that prunes folders when planning.
-LITERAL_PARTITIONS = 1000
+CONSUMED_LOG = StructType(
+    [
+        StructField("instant", StringType()),
+        StructField("consumed", StringType()),
+        StructField("written", StringType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Touched:
+    """Partitions that an upsert wrote, and those that it left without rows."""
+
+    written: list[dict] = field(default_factory=list)
+    emptied: list[dict] = field(default_factory=list)
+
 
+def _now() -> str:
+    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
+def consumed_before(spark: SparkSession, path: str, instant: str) -> str:
+    """The last source commit that commits before ``instant`` have taken in; '' if none did.
+
+    A rerun of a commit does not count itself, so it takes in the same again.
+    """
+    if not path_exists(spark, f"{path}/_consumed"):
+        return ""
+    log = spark.read.schema(CONSUMED_LOG).parquet(f"{path}/_consumed")
+    return log.filter(F.col("instant") < instant).agg(F.max("consumed")).first()[0] or ""
 
-def _stored_schema(
-    spark: SparkSession, path: str, batch: DataFrame, schema: StructType | None
+
+def note_consumed(spark: SparkSession, path: str, instant: str, consumed: str) -> None:
+    """Log the last source commit that the commit ``instant`` has taken in."""
+    entry = spark.createDataFrame([(instant, consumed, _now())], CONSUMED_LOG)
+    append_table(entry.coalesce(1), f"{path}/_consumed")
+
+
+def _full_schema(
+    batch: DataFrame, stored: DataFrame | None, schema: StructType | None
 ) -> StructType:
-    """The given schema, or the batch's columns and those only the stored files have."""
+    """The given schema, or the batch's columns and those only the stored rows have."""
     if schema is not None:
         missing = set(batch.columns) - set(schema.names)
         if missing:
             raise ValueError(f"columns {sorted(missing)} are not in the table's schema")
         return schema
-    try:
-        stored = spark.read.option("mergeSchema", True).parquet(path).schema
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return batch.schema
     have = set(batch.columns)
-    return StructType(list(batch.schema) + [f for f in stored if f.name not in have])
-
+    more = [f for f in stored.schema if f.name not in have] if stored is not None else []
+    return StructType(list(batch.schema) + more)
 
-def _matches(row: Row, columns: Sequence[str]) -> Column:
-    return reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns])
 
-
-def _in_partitions(
-    stored: DataFrame, partitions: DataFrame, columns: Sequence[str]
-) -> DataFrame:
-    """Rows of ``stored`` in the given partitions; partition NULL equals NULL."""
-    values = partitions.limit(LITERAL_PARTITIONS + 1).collect()
-    if len(values) <= LITERAL_PARTITIONS:
-        if not values:
-            return stored.limit(0)
-        return stored.filter(reduce(or_, [_matches(v, columns) for v in values]))
-    right = broadcast_if_small(partitions.select(*[F.col(c).alias(f"_p_{c}") for c in columns]))
-    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in columns])
-    return stored.join(right, on, "left_semi")
+def _partitions(df: DataFrame, partition_by: Sequence[str]) -> list[dict]:
+    """The partitions that occur: one small row for each, of which a batch has few."""
+    rows: list[Row] = df.select(*partition_by).distinct().collect()
+    return [row.asDict() for row in rows]
 
 
 def upsert_partitioned(
@@ -74,43 +92,43 @@ def upsert_partitioned(
     schema: StructType | None = None,
     global_key: bool = False,
     keep_newer: bool = False,
-) -> None:
+) -> Touched:
     """Upsert by (partition, key); only the partitions the batch touches are rewritten.
 
-    A key is unique within a partition only, unless ``global_key``, which also removes the
-    batch's keys from other partitions. ``keep_newer`` keeps a stored row whose precombine
-    value is larger. ``schema`` names all columns and spares a look at the stored files.
-    A rerun of the same batch and instant gives the same table.
+    Of the table only those partitions' folders are listed and read, however many they are. A key
+    is unique within a partition only, unless ``global_key``, which also removes the batch's keys
+    from other partitions; to find them the whole table's keys are read. ``keep_newer`` keeps a
+    stored row whose precombine value is larger. ``schema`` names all columns; without it they
+    come from the touched files. A rerun of the same batch and instant gives the same table.
     """
     spark = batch.sparkSession
     scope = () if global_key else partition_by
-    batch = stamp_commit(precombine(batch, keys, precombine_field, scope), instant)
-    if not path_exists(spark, path):
-        overwrite_partitions(batch, path, partition_by)
-        return
-    read_schema = _stored_schema(spark, path, batch, schema)
-    batch = stage(batch)
-    stored = spark.read.schema(read_schema).parquet(path)
-    touched = batch.select(*partition_by).distinct()
-    if global_key:
+    batch = stage(stamp_commit(precombine(batch, keys, precombine_field, scope), instant))
+    touched = _partitions(batch, partition_by)
+    if global_key and path_exists(spark, path):
+        names = StructType(
+            [f for f in (schema or batch.schema) if f.name in {*keys, *partition_by}]
+        )
         batch_keys = broadcast_if_small(batch.select(*keys))
-        holding = stored.select(*partition_by, *keys).join(batch_keys, list(keys), "left_semi")
-        touched = stage(touched.unionAll(holding.select(*partition_by)).distinct())
-    stored = _in_partitions(stored, touched, partition_by)
+        holding = spark.read.schema(names).parquet(path).join(batch_keys, list(keys), "left_semi")
+        touched += [p for p in _partitions(holding, partition_by) if p not in touched]
+    stored = read_partitions(spark, path, schema, touched)
+    if stored is None:
+        overwrite_partitions(batch, path, partition_by)
+        return Touched(touched)
+    read_schema = _full_schema(batch, stored, schema)
     newer = precombine_field if keep_newer else None
-    merged = merge_rows(stored, batch, keys, scope, newer)
-    merged = merged.select(*read_schema.names)
+    merged = merge_rows(stored, batch, keys, scope, newer).select(*read_schema.names)
     if not global_key:
         overwrite_partitions(merged, path, partition_by)
-        return
+        return Touched(touched)
     merged = stage(merged)
-    left = merged.select(*partition_by).distinct()
-    empty = rows_without(touched, left, (), partition_by)
     overwrite_partitions(merged, path, partition_by)
     # A partition that lost its last row is not in the output, so dynamic overwrite leaves it.
-    no_rows = merged.drop(*partition_by).limit(0)
-    for row in empty.toLocalIterator():
-        no_rows.write.mode("overwrite").parquet(partition_folder(path, row.asDict()))
+    written = _partitions(merged, partition_by)
+    emptied = [p for p in touched if p not in written]
+    remove_folders(spark, [partition_folder(path, p) for p in emptied])
+    return Touched(written, emptied)
 
 
 def upsert_unpartitioned(
@@ -128,13 +146,13 @@ def upsert_unpartitioned(
     newest = current_snapshot(spark, path)
     result = batch
     if newest:
-        read_schema = _stored_schema(spark, newest[1], batch, schema)
         batch = stage(batch)
-        stored = spark.read.schema(read_schema).parquet(newest[1])
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        stored = reader.parquet(newest[1])
+        names = _full_schema(batch, stored, schema).names
         newer = precombine_field if keep_newer else None
-        result = merge_rows(stored, batch, keys, newer_than=newer).select(*read_schema.names)
+        result = merge_rows(stored, batch, keys, newer_than=newer).select(*names)
     snapshot = f"snapshots/{instant}-{uuid.uuid4().hex[:12]}"
     result.write.parquet(f"{path}/{snapshot}")
-    written = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    entry = spark.createDataFrame([(instant, snapshot, written)], COMMIT_LOG)
+    entry = spark.createDataFrame([(instant, snapshot, _now())], COMMIT_LOG)
     append_table(entry.coalesce(1), f"{path}/commits")
