@@ -12,7 +12,7 @@ from tidelake.functions.text import strip_chars
 from tidelake.lake import scratch_path
 from tidelake.operators.dimensions import date_hour_dimension_of
 from tidelake.operators.keyed import precombine, stamp_commit
-from tidelake.plans.mart import HOURS, WIDE, build_union_trip, build_wide_trip
+from tidelake.plans.mart import HOURS, WIDE, build_union_trip, build_wide_trip, union_trips
 from tidelake.schemas import COMMIT_TIME, struct_of
 from tidelake.sinks.catalog import (
     attach_partition, create_databases, create_tables, detach_partition,
