@@ -36,7 +36,7 @@ FEATURES = 1 << 13
 SAMPLE_ROWS = 1_000
 #: At most so many languages, the most frequent ones, are learnt.
 MOST_LANGUAGES = 500
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 3_000_000
 UNKNOWN = "und"
 
 #: Families of closely related languages; a language not named here is a family of its own.

@@ -39,8 +39,8 @@ MARK = "▁"
 #: Cuts up to this many characters are searched in lock-step.
 LOCKSTEP = 48
 #: Cuts searched together.
-LANES = 1 << 16
-SLICE_BYTES = 12_000_000
+LANES = 1 << 14
+SLICE_BYTES = 3_000_000
 #: Score of a byte, in millionths; lower than that of any piece.
 BYTE_SCORE = -20_000_000
 
@@ -349,7 +349,10 @@ def encode(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     spaced = np.full(int(lead[-1]), 32, np.uint8)
     spaced[ranges(lead[:-1] + full, np.diff(at))] = data
     cut = np.zeros(len(spaced) + 1, bool)
-    cut[1:-1] = ~model.joined[spaced[:-1], spaced[1:]]
+    step = 1 << 18  # the index arrays of one step are small
+    for i in range(0, len(spaced) - 1, step):
+        own = spaced[i : i + step + 1]
+        cut[i + 1 : i + len(own)] = ~model.joined[own[:-1], own[1:]]
     cut[lead] = True
     bounds = np.flatnonzero(cut)
     if len(bounds) < 2:
