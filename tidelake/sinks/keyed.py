@@ -45,6 +45,13 @@ def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
 
 
+def _entry(spark: SparkSession, schema: StructType, *values: str) -> DataFrame:
+    """One row of a log."""
+    return spark.range(1, numPartitions=1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, values, strict=True)]
+    )
+
+
 def consumed_before(spark: SparkSession, path: str, instant: str) -> str:
     """The last source commit that commits before ``instant`` have taken in; '' if none did.
 
@@ -58,8 +65,7 @@ def consumed_before(spark: SparkSession, path: str, instant: str) -> str:
 
 def note_consumed(spark: SparkSession, path: str, instant: str, consumed: str) -> None:
     """Log the last source commit that the commit ``instant`` has taken in."""
-    entry = spark.createDataFrame([(instant, consumed, _now())], CONSUMED_LOG)
-    append_table(entry.coalesce(1), f"{path}/_consumed")
+    append_table(_entry(spark, CONSUMED_LOG, instant, consumed, _now()), f"{path}/_consumed")
 
 
 def _full_schema(
@@ -154,5 +160,4 @@ def upsert_unpartitioned(
         result = merge_rows(stored, batch, keys, newer_than=newer).select(*names)
     snapshot = f"snapshots/{instant}-{uuid.uuid4().hex[:12]}"
     result.write.parquet(f"{path}/{snapshot}")
-    entry = spark.createDataFrame([(instant, snapshot, _now())], COMMIT_LOG)
-    append_table(entry.coalesce(1), f"{path}/commits")
+    append_table(_entry(spark, COMMIT_LOG, instant, snapshot, _now()), f"{path}/commits")
