@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 from tidelake.schemas import TABLES, Table
 
+#: Setting of a session for the scratch folder of applications without a checkpoint folder.
+SCRATCH_SETTING = "spark.tidelake.scratch.dir"
 #: The scratch folder of the running scope, if there is one.
 _SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
 
@@ -36,13 +38,16 @@ def view_name(name: str) -> str:
 def scratch_path(spark: SparkSession) -> str:
     """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
 
+    That setting is fixed when the application starts; where it is unset, ``SCRATCH_SETTING`` of
+    the session may name the folder.
+
     Each application has one folder there, which may be removed once it has ended. There is no
     default: on a cluster no machine's own disk is visible to the others.
     """
     if _SCOPE.get():
         return f"{_SCOPE.get()}/{uuid.uuid4().hex}"
     app = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_SETTING, None)
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/tidelake/{app}/{uuid.uuid4().hex}"

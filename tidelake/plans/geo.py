@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.functions.text import strip_chars
@@ -22,6 +24,17 @@ STG, ODS, DWH, DMT = (
 )
 
 
+def _scoped(step):
+    """The step, after which its scratch is removed."""
+
+    @wraps(step)
+    def run(lake: Lake, *args, **options) -> None:
+        with scratch_scope(lake.spark):
+            step(lake, *args, **options)
+
+    return run
+
+
 def _upsert_partitioned(lake: Lake, name: str, batch, instant: str, global_key: bool) -> None:
     table = lake.table(name)
     touched = upsert_partitioned(
@@ -45,6 +58,7 @@ def _new_rows(
     return rows, latest_commit(rows) or after
 
 
+@_scoped
 def load_zones(
     lake: Lake, year: int, month: int, instant: str, ts: int | None = None, header: bool = True
 ) -> None:
@@ -56,6 +70,7 @@ def load_zones(
     _upsert_partitioned(lake, ODS, batch, instant, global_key=False)
 
 
+@_scoped
 def conform_zones(
     lake: Lake, instant: str, after: str | None = None, max_commits: int | None = None
 ) -> None:
@@ -76,6 +91,7 @@ def conform_zones(
     create_table(lake.spark, lake.catalog_name(DWH), table.schema, snapshot, replace=True)
 
 
+@_scoped
 def publish_zones(
     lake: Lake, instant: str, after: str | None = None, max_commits: int | None = None,
     global_key: bool = False,
@@ -91,6 +107,7 @@ def publish_zones(
     note_consumed(lake.spark, lake.path(DMT), instant, last)
 
 
+@_scoped
 def geo_dimension_chain(
     lake: Lake,
     year: int,
@@ -106,7 +123,6 @@ def geo_dimension_chain(
     Every commit that a layer has not taken in yet is consumed, in whichever month it was made.
     ``after`` takes another instant as the last one consumed, in both upper layers.
     """
-    with scratch_scope(lake.spark):
-        load_zones(lake, year, month, instant, ts)
-        conform_zones(lake, instant, after, max_commits)
-        publish_zones(lake, instant, after, max_commits, global_key)
+    load_zones(lake, year, month, instant, ts)
+    conform_zones(lake, instant, after, max_commits)
+    publish_zones(lake, instant, after, max_commits, global_key)
