@@ -33,9 +33,8 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidelake.lake import stage
 from tidelake.llm.common import free_name, slices, utf8
@@ -45,8 +44,8 @@ SKETCH, FANOUT, LEAST_DEPTH, MOST_DEPTH, BUCKET = 64, 2, 2, 5, 256
 #: Classes of a block in the exact check.
 BLOCK = 512
 #: Grams compared at once in the exact check, in bits.
-COLUMNS = 1 << 16
-SLICE_BYTES = 6_000_000
+COLUMNS = 1 << 14
+SLICE_BYTES = 3_000_000
 #: A pair goes to the exact check if so many standard deviations could hide the threshold.
 DEVIATIONS = 4.0
 
@@ -424,12 +423,14 @@ def near_duplicates(
         classes.select(F.col("class").alias("node"), "doc_id"), "node"
     ).groupBy("root").agg(F.min("doc_id").alias("class_id"))
     found = roots.join(named, "root").select(F.col("node").alias("class"), "class_id")
+    # Written, so that the join with the rows can split a class of very many copies.
     known = classes.select("class", "copies", F.col("doc_id").alias("own_id")).join(
         found, "class", "left"
     ).join(links, "class", "left").select(
         "class", "copies", F.coalesce("class_id", "own_id").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
     )
+    known = stage(known)
     worded = rows.filter("class IS NOT NULL").select("doc_id", "n_grams", "class").join(
         known, "class"
     ).select("doc_id", "class_id", "links", "copies", "n_grams")
@@ -495,7 +496,9 @@ def check_groups(
     own, other = F.col("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = sized.select("root", F.col("node").alias("class"), "block", other.alias("other")).select(
         "class",
-        F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+        F.concat("root", F.encode(F.concat_ws(
+            " ", F.least("block", "other"), F.greatest("block", "other")
+        ), "UTF-8")).alias("cell"),
         (own > F.col("other")).cast("int").alias("side"),
     )
     known = cells.join(classes.select("class", "copies", "doc_id"), "class")
