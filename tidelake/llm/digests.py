@@ -67,10 +67,13 @@ class DigestIndex:
         """Append the digests that are new, with the largest id and the number of rows.
 
         ``digests`` has the columns doc_id and digest. Copies are counted before the shuffle, so
-        a large group of them is one row per task.
+        a large group of them is one row per task. The counts are written before the join, which
+        would otherwise be done first, on the rows.
         """
-        batch = digests.groupBy("digest").agg(
-            F.max("doc_id").cast("bigint").alias("keep_id"), F.count("*").alias("group_size")
+        batch = stage(
+            digests.groupBy("digest").agg(
+                F.max("doc_id").cast("bigint").alias("keep_id"), F.count("*").alias("group_size")
+            )
         )
         new = batch.hint("merge").join(self.rows(), "digest", "left_anti")
         new.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(
