@@ -1,6 +1,6 @@
 """Exact top-k search: tiled products of query blocks and shards, and a tree of merged top lists.
 
-Vectors are dealt by their id into shards of about ``SHARD_ROWS``, queries into blocks of about
+Vectors are dealt into shards of about ``SHARD_ROWS``, queries into blocks of about
 ``BLOCK_ROWS``. Each cell of the grid is one task's matrix product; of its scores only the k best
 of each query leave the task. The lists of the shards are then merged in rounds, ``FAN_IN`` shards
 at a time, by rank within the query.
@@ -123,7 +123,8 @@ def exact_top_k(
     n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(asked / block_rows))
     width = F.size("v").alias("width")
-    place = F.xxhash64("id")
+    # Dealt by the place in the staged files, so rows that repeat an id spread, too.
+    place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
     found = rows.select(
         F.col("id").alias("row"), F.col("v").alias("of_row"), width,
         F.pmod(place, F.lit(shards)).alias("shard"),
