@@ -23,8 +23,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, NumericType, StringType
 
-from tidelake.lake import scratch_path, stage
+from tidelake.lake import scratch_path
 from tidelake.llm.common import free_name
+from tidelake.operators.joins import broadcast_if_small
 
 #: Leading bytes of a text dimension that order it, after those that all values share.
 PREFIX_BYTES = 6
@@ -125,7 +126,7 @@ class Layout:
             .withColumn(before, F.coalesce(F.sum(part).over(earlier), F.lit(0))).drop(part)
         )
         # One row of three numbers per file.
-        return rows.join(F.broadcast(sizes), [self.shard, file]).withColumn(
+        return rows.join(broadcast_if_small(sizes), [self.shard, file]).withColumn(
             slot, F.col(before) + F.col(slot)
         ).select(*[f"`{c}`" for c in df.columns], self.shard, self.curve, slot)
 
