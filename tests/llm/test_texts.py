@@ -148,6 +148,19 @@ def test_streaming_search_finds_the_best_pieces(model):
         assert data[data_at[i] : data_at[i + 1]].tobytes() == (text or "").encode()
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["\ue000", "a \ue000 b\ue000▁", "▁" * 60, "x " + "▁" * 60 + "\ue000" * 60 + " y",
+     "日本▁\ue000語" * 30],
+)
+def test_space_marks_and_private_characters_come_back(model, text):
+    ids, at = pieces.encode(model, pa.array([text, "a", text]))
+    data, data_at = pieces.decode(model, ids, at)
+    for i in (0, 2):
+        assert ids[at[i] : at[i + 1]].tolist() == best_ids(model, " " + text)
+        assert data[data_at[i] : data_at[i + 1]].tobytes() == text.encode()
+
+
 def test_stream_keeps_a_short_window(model):
     text = "thenationalrestorationofthe" * 500
     stream, out = pieces.Stream(model), []

@@ -36,6 +36,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidelake.llm.common import ranges, slices, text_array, utf8
 
 MARK = "▁"
+#: Stands for a space mark of the text itself in a search: a surrogate, which no text can hold. It
+#: is in no piece, and its bytes are those of the space mark.
+OWN_MARK = "\ud800"
 #: Cuts up to this many characters are searched in lock-step.
 LOCKSTEP = 48
 #: Cuts searched together.
@@ -153,7 +156,11 @@ class Model:
             self.joined[[i for i in range(128) if i != 32], 32] = False
 
     def bytes_of(self, character: str) -> list[int]:
-        return self.byte_ids[list(character.encode())].tolist()
+        return self.byte_ids[list(_octets(character))].tolist()
+
+
+def _octets(character: str) -> bytes:
+    return (MARK if character == OWN_MARK else character).encode()
 
 
 class Stream:
@@ -167,12 +174,12 @@ class Stream:
         self.window = 0  # most characters that were ever undecided
 
     def push(self, text: str) -> list[int]:
-        """Read more of the text, where spaces are space marks already."""
+        """Read more of the text, where spaces are space marks already and its own are OWN_MARK."""
         model, out = self.model, []
         for character in text:
             self.text += character
             end = len(self.text)
-            value = self.best[end - 1] + BYTE_SCORE * len(character.encode())
+            value = self.best[end - 1] + BYTE_SCORE * len(_octets(character))
             found = (value, end - 1, -1)
             for begin in range(max(0, end - model.longest), end):
                 piece = model.pieces.get(self.text[begin:end])
@@ -308,7 +315,7 @@ def search(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     # A space mark of the text has no piece of its own; a space is the space mark.
     own_mark = points == ord(MARK)
     points = np.where(points == 32, ord(MARK), points)
-    points[own_mark] = 0xE000  # stands for it: a private character, put back below
+    points[own_mark] = ord(OWN_MARK)
     length = np.diff(at)
     count = np.zeros(len(length), np.int64)
     order, ids = [], []
@@ -320,14 +327,13 @@ def search(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not lane_at[-1]:
             continue
         found, n = _lockstep(model, points[ranges(at[lanes], length[lanes])], lane_at)
-        found[found == -1 - 0xE000] = -1 - ord(MARK)
         found, n = _with_bytes(model, found, n)
         count[lanes] = n
         order.append(lanes)
         ids.append(found)
     for i in np.flatnonzero(length > LOCKSTEP).tolist():
         stream = Stream(model)
-        text = points[at[i] : at[i + 1]].astype("<u4").tobytes().decode("utf-32-le")
+        text = points[at[i] : at[i + 1]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
         found = stream.push(text) + stream.finish()
         count[i] = len(found)
         order.append(np.array([i]))
