@@ -76,6 +76,53 @@ def test_prediction_depends_on_the_text_alone(spark, docs):
     assert a == b
 
 
+def test_every_label_is_learnt(spark, monkeypatch):
+    pick = random.Random(7)
+    words = {
+        f"x{i}": ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(4)]
+        for i in range(510)
+    }
+    rows = [(i, " ".join(w * 3), lang) for i, (lang, w) in enumerate(sorted(words.items()))]
+    rows += [(1000 + i, text, lang) for i, text, lang in rows[:250]]  # some labels are rarer
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    models = langid.fit(df)
+    want = {text: lang for _, text, lang in rows}
+    found = langid.predict(df, models, "text").collect()
+    assert len(found) == len(rows) and {r.text: r.lang_pred for r in found} == want
+    monkeypatch.setattr(langid, "MODEL_BYTES", 200 * 8 * langid.FEATURES)
+    models = langid.Models.of(models.rows)
+    assert len(list(models.blocks())) == 3
+    again = {r.text: r for r in langid.predict(df, models, "text").collect()}
+    for r in found:
+        assert again[r.text].lang_pred == r.lang_pred
+        assert again[r.text].score == pytest.approx(r.score, abs=1e-9)
+
+
+def test_labels_of_other_forms_have_families(spark, docs, clashing, monkeypatch):
+    names = {"en": "eng_Latn", "de": "de-AT", "fr": "zh-Hans", "es": "zh-Hant"}
+    other = docs.replace(names, subset=["lang"])
+    models = langid.fit(other)
+    block = next(models.blocks())
+    assert block.languages == {
+        "germanic": ["de-AT", "eng_Latn"], "only zh": ["zh-Hans", "zh-Hant"]
+    }
+    assert {f: len(m) for f, m in block.machines.items()} == {"germanic": 1, "only zh": 1}
+    found = {r.doc_id: r for r in langid.predict(docs, models).collect()}
+    one = langid.fit(docs, {"all": ("en", "de", "fr", "es")})
+    many = {r.doc_id: r for r in langid.predict(docs, one).collect()}
+    kept = sorted(map(repr, langid.known_language(clashing).collect()))
+    monkeypatch.setattr(langid, "MODEL_BYTES", 2 * 8 * langid.FEATURES)
+    one = langid.Models.of(one.rows)  # seven rows: a family's machines are in several blocks
+    assert len(list(one.blocks())) == 4
+    again = {r.doc_id: r for r in langid.predict(docs, one).collect()}
+    for r in docs.collect():
+        assert found[r.doc_id].lang_pred == names[r.lang]
+        assert many[r.doc_id].lang_pred == again[r.doc_id].lang_pred == r.lang
+        assert many[r.doc_id].score == pytest.approx(again[r.doc_id].score, abs=1e-9)
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1)
+    assert sorted(map(repr, langid.known_language(clashing).collect())) == kept
+
+
 # Mixing
 
 
