@@ -354,6 +354,26 @@ def test_digest_index_persists(spark, tricky):
     assert "Exchange" not in plan
 
 
+def test_group_sizes_cover_all_batches(spark):
+    index = DigestIndex(spark, scratch_path(spark), 4)
+    batches = [
+        [(5, "a"), (6, "a"), (7, "b"), (None, "n")],
+        [(9, "A"), (8, "c"), (1, "n")],
+        [(2, "a"), (3, "b"), (4, "d"), (4, "d"), (10, "c")],
+    ]
+    want = [
+        {(5, 6, 2), (6, 6, 2), (7, 7, 1), (None, None, 1)},
+        {(9, 6, 3), (8, 8, 1), (1, None, 2)},
+        {(2, 6, 4), (3, 7, 2), (4, 4, 2), (10, 8, 2)},
+    ]
+    for rows, expected in zip(batches, want):
+        batch = spark.createDataFrame(rows, "doc_id bigint, text string")
+        found = mark_copies(batch, index=index).collect()
+        assert len(found) == len(rows)
+        assert {(r.doc_id, r.keep_id, r.group_size) for r in found} == expected
+    assert index.rows().count() == 5
+
+
 def test_exact_copies_of_odd_rows(spark, tricky, clashing, no_docs):
     rows = mark_copies(tricky).collect()
     groups = {}

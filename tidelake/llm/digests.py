@@ -3,7 +3,7 @@
 The index is a Parquet table of (digest, keep_id, group_size) whose files are bucketed by digest
 and sorted within. A batch is reduced to one row per digest (largest id, number of rows), joined
 to the index with a sort-merge anti-join that does not shuffle the index, and what is new is
-appended.
+appended. Of a digest that is there already the number of rows is appended, and summed on reading.
 
 Nulls and edge cases: a null text counts as empty. A null id loses to any other; a group of null
 ids only keeps null. Rows that repeat an id and a text are one document: all are marked as kept,
@@ -54,17 +54,26 @@ class DigestIndex:
             f" LOCATION '{path}'"
         )
 
-    def rows(self) -> DataFrame:
-        """The index, bucketed: a join by digest does not shuffle it."""
+    def _table(self) -> DataFrame:
+        """All rows of the index, bucketed: a join by digest does not shuffle it."""
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
+    def rows(self) -> DataFrame:
+        """One row per digest, bucketed, with the number of its rows in all batches."""
+        return self._table().groupBy("digest").agg(
+            F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
+        )
+
     def files(self) -> DataFrame:
         """The index as plain files: a join shuffles it, and can split a hot digest."""
         return self.spark.read.schema(INDEX_SCHEMA).parquet(self.path)
 
-    def add(self, digests: DataFrame) -> None:
-        """Append the digests that are new, with the largest id and the number of rows.
+    def add(self, digests: DataFrame) -> DataFrame:
+        """Append a batch; the index's rows of its digests, at least, as plain files.
+
+        A new digest gets a row with the largest id and the number of rows. One that is there gets
+        a row with the number alone, so the document that is kept stays the first batch's.
 
         ``digests`` has the columns doc_id and digest. Copies are counted before the shuffle, so
         a large group of them is one row per task. The counts are written before the join, which
@@ -75,10 +84,17 @@ class DigestIndex:
                 F.max("doc_id").cast("bigint").alias("keep_id"), F.count("*").alias("group_size")
             )
         )
-        new = batch.hint("merge").join(self.rows(), "digest", "left_anti")
-        new.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(
+        first = self._table().isEmpty()
+        added = batch.hint("merge").join(self._table(), "digest", "left_anti")
+        if not first:
+            again = batch.hint("merge").join(self._table(), "digest", "left_semi")
+            added = added.unionAll(again.withColumn("keep_id", F.lit(None).cast("bigint")))
+        added.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(
             self.name
         )
+        if first:
+            return self.files()
+        return stage(batch.select("digest").hint("merge").join(self.rows(), "digest"))
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -94,15 +110,15 @@ def mark_copies(
     """One row per row of ``df``: doc_id, digest, keep_id, group_size, kept.
 
     New digests are added to ``index`` (by default one in a new scratch folder). A text that the
-    index already had keeps the document of the batch that brought it.
+    index already had keeps the document of the batch that brought it. group_size counts the rows
+    of all batches so far, this one included; a batch that is given twice counts twice.
     """
     spark = df.sparkSession
     index = index or DigestIndex(spark, scratch_path(spark), default_buckets(spark))
     digests = stage(
         df.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"))
     )
-    index.add(digests)
-    marked = digests.join(index.files(), "digest")
+    marked = digests.join(index.add(digests), "digest")
     return marked.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 
