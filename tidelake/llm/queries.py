@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidelake.lake import scratch_path, stage
 from tidelake.llm.chat import format_chats, linear_replies, read_chats
 from tidelake.llm.common import table
+from tidelake.llm.counts import count_tokens
 from tidelake.llm.digests import mark_copies
 from tidelake.llm.hilbert import write_shards
 from tidelake.llm.langid import identify
@@ -203,3 +204,9 @@ def hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+@query("op12_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return count_tokens(docs, tokenizer_file("piece_bpe_32k.model"), limit=4096)
