@@ -10,10 +10,11 @@ from tidelake.lake import scratch_path, stage
 from tidelake.llm.chat import format_chats, linear_replies, read_chats
 from tidelake.llm.common import table
 from tidelake.llm.counts import count_tokens
-from tidelake.llm.digests import mark_copies
+from tidelake.llm.digests import mark_copies, normal_text
 from tidelake.llm.hilbert import write_shards
 from tidelake.llm.langid import identify
 from tidelake.llm.licenses import scan_licenses
+from tidelake.llm.merkle import build_manifest, fold, leaf_digest, proofs, sha256, siblings
 from tidelake.llm.mixing import mix
 from tidelake.llm.pieces import encode_texts
 from tidelake.llm.repair import read_tokens, write_tokens
@@ -210,3 +211,105 @@ def hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return count_tokens(docs, tokenizer_file("piece_bpe_32k.model"), limit=4096)
+
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def manifest_sql(low: int = 8, high: int = 4) -> str:
+    """The manifest level by level; levels beyond the last one needed change nothing."""
+
+    def leaf(**changed: str) -> str:
+        parts = [
+            f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')"
+            for v in (changed.get(c, c) for c in FIELDS)
+        ]
+        return f"sha256({' || '.join(parts)})"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = (
+        "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),"
+        " lambda c: list_transform(range(8), lambda b: (ord(c) >> b) & 1)))"
+    )
+    # CRC-32 bit by bit: the polynomial is a fixed value.
+    crc = (
+        f"xor(list_reduce({bits}, lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)),"
+        " 4294967295), 4294967295)"
+    )
+    steps = [
+        f"""docs AS (
+          SELECT doc_id, source, {leaf()} AS leaf,
+            CASE WHEN {crc} % 5 = 0 THEN {leaf(text=lower)} ELSE {leaf()} END AS given
+          FROM documents)""",
+        """low0 AS (
+          SELECT *, row_number() OVER (
+              PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+            count(*) OVER (PARTITION BY source) AS n, leaf AS h
+          FROM docs)""",
+    ]
+    for k in range(low):
+        steps += [
+            f"""lowruns{k} AS (
+              SELECT source, i // 16 AS i, (any_value(n) + 15) // 16 AS n,
+                string_agg(h, '' ORDER BY i) AS run
+              FROM low{k} WHERE n > 1 GROUP BY source, i // 16)""",
+            f"low{k + 1} AS (SELECT source, i, n, sha256(run) AS h FROM lowruns{k})",
+        ]
+    tops = " UNION ALL ".join(f"SELECT source, h FROM low{k} WHERE n = 1" for k in range(low + 1))
+    steps += [
+        f"subroots AS ({tops})",
+        """high0 AS (
+          SELECT *, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+            count(*) OVER () AS n
+          FROM subroots)""",
+    ]
+    for k in range(high):
+        steps += [
+            f"""highruns{k} AS (
+              SELECT i // 16 AS i, (any_value(n) + 15) // 16 AS n,
+                string_agg(h, '' ORDER BY i) AS run
+              FROM high{k} WHERE n > 1 GROUP BY i // 16)""",
+            f"high{k + 1} AS (SELECT i, n, sha256(run) AS h FROM highruns{k})",
+        ]
+    roots = " UNION ALL ".join(f"SELECT h FROM high{k} WHERE n = 1" for k in range(high + 1))
+    steps.append(f"root AS ({roots})")
+    before = "SELECT l.*, s.h AS subroot, s.i AS place, l.given AS own, '' AS seen"
+    steps.append(
+        f"way0 AS ({before} FROM low0 l JOIN high0 s ON l.source IS NOT DISTINCT FROM s.source)"
+    )
+    runs = [(f"lowruns{k}", "l.source IS NOT DISTINCT FROM r.source AND", "i", k) for k in range(low)]
+    runs += [(f"highruns{k}", "", "place", k) for k in range(high)]
+    for at, (name, same, place, k) in enumerate(runs):
+        size = 16**k
+        pos = f"64 * ((l.{place} // {size}) % 16)"
+        left, right = f"substr(r.run, 1, {pos})", f"substr(r.run, {pos} + 65)"
+        steps.append(
+            f"""way{at + 1} AS (
+              SELECT l.* REPLACE (
+                CASE WHEN r.run IS NULL THEN own ELSE sha256({left} || own || {right}) END AS own,
+                CASE WHEN r.run IS NULL THEN seen ELSE seen || {left} || {right} END AS seen)
+              FROM way{at} l LEFT JOIN {name} r ON {same} l.{place} // {16 * size} = r.i)"""
+        )
+    return f"""
+    WITH {", ".join(steps)}
+    SELECT doc_id, leaf, subroot, root.h AS root, sha256(seen) AS proof_sha256,
+      own AS folded_root, own = root.h AS verified
+    FROM way{len(runs)}, root
+    """
+
+
+@query("op13_merkle_manifest", manifest_sql())
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document or so is tampered with after the manifest was made."""
+    text = F.col("text")
+    lowered = F.when(text.isNotNull(), normal_text(text))
+    changed = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", leaf_digest([F.col(c) for c in FIELDS]).alias("leaf"),
+        F.when(changed, leaf_digest([*[F.col(c) for c in FIELDS[:-1]], lowered])).alias("tampered"),
+    )
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return proofs(build_manifest(leaves)).select(
+        "doc_id", "leaf", "subroot", "root", sha256(siblings(F.col("path"))).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
