@@ -20,6 +20,7 @@ from tidelake.llm.pieces import encode_texts
 from tidelake.llm.repair import read_tokens, write_tokens
 from tidelake.llm.setjoin import near_duplicates
 from tidelake.llm.topk import exact_top_k
+from tidelake.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -313,3 +314,8 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", sha256(siblings(F.col("path"))).alias("proof_sha256"),
         folded.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op11_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), scale=1024, offset=100_000, components=8)
