@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass
@@ -72,11 +73,16 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
 
 
 def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
-    """Delete folders with all that is in them; one that does not exist is no error."""
-    for folder in folders:
+    """Delete folders with all that is in them, several at a time; a missing one is no error."""
+
+    def remove(folder: str) -> None:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    with ThreadPoolExecutor(16) as pool:
+        for done in [pool.submit(remove, folder) for folder in folders]:
+            done.result()
+
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once to scratch space and read it back.
@@ -115,34 +121,6 @@ def partition_folder(path: str, partition: Mapping[str, str | None]) -> str:
     return "/".join([path, *[f"{c}={escaped(v)}" for c, v in partition.items()]])
 
 
-def folders_glob(path: str, partitions: Iterable[Mapping[str, str | None]]) -> str:
-    """A path pattern for the folders of some partitions; it lists no others."""
-    folders = [partition_folder("", p)[1:] for p in partitions]
-    # Signs that a folder's name may hold and that a pattern would read otherwise.
-    plain = [re.sub(r"([,}{\[\]*?\\])", r"\\\1", f) for f in folders]
-    return f"{path}/{{{','.join(plain)}}}"
-
-
-def read_partitions(
-    spark: SparkSession, path: str, schema: StructType | None,
-    partitions: list[Mapping[str, str | None]],
-) -> DataFrame | None:
-    """The rows of some partitions of a table, listing only their folders; None if there are none.
-
-    Without a schema it is merged from these folders' files.
-    """
-    if not partitions:
-        return None
-    reader = spark.read.option("basePath", path)
-    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
-    try:
-        return reader.parquet(folders_glob(path, partitions))
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
 @dataclass(frozen=True)
 class Lake:
     """One lake: its root path and, for several lakes in one catalog, a database prefix."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from tidelake.lake import stage
 from tidelake.operators.joins import broadcast_if_small, rows_without
@@ -16,6 +17,22 @@ def _required(df: DataFrame, key: str) -> Column:
     return F.coalesce(F.col(key), error).alias(key)
 
 
+def _ordered(kind: DataType) -> bool:
+    """Whether values of a type can be compared."""
+    if isinstance(kind, StructType):
+        return all(_ordered(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _ordered(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
+def comparable(df: DataFrame, column: str) -> Column:
+    """The column, or its JSON text if its type cannot be compared."""
+    if _ordered(df.schema[column].dataType):
+        return F.col(f"`{column}`")
+    return F.to_json(F.struct(f"`{column}`"), {"ignoreNullFields": "false"})
+
+
 def precombine(
     batch: DataFrame,
     keys: Sequence[str],
@@ -24,9 +41,9 @@ def precombine(
 ) -> DataFrame:
     """One row per partition and key: the one with the largest precombine value.
 
-    Ties are broken by the remaining columns in their order, largest first. A NULL key is an
-    error. The maximum is taken before the shuffle too, so many copies of one key cost no more
-    than one row per task.
+    Ties are broken by the remaining columns in their order, largest first; columns that cannot be
+    compared, such as maps, count by their JSON text. A NULL key is an error. The maximum is taken
+    before the shuffle too, so many copies of one key cost no more than one row per task.
     """
     group = [c for c in dict.fromkeys([*partition_by, *keys])]
     rest = [c for c in batch.columns if c not in group and c != precombine_field]
@@ -34,8 +51,13 @@ def precombine(
     checked = batch.select(
         *[_required(batch, c) if c in keys else F.col(c) for c in batch.columns]
     )
-    newest = checked.groupBy(*group).agg(F.max(F.struct(*ranked)).alias("_newest"))
-    return newest.select(*group, "_newest.*").select(*batch.columns)
+    if all(_ordered(batch.schema[c].dataType) for c in ranked):
+        newest = F.max(F.struct(*ranked))
+    else:
+        order = F.struct(*[comparable(batch, c).alias(f"_{i}") for i, c in enumerate(ranked)])
+        newest = F.max_by(F.struct(*ranked), order)
+    found = checked.groupBy(*group).agg(newest.alias("_newest"))
+    return found.select(*group, "_newest.*").select(*batch.columns)
 
 
 def stamp_commit(batch: DataFrame, instant: str) -> DataFrame:
@@ -60,6 +82,32 @@ def older_than_stored(
     return stored.select(*names, field).join(right, on, "left_semi").select(*names)
 
 
+def rows_that_change(
+    batch: DataFrame, stored: DataFrame, names: Sequence[str], stamp: str, rerun: bool
+) -> DataFrame:
+    """The batch without rows whose stored row has a later stamp or, in a rerun, equals them.
+
+    ``names`` identify a row; partitions among them may be NULL.
+    """
+    rest = [c for c in batch.columns if c not in names and c in stored.columns]
+    right = stored.select(
+        *[F.col(f"`{c}`").alias(f"_stored_{i}") for i, c in enumerate(names)],
+        F.col(COMMIT_TIME).alias("_stored_time"),
+        *[comparable(stored, c).alias(f"_stored_value_{i}") for i, c in enumerate(rest)],
+    )
+    on = F.lit(True)
+    for i, c in enumerate(names):
+        on &= F.col(f"`{c}`").eqNullSafe(F.col(f"_stored_{i}"))
+    same = F.lit(rerun and len(rest) + len(names) == len(batch.columns))
+    for i, c in enumerate(rest):
+        same &= comparable(batch, c).eqNullSafe(F.col(f"_stored_value_{i}"))
+    superseded = F.col("_stored_time").isNotNull() & ((F.col("_stored_time") > stamp) | same)
+    joined = batch.join(right, on, "left")
+    return joined.filter(~F.coalesce(superseded, F.lit(False))).select(
+        *[f"`{c}`" for c in batch.columns]
+    )
+
+
 def merge_rows(
     stored: DataFrame,
     batch: DataFrame,

@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidelake.functions.text import strip_chars
 from tidelake.functions.times import load_ts
-from tidelake.lake import Lake, scratch_scope, stage
-from tidelake.operators.keyed import incremental_scan, latest_commit
+from tidelake.lake import Lake, scratch_scope
 from tidelake.operators.project import exclude_columns, star_append
 from tidelake.schemas import COMMIT_TIME
-from tidelake.sinks.catalog import create_table, register_catalog
+from tidelake.sinks.catalog import create_table, locate_table, register_catalog
 from tidelake.sinks.keyed import (
-    consumed_before, note_consumed, upsert_partitioned, upsert_unpartitioned,
+    commits_to_take, note_consumed, upsert_partitioned, upsert_unpartitioned,
 )
 from tidelake.sources.csv import load_csv_as_view
-from tidelake.sources.tables import current_snapshot, partitioned_parquet_scan, snapshot_scan
+from tidelake.sources.tables import current_snapshot, scan_commits
+from tidelake.versions import Touched
 
 STG, ODS, DWH, DMT = (
     "stg.geo_taxi_zone", "ods.geo_taxi_zone", "dwh.geo_taxi_zone", "dmt.geo_dim_taxi_zone",
@@ -35,27 +35,19 @@ def _scoped(step):
     return run
 
 
-def _upsert_partitioned(lake: Lake, name: str, batch, instant: str, global_key: bool) -> None:
+def _upsert_partitioned(lake: Lake, name: str, batch: DataFrame, instant: str, global_key: bool) -> None:
     table = lake.table(name)
-    touched = upsert_partitioned(
-        batch, lake.path(name), table.keys, table.precombine, table.partition_by, instant,
-        schema=table.schema, global_key=global_key,
-    )
-    register_catalog(
-        lake.spark, lake.catalog_name(name), table.schema, lake.path(name), table.partition_by,
-        touched.written, touched.emptied,
-    )
 
+    def register(touched: Touched) -> None:
+        register_catalog(
+            lake.spark, lake.catalog_name(name), table.schema, lake.path(name),
+            table.partition_by, touched.written, touched.emptied, touched.folders,
+        )
 
-def _new_rows(
-    lake: Lake, source: DataFrame, target: str, instant: str, after: str | None,
-    max_commits: int | None,
-) -> tuple[DataFrame, str]:
-    """Rows of the source's commits that the target has not taken in, and the last of these."""
-    if after is None:
-        after = consumed_before(lake.spark, lake.path(target), instant)
-    rows = stage(incremental_scan(source, after, max_commits))
-    return rows, latest_commit(rows) or after
+    upsert_partitioned(
+        batch, lake.path(name), table.keys, table.precombine, table.partition_by, instant,
+        schema=table.schema, global_key=global_key, then=register,
+    )
 
 
 @_scoped
@@ -76,19 +68,23 @@ def conform_zones(
 ) -> None:
     """Upsert the rows of new ods commits into the current state of all zones.
 
-    New are the commits after ``after``; by default after the last one that an earlier commit of
-    this table took in. ``max_commits`` leaves later ones for the next run.
+    New are the commits that this table has not taken in, whatever their instants; with ``after``
+    those of later stamps. ``max_commits`` leaves later ones for the next run.
     """
-    ods = partitioned_parquet_scan(lake.spark, lake.path(ODS), lake.schema(ODS))
-    rows, last = _new_rows(lake, ods, DWH, instant, after, max_commits)
-    table = lake.table(DWH)
+    commits = commits_to_take(
+        lake.spark, lake.path(ODS), lake.path(DWH), instant, after, max_commits
+    )
+    rows = scan_commits(lake.spark, lake.path(ODS), lake.schema(ODS), commits)
+    table, name = lake.table(DWH), lake.catalog_name(DWH)
     upsert_unpartitioned(
         exclude_columns(rows), lake.path(DWH), table.keys, table.precombine, instant,
         schema=table.schema,
     )
-    note_consumed(lake.spark, lake.path(DWH), instant, last)
-    _, snapshot = current_snapshot(lake.spark, lake.path(DWH))
-    create_table(lake.spark, lake.catalog_name(DWH), table.schema, snapshot, replace=True)
+    note_consumed(lake.spark, lake.path(DWH), instant, commits)
+    # The dimension has one bucket, so its rows lie in one folder.
+    _, folders = current_snapshot(lake.spark, lake.path(DWH))
+    create_table(lake.spark, name, table.schema, folders[0])
+    locate_table(lake.spark, name, folders[0])
 
 
 @_scoped
@@ -100,11 +96,13 @@ def publish_zones(
 
     A zone that changes its service zone stays in the old partition too, unless ``global_key``.
     """
-    dwh = snapshot_scan(lake.spark, lake.path(DWH), lake.schema(DWH))
-    rows, last = _new_rows(lake, dwh, DMT, instant, after, max_commits)
+    commits = commits_to_take(
+        lake.spark, lake.path(DWH), lake.path(DMT), instant, after, max_commits
+    )
+    rows = scan_commits(lake.spark, lake.path(DWH), lake.schema(DWH), commits)
     batch = rows.withColumn("service_zone", strip_chars(F.col("service_zone")))
     _upsert_partitioned(lake, DMT, batch.drop(COMMIT_TIME), instant, global_key)
-    note_consumed(lake.spark, lake.path(DMT), instant, last)
+    note_consumed(lake.spark, lake.path(DMT), instant, commits)
 
 
 @_scoped
