@@ -11,7 +11,7 @@ from proofs.scans import ORDER_SCHEMA
 from tidelake.lake import scratch_path
 from tidelake.operators.dimensions import date_hour_dimension_of
 from tidelake.plans.build import monthly_build
-from tidelake.plans.geo import geo_dimension_chain
+from tidelake.plans.geo import geo_dimension_chain, load_zones
 from tidelake.plans.mart import HOURS, WIDE, trip_mart, union_trips
 from tidelake.plans.steps import run_job, run_sql_step
 from tidelake.plans.trips import trip_ingest_chain
@@ -118,6 +118,71 @@ def geo_chain(spark, sf_dir):
     return spark.table(lake.catalog_name("dmt.geo_dim_taxi_zone"))
 
 
+LATE_ZONES = """
+    SELECT 1000000 + c_custkey AS locationid, 'L' || c_nationkey AS borough, c_name AS zone,
+           replace(replace(c_mktsegment, 'U', '/U'), '/', '') AS service_zone
+    FROM customer WHERE c_nationkey = {nation}
+"""
+
+
+@proof(
+    "geo_late_commits",
+    f"""
+    WITH z AS (
+      SELECT c_custkey AS locationid, 'N' || c_nationkey AS borough, c_name AS zone,
+             replace(replace(c_mktsegment, 'U', '/U'), '/', '') AS service_zone, c_acctbal
+      FROM customer)
+    SELECT locationid, borough, zone, CAST(1 AS BIGINT) AS ts, '2020' AS year, '01' AS month,
+           '20200201031500' AS _commit_time, service_zone
+    FROM z WHERE c_acctbal >= 0
+    UNION ALL
+    SELECT locationid, borough || '-Updated', zone, 2, '2020', '02', '20200301031500',
+           service_zone
+    FROM z WHERE c_acctbal < 0
+    UNION ALL
+    SELECT locationid, borough, zone, 3, '2020', '01', '20200401031500', service_zone
+    FROM ({LATE_ZONES.format(nation=4)})
+    UNION ALL
+    SELECT locationid, borough, zone, 4, '2020', '03', '20200401031500', service_zone
+    FROM ({LATE_ZONES.format(nation=6)})
+    """,
+)
+def geo_late(spark, sf_dir):
+    """January and February; a late January file under January's instant; March; January again.
+
+    The late zones come with March, the next run. The rerun of January finds the rows that it wrote
+    and those that later months wrote over them, and changes neither.
+    """
+    lake = new_lake(spark)
+    create_databases(lake)
+    january, february, _ = zone_batches(spark, sf_dir)
+    customers = table(spark, sf_dir, "customer")
+
+    def late(nation):
+        return customers.filter(F.col("c_nationkey") == nation).select(
+            (F.col("c_custkey") + 1000000).alias("LocationID"),
+            F.concat(F.lit("L"), F.col("c_nationkey").cast("string")).alias("Borough"),
+            F.col("c_name").alias("Zone"),
+            F.replace(F.col("c_mktsegment"), F.lit("U"), F.lit("/U")).alias("service_zone"),
+        )
+
+    def land(batch):
+        replace_landing(batch, lake.path("stg.geo_taxi_zone"))
+
+    first, second, third = "20200201031500", "20200301031500", "20200401031500"
+    land(january)
+    geo_dimension_chain(lake, 2020, 1, first, ts=1)
+    land(february)
+    geo_dimension_chain(lake, 2020, 2, second, ts=2)
+    land(late(4))
+    load_zones(lake, 2020, 1, first, ts=3)
+    land(late(6))
+    geo_dimension_chain(lake, 2020, 3, third, ts=4)
+    land(january)
+    geo_dimension_chain(lake, 2020, 1, first, ts=1)
+    return spark.table(lake.catalog_name("dmt.geo_dim_taxi_zone"))
+
+
 def land_event_feeds(lake, events):
     feeds = event_feeds(events)
     land_domain(lake, "tlc", {f"stg.tlc_{feed}_trip": raw for feed, raw in feeds.items()})
