@@ -235,14 +235,18 @@ ALL_HOURS = hours_sql(MOVED_EVENTS.format(where=""), "ts")
 @proof(
     "monthly_build",
     f"""
-    SELECT * FROM ({wide_sql(event_union(EVEN, "2023", "12"), STRIPPED_ZONES, ALL_HOURS)})
+    WITH december AS ({wide_sql(event_union(EVEN, "2023", "12"), STRIPPED_ZONES, ALL_HOURS)}),
+    january AS ({wide_sql(event_union(ODD, "2024", "01"), MOVED_ZONES, ALL_HOURS)})
+    SELECT * FROM december
     UNION ALL
-    SELECT * FROM ({wide_sql(event_union(ODD, "2024", "01"), MOVED_ZONES, ALL_HOURS)})
+    SELECT * REPLACE (dwid + (SELECT count(*) FROM december) AS dwid) FROM january
     """,
 )
 def build(spark, sf_dir):
     """December and January in turn, each in the month after; the second build runs twice.
 
+    The numbers of January follow those of December, also the second time.
+
     Trips begin in other years than their month's, too. A zone moves to another service zone.
     """
     lake = new_lake(spark)

@@ -151,6 +151,43 @@ def wide_in_place(spark, sf_dir):
     return dense(partitioned_parquet_scan(spark, lake.path(WIDE), lake.schema(WIDE)))
 
 
+def year_sql(year, zones=NATION_ZONES):
+    union = f"SELECT * FROM ({LINE_UNION}) WHERE year = '{year}'"
+    return wide_sql(union, zones, hours_sql("orders", "o_orderdate"))
+
+
+SOME_ZONES = f"SELECT * FROM ({NATION_ZONES}) WHERE locationid < 20"
+
+
+@proof(
+    "surrogate_key_ranges",
+    f"""
+    WITH first AS ({year_sql("1996")}), second AS ({year_sql("1997")}),
+    fewer AS ({year_sql("1996", SOME_ZONES)})
+    SELECT dwid, year, month, tlc_trip_type, pu_do_zone, total_amount FROM fewer
+    UNION ALL
+    SELECT dwid + (SELECT count(*) FROM first), year, month, tlc_trip_type, pu_do_zone,
+           total_amount
+    FROM second
+    """,
+)
+def number_ranges(spark, sf_dir):
+    """Two years are built in turn, then the first one again, from which some zones are gone.
+
+    It gets the numbers that it had, so numbers are unique over the mart and dense within a year.
+    """
+    lake = new_lake(spark)
+    hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
+    overwrite_table(hours, lake.path(HOURS))
+    build_union_trip(lake, line_feeds(spark, sf_dir), clustered=False)
+    zones = nation_zones(spark, sf_dir)
+    for year, own in (("1996", zones), ("1997", zones), ("1996", zones.filter("locationid < 20"))):
+        build_wide_trip(lake, own, {"year": year}, order_by=UNION_COLUMNS)
+    return partitioned_parquet_scan(spark, lake.path(WIDE), lake.schema(WIDE)).select(
+        "dwid", "year", "month", "tlc_trip_type", "pu_do_zone", "total_amount"
+    )
+
+
 HOT_LINES = """
     SELECT l_orderkey, l_linenumber,
            CASE WHEN l_returnflag = 'N' THEN 1 WHEN l_returnflag = 'R' THEN l_suppkey END AS key

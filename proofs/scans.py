@@ -6,7 +6,7 @@ from proofs.frames import MONTHLY_ORDERS, monthly_orders, new_lake
 from proofs.registry import proof, table
 from tidelake.lake import scratch_path, stage
 from tidelake.operators.keyed import incremental_scan, scan_since_latest_commit
-from tidelake.operators.numbering import preview, sample_every_nth
+from tidelake.operators.numbering import preview, sample_by_key, sample_every_nth
 from tidelake.operators.project import null_pad
 from tidelake.schemas import COMMIT_TIME, struct_of
 from tidelake.sinks.catalog import register_catalog
@@ -171,6 +171,17 @@ def every_nth(spark, sf_dir):
     return sample_every_nth(orders, 100, ["o_orderkey"], unique=True, is_scan=True)
 
 
+@proof("sample_by_key", None)
+def every_nth_key(spark, sf_dir):
+    """Orders and their lines: both tables' samples hold the same orders."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    sampled = sample_by_key(orders, 100, ["o_orderkey"])
+    return sampled.join(
+        sample_by_key(lines, 100, ["l_orderkey"]), F.col("o_orderkey") == F.col("l_orderkey"), "left"
+    )
+
+
 @proof(
     "sample_lines",
     """

@@ -23,7 +23,8 @@ from tidelake.sinks.parquet import (
     append_table, overwrite_partitions, overwrite_table, replace_landing,
 )
 from tidelake.sources.csv import csv_scan_with_schema
-from tidelake.sources.tables import partitioned_parquet_scan, snapshot_scan
+from tidelake.sources.tables import incremental_table_scan, partitioned_parquet_scan, snapshot_scan
+from tidelake.versions import current_folders
 
 BY_MONTH = ["year", "month"]
 FIRST, SECOND = "20240101000000", "20240201000000"
@@ -59,11 +60,12 @@ def overwrite(spark, sf_dir):
     y AS (SELECT *, row_number() OVER (ORDER BY dwid) AS n FROM w WHERE year = '1996')
     SELECT dwid, year, month, tlc_trip_type, pu_do_zone, total_amount FROM w WHERE year <> '1996'
     UNION ALL
-    SELECT n, year, month, tlc_trip_type, pu_do_zone, total_amount FROM y
+    SELECT n + (SELECT count(*) FROM w), year, month, tlc_trip_type, pu_do_zone, total_amount
+    FROM y
     """,
 )
 def overwrite_mart(spark, sf_dir):
-    """Write all months, then replace those of one year; their numbers start again."""
+    """Write all months, then replace those of one year, which get numbers after all others."""
     lake = new_lake(spark)
     hours = date_hour_dimension_of(table(spark, sf_dir, "orders"), "o_orderdate")
     overwrite_table(hours, lake.path(HOURS))
@@ -80,8 +82,8 @@ def replace_dimension(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     path = scratch_path(spark)
     overwrite_table(parts, path)
-    overwrite_table(spark.read.parquet(path).withColumn("p_size", F.col("p_size") + 1), path)
-    return spark.read.parquet(path)
+    overwrite_table(snapshot_scan(spark, path).withColumn("p_size", F.col("p_size") + 1), path)
+    return snapshot_scan(spark, path)
 
 
 @proof(
@@ -196,6 +198,29 @@ def upsert_whole(spark, sf_dir):
     return snapshot_scan(spark, path)
 
 
+@proof(
+    "upsert_buckets",
+    f"""
+    WITH b AS ({CHANGED_CUSTOMERS})
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, '{FIRST}' AS _commit_time
+    FROM customer c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.c_custkey = c.c_custkey)
+    UNION ALL
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, '{SECOND}' FROM b
+    UNION ALL
+    SELECT c_custkey, c_name || '*', c_nationkey, c_acctbal, c_mktsegment, 'taken' FROM b
+    """,
+)
+def upsert_buckets(spark, sf_dir):
+    """The same in 16 buckets, and beside it what the second commit brings to a consumer."""
+    path = scratch_path(spark)
+    for instant, batch in zip((FIRST, SECOND), changed_customers(spark, sf_dir)):
+        upsert_unpartitioned(batch, path, ["c_custkey"], "c_acctbal", instant, buckets=16)
+    taken = incremental_table_scan(spark, path, None, after=FIRST).withColumns(
+        {"c_name": F.concat("c_name", F.lit("*")), COMMIT_TIME: F.lit("taken")}
+    )
+    return snapshot_scan(spark, path).unionByName(taken)
+
+
 @proof("stamp_commit", f"SELECT s_suppkey, s_name, '{FIRST}' AS _commit_time FROM supplier")
 def stamp(spark, sf_dir):
     return stamp_commit(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), FIRST)
@@ -236,9 +261,8 @@ def attach(spark, sf_dir):
     schema = struct_of("o_orderkey bigint, o_totalprice double, year string, month string")
     register_catalog(spark, name, schema, path, BY_MONTH)
     detach_partition(spark, name, {"year": "1996", "month": "05"})
-    attach_partition(
-        spark, name, {"year": "1996", "month": "06"}, f"{path}/year=1996/month=06"
-    )
+    june = {"year": "1996", "month": "06"}
+    attach_partition(spark, name, june, *current_folders(spark, path, june).values())
     return spark.table(name)
 
 

@@ -19,12 +19,17 @@ from tidelake.sinks.catalog import (
 )
 from tidelake.sinks.parquet import land_domain, overwrite_partitions, replace_landing
 from tidelake.sources.tables import catalog_scan, partitioned_parquet_scan, snapshot_scan
+from tidelake.versions import current_folders
 
 
 def rows(df, *columns):
     return sorted((tuple(r) for r in df.select(*(columns or df.columns)).collect()), key=str)
 
 
+def stored_hours(lake):
+    return partitioned_parquet_scan(lake.spark, lake.path(HOURS), lake.schema(HOURS))
+
+
 def test_names_and_paths():
     assert table_path("/r", "stg.geo_taxi_zone") == "/r/stg/geo/taxi_zone"
     assert table_path("/r", "ods.geo_taxi_zone") == "/r/ods/geo_taxi_zone"
@@ -216,17 +221,17 @@ def test_the_mart_of_one_month_leaves_others(lake):
 
 def test_hours_may_come_from_csv(lake):
     build_date_dimension(lake, hours=("2020-01-01", "2020-01-01 23:00:00"))
-    hours = lake.spark.read.parquet(lake.path(HOURS))
+    hours = stored_hours(lake)
     want = rows(hours)
     replace_landing(hours, lake.path("stg.pub_dim_date"))
     load_date_dimension(lake)
-    assert rows(lake.spark.read.parquet(lake.path(HOURS))) == want
+    assert rows(stored_hours(lake)) == want
 
 
 def test_hours_are_added_and_a_landed_calendar_goes_first(lake):
     spark = lake.spark
     build_date_dimension(lake, hours=("2019-05-01", "2019-05-01 02:00:00"))
-    landed = spark.read.parquet(lake.path(HOURS)).filter("hour = 1").withColumn(
+    landed = stored_hours(lake).filter("hour = 1").withColumn(
         "day_name", F.lit("Holiday")
     )
     replace_landing(landed, lake.path("stg.pub_dim_date"))
@@ -234,7 +239,7 @@ def test_hours_are_added_and_a_landed_calendar_goes_first(lake):
         [("2019-12-31 23:58:00",), ("9999-01-01 00:00:00",), ("soon",), (None,)], "t string"
     )
     build_date_dimension(lake, times, "t")
-    hours = spark.read.parquet(lake.path(HOURS))
+    hours = stored_hours(lake)
     assert hours.count() == 3 + 2 * 744 == hours.select("dwid").distinct().count()
     assert rows(hours.filter("year = 2019 AND month = 5"), "hour", "day_name") == [
         (0, "Wednesday"), (1, "Holiday"), (2, "Wednesday"),
@@ -244,6 +249,27 @@ def test_hours_are_added_and_a_landed_calendar_goes_first(lake):
     assert join_hour_dim(trips, hours).count() == 2
 
 
+def test_a_build_writes_only_the_years_that_gain_hours(lake):
+    path, spark = lake.path(HOURS), lake.spark
+    build_date_dimension(lake, hours=("2019-12-31", "2020-01-01 23:00:00"))
+    before = current_folders(spark, path)
+    assert set(before) == {"year=2019", "year=2020"}
+    times = spark.createDataFrame([("2020-01-15 10:00:00",), ("2020-01-01 00:00:00",)], "t string")
+    build_date_dimension(lake, times, "t")
+    after = current_folders(spark, path)
+    assert after["year=2019"] == before["year=2019"] and after["year=2020"] != before["year=2020"]
+    assert stored_hours(lake).count() == 24 + 744
+    build_date_dimension(lake, times, "t")  # nothing is missing: nothing is written
+    assert current_folders(spark, path) == after
+    landed = stored_hours(lake).filter("dwid = 2019123105").withColumn("week", F.lit(99))
+    replace_landing(landed, lake.path("stg.pub_dim_date"))
+    build_date_dimension(lake, times, "t")
+    assert stored_hours(lake).filter("week = 99").count() == 1
+    assert current_folders(spark, path)["year=2020"] == after["year=2020"]
+    load_date_dimension(lake)  # the landed calendar alone
+    assert stored_hours(lake).count() == 1
+
+
 def test_a_zone_that_occurs_twice_is_an_error_unless_allowed(spark):
     dim = zones(spark, (1, "A", "Z1", "S1"), (1, "A", "Z1", "S2"), (2, "B", "Z2", "S2"))
     trips = spark.createDataFrame(
@@ -289,7 +315,7 @@ def test_partitions_are_attached_without_a_copy(lake):
     assert catalog_scan(spark, name).count() == 0
     january = {"year": "2020", "month": "01"}
     for _ in range(2):
-        attach_partition(spark, name, january, f"{path}/year=2020/month=01")
+        attach_partition(spark, name, january, *current_folders(spark, path, january).values())
     assert rows(catalog_scan(spark, name), "month") == [("01",)]
     assert "extra" not in catalog_scan(spark, name).columns
     detach_partition(spark, name, january)
@@ -334,7 +360,7 @@ def test_single_jobs_make_the_same_mart_as_the_build(lake):
     monthly_build(lake, 2020, 1, "20200102000000", ts=1, hours=hours)
     columns = [c for c in TABLES[WIDE].schema.names if c != "dwid"]
     want = rows(lake.spark.table(lake.catalog_name(WIDE)), *columns)
-    replace_landing(lake.spark.read.parquet(lake.path(HOURS)), lake.path("stg.pub_dim_date"))
+    replace_landing(stored_hours(lake), lake.path("stg.pub_dim_date"))
     steps = jobs(lake, 2020, 1, "20200102000000", ts=1)
     assert len(steps) == 29
     order = [n for n in steps if n.endswith("_create")]

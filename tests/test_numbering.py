@@ -1,10 +1,16 @@
+import struct
+
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
+from proofs.registry import QUERIES
+
 from tidelake.lake import Lake
 from tidelake.operators.numbering import (
-    preview, preview_tables, sample_every_nth, surrogate_key,
+    preview, preview_tables, sample_by_key, sample_every_nth, surrogate_key,
 )
+from tidelake.sinks.ranges import base_of_range
 from tidelake.sources.csv import number_lines, sample_lines
 
 
@@ -85,3 +91,51 @@ def test_preview(spark):
     spark.range(3).createOrReplaceTempView("t_preview")
     shown = preview_tables(Lake(spark, "unused"), ["t_preview"])
     assert shown["t_preview"].count() == 1
+
+
+def chosen(key, n, pick=0):
+    """Whether a bigint key is in the sample: xxHash64 with seed 42 of its 8 bytes, signed."""
+    code = xxhash.xxh64_intdigest(struct.pack("<q", key), seed=42)
+    return (code - (1 << 64 if code >> 63 else 0)) % n == pick
+
+
+def test_sample_by_key(spark):
+    df = spark.range(-500, 2000).withColumn("other", F.lit(1))
+    for pick in (0, 3):
+        got = numbers(sample_by_key(df.repartition(5), 10, ["id"], pick), "id")
+        assert got == [k for k in range(-500, 2000) if chosen(k, 10, pick)]
+    # All remainders together are the table, and a key is there with all of its rows.
+    parts = [sample_by_key(df.union(df), 4, ["id"], pick).count() for pick in range(4)]
+    assert sum(parts) == 5000 and all(p % 2 == 0 for p in parts)
+    nothing = spark.createDataFrame([(None,)] * 3, "id bigint")
+    assert sum(sample_by_key(nothing, 4, ["id"], pick).count() for pick in range(4)) == 3
+    with pytest.raises(ValueError):
+        sample_by_key(df, 4, ["id"], 4)
+
+
+def test_sample_by_key_does_not_shuffle(spark, capsys):
+    sample_by_key(spark.range(9), 3, ["id"]).explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
+def test_sample_by_key_query(spark):
+    sf = "/root/testdata/sf0.001"
+    orders = [r.o_orderkey for r in spark.read.parquet(f"{sf}/orders.parquet").collect()]
+    lines = [r.l_orderkey for r in spark.read.parquet(f"{sf}/lineitem.parquet").collect()]
+    got = QUERIES["sample_by_key"](spark, sf).collect()
+    sampled = {k for k in orders if chosen(k, 100)}
+    assert {r.o_orderkey for r in got} == sampled
+    assert sum(r.l_orderkey is not None for r in got) == sum(k in sampled for k in lines)
+
+
+def test_ranges_never_overlap(spark, path):
+    base = lambda part, n: base_of_range(spark, path, part, n)
+    assert [base("a", 10), base("b", 5), base("a", 8), base("a", 10)] == [0, 10, 0, 0]
+    assert base("a", 11) == 15  # outgrown
+    assert [base("b", 5), base("a", 11), base("a", 3), base("c", 0)] == [10, 15, 0, 26]
+
+
+def test_a_base_shifts_the_numbers(spark):
+    counted = []
+    df = surrogate_key(spark.range(7), "n", base_of=lambda n: counted.append(n) or 100)
+    assert numbers(df, "n") == list(range(101, 108)) and counted == [7]

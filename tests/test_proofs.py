@@ -24,12 +24,16 @@ def con():
     return connection
 
 
+#: Queries that SQL cannot express, with the tests that compare them with brute force.
+WITHOUT_SQL = {"sample_by_key": "test_numbering.py"}
+
+
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | set(WITHOUT_SQL)
     assert set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query(spark, con, name):
     ok, _, note = compare(
         spark, con, name, spark_entry.queries()[name], spark_entry.oracle_sql()[name], SF_DIR

@@ -4,13 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.schemas import TABLES, struct_of
+from tidelake import versions
+from tidelake.sinks.catalog import create_databases, register_catalog
 from tidelake.sinks.parquet import (
     append_table, land_domain, overwrite_partitions, overwrite_table, replace_landing,
 )
 from tidelake.sources.csv import (
     csv_scan_with_schema, infer_csv_schema, infer_merge_schema, merge_schemas,
 )
-from tidelake.sources.tables import partitioned_parquet_scan
+from tidelake.sources.tables import partitioned_parquet_scan, snapshot_scan
 
 SCHEMA = struct_of("v bigint, year string, month string")
 
@@ -62,11 +64,94 @@ def test_append_adds_rows_again(spark, path):
 
 def test_a_table_may_be_overwritten_from_itself(spark, path):
     overwrite_table(spark.range(3), path)
-    overwrite_table(spark.read.parquet(path).filter("id > 0"), path)
-    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+    overwrite_table(snapshot_scan(spark, path).filter("id > 0"), path)
+    assert rows(snapshot_scan(spark, path)) == [(1,), (2,)]
     with pytest.raises(Exception):
-        overwrite_table(spark.read.parquet(path).select(F.raise_error(F.lit("no"))), path)
-    assert rows(spark.read.parquet(path)) == [(1,), (2,)]
+        overwrite_table(snapshot_scan(spark, path).select(F.raise_error(F.lit("no"))), path)
+    assert rows(snapshot_scan(spark, path)) == [(1,), (2,)]
+
+
+def test_a_dead_driver_leaves_the_table_as_it_was(spark, path, monkeypatch):
+    """Neither an overwrite of the table nor one of a partition is half done."""
+    overwrite_table(spark.range(3), path)
+
+    def die(*args):
+        raise RuntimeError("the driver dies")
+
+    monkeypatch.setattr(versions, "publish", die)
+    with pytest.raises(RuntimeError):
+        overwrite_table(snapshot_scan(spark, path).filter("id > 0"), path)
+    monkeypatch.undo()
+    assert rows(snapshot_scan(spark, path)) == [(0,), (1,), (2,)]
+    # It dies after the switch and before the old files are removed: the new rows count.
+    monkeypatch.setattr(versions, "remove_folders", die)
+    with pytest.raises(RuntimeError):
+        overwrite_table(spark.range(1), path)
+    assert rows(snapshot_scan(spark, path)) == [(0,)]
+
+
+def test_the_catalog_moves_before_the_old_files_go(spark, lake, monkeypatch):
+    create_databases(lake)
+    path, name = f"{lake.root}/ods/m", lake.catalog_name("ods.m")
+    by = ["year", "month"]
+
+    def register(touched):
+        register_catalog(spark, name, SCHEMA, path, by, touched.written, (), touched.folders)
+
+    overwrite_partitions(month(spark, 1, "01", "02"), path, by, then=register)
+    old = spark.table(name)
+
+    def check(folders):
+        assert rows(old) == [(1, "2020", "01"), (1, "2020", "02")]
+        assert rows(spark.table(name)) == [(1, "2020", "01"), (2, "2020", "02")]
+
+    monkeypatch.setattr(versions, "remove_folders", lambda spark, folders: check(folders))
+    overwrite_partitions(month(spark, 2, "02"), path, by, then=register)
+    monkeypatch.undo()
+
+    def fail(touched):
+        raise RuntimeError("the catalog is away")
+
+    with pytest.raises(RuntimeError):
+        overwrite_partitions(month(spark, 3, "02"), path, by, then=fail)
+    assert rows(spark.table(name)) == [(1, "2020", "01"), (2, "2020", "02")]
+    register_catalog(spark, name, SCHEMA, path, by)  # from the log
+    assert rows(spark.table(name)) == [(1, "2020", "01"), (3, "2020", "02")]
+
+
+def test_rows_are_not_appended_to_versions(spark, path):
+    overwrite_partitions(month(spark, 1, "01"), path, ["year", "month"])
+    with pytest.raises(ValueError):
+        append_table(month(spark, 1, "01"), path, ["year", "month"])
+
+
+def test_new_columns_keep_the_entry_and_its_partitions(spark, lake, monkeypatch):
+    create_databases(lake)
+    path, name = f"{lake.root}/ods/w", lake.catalog_name("ods.w")
+    by = ["year", "month"]
+
+    def write(df, schema):
+        overwrite_partitions(
+            df, path, by, then=lambda t: register_catalog(
+                spark, name, schema, path, by, t.written, t.emptied, t.folders
+            ),
+        )
+
+    write(month(spark, 1, "01", "02"), SCHEMA)
+    wider = struct_of("v bigint, w string, year string, month string")
+    said = []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (said.append(q), sql(self, q, *a, **k))[1])
+    write(month(spark, 2, "02").withColumn("w", F.lit("x")), wider)
+    monkeypatch.undo()
+    assert any("ADD COLUMNS" in q for q in said)
+    assert not any(q.startswith(("MSCK", "DROP TABLE")) for q in said)
+    got = spark.table(name)
+    assert rows(got.select("v", "w", "month")) == [(1, None, "01"), (2, "x", "02")]
+    # A column that changes its type makes the entry anew, from the log.
+    other = struct_of("v string, w string, year string, month string")
+    write(month(spark, 3, "03").select(F.col("v").cast("string"), F.lit("y").alias("w"), *by), other)
+    assert spark.table(name).filter("month = '03'").first().v == "3"
 
 
 def test_csv_under_a_positional_schema(spark, tmp_path):

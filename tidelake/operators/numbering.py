@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -34,6 +34,7 @@ def surrogate_key(
     name: str = "dwid",
     order_by: Sequence[str] = (),
     unique: bool = False,
+    base_of: Callable[[int], int] | None = None,
 ) -> DataFrame:
     """Put a dense number 1..n first, as a bigint.
 
@@ -44,7 +45,7 @@ def surrogate_key(
     Without ``order_by`` the order is arbitrary and no row is shuffled. With it, rows are
     range-sorted first. ``unique`` says that the order columns identify a row; otherwise equal
     rows are told apart by their address, so that a large group of them spreads over many
-    tasks.
+    tasks. ``base_of`` gives the number before the first one for the number of rows.
     """
     if name in df.columns:
         raise ValueError(f"column {name} exists")
@@ -85,8 +86,9 @@ def surrogate_key(
     ).join(thousands, "thousand").select(
         _FILE, _CHUNK, (F.col("base") + F.col("since")).alias("_offset")
     )
+    base = base_of(rows.count()) if base_of else 0
     return rows.join(broadcast_if_small(offsets), [_FILE, _CHUNK]).select(
-        (F.col("_offset") + F.col(_ROW) + 1).alias(name), *columns
+        (F.col("_offset") + F.col(_ROW) + (base + 1)).alias(name), *columns
     )
 
 
@@ -106,6 +108,18 @@ def sample_every_nth(
     return placed.join(broadcast_if_small(found), ADDRESS, "left_semi").drop(*ADDRESS)
 
 
+def sample_by_key(df: DataFrame, n: int, keys: Sequence[str], pick: int = 0) -> DataFrame:
+    """About every n-th key, with all of its rows: those whose hash leaves ``pick`` modulo n.
+
+    Nothing is sorted, counted or shuffled. A key is in the sample or not whatever else the table
+    holds, so the sample of a table that grows only grows, and samples of tables with the same key
+    belong together. Keys are hashed by value and type; a NULL key is one key.
+    """
+    if not 0 <= pick < n:
+        raise ValueError(f"{pick} is not a remainder modulo {n}")
+    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(n)) == pick)
+
+
 def preview(df: DataFrame, n: int = 1, order_by: Sequence[str] = ()) -> DataFrame:
     """The first n rows; any n rows if no order is given."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)

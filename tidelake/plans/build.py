@@ -7,18 +7,34 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.lake import Lake, path_exists, scratch_scope
+from tidelake.lake import Lake, path_exists, scratch_scope, stage
 from tidelake.operators.dimensions import date_hour_dimension, date_hour_dimension_of
 from tidelake.plans.geo import conform_zones, geo_dimension_chain, load_zones, publish_zones
 from tidelake.plans.mart import (
-    HOURS, UNION, WIDE, ZONES, build_union_trip, build_wide_trip, publish_months,
+    HOURS, UNION, ZONES, build_union_trip, build_wide_trip, registered,
 )
 from tidelake.plans.trips import load_feed, month_of, publish_feed, trip_ingest_chain
 from tidelake.schemas import TABLES, TRIP_FEEDS
 from tidelake.sinks.catalog import create_tables
-from tidelake.sinks.parquet import overwrite_table
+from tidelake.sinks.parquet import overwrite_partitions
 from tidelake.sources.csv import csv_scan_with_schema
 from tidelake.sources.tables import partitioned_parquet_scan
+from tidelake.versions import current_folders, partition_of, read_folders, replace_partitions
+
+
+def _landed_hours(lake: Lake, header: bool = True) -> DataFrame | None:
+    name = "stg.pub_dim_date"
+    if not path_exists(lake.spark, lake.path(name)):
+        return None
+    return csv_scan_with_schema(lake.spark, lake.path(name), lake.schema(name), header)
+
+
+def _write_hours(lake: Lake, hours: DataFrame) -> None:
+    """Replace the years in ``hours``."""
+    overwrite_partitions(
+        hours.select(*lake.schema(HOURS).names), lake.path(HOURS), lake.table(HOURS).partition_by,
+        then=registered(lake, HOURS),
+    )
 
 
 def build_date_dimension(
@@ -27,40 +43,59 @@ def build_date_dimension(
 ) -> None:
     """Add hours to the dimension: those of all months in the data, and a range.
 
-    Hours that are stored stay as they are, whatever their year. A landed calendar goes before
-    them; only hours that neither has are generated.
+    The calendar lies in years. Only hours that a year lacks are added to it, and only the years
+    that gain some are written; a run that finds all hours there writes nothing. Hours that are
+    stored stay as they are, but a landed calendar goes before them and before generated ones.
     """
-    spark, schema = lake.spark, lake.schema(HOURS)
-    found = []
-    landed = lake.path("stg.pub_dim_date")
-    if path_exists(spark, landed):
-        found.append(csv_scan_with_schema(spark, landed, lake.schema("stg.pub_dim_date")))
-    if path_exists(spark, lake.path(HOURS)):
-        found.append(spark.read.schema(schema).parquet(lake.path(HOURS)))
+    spark, names = lake.spark, lake.schema(HOURS).names
+    landed, found = _landed_hours(lake), []
     if months_in is not None:
         found.append(date_hour_dimension_of(months_in, column))
     if hours is not None:
         found.append(date_hour_dimension(spark, *hours))
-    names = schema.names
+    if landed is not None:
+        found.insert(0, landed)
+    if not found:
+        return
     ranked = [
-        df.filter("dwid IS NOT NULL").select(*names, F.lit(rank).alias("_rank"))
+        df.filter("dwid IS NOT NULL").select(
+            *names, F.lit(landed is not None and rank == 0).alias("_landed"), F.lit(rank).alias("_rank")
+        )
         for rank, df in enumerate(found)
     ]
-    if not ranked:
-        return
-    first = reduce(DataFrame.unionAll, ranked).groupBy("dwid").agg(
-        F.min(F.struct("_rank", *[c for c in names if c != "dwid"])).alias("_first")
-    )
+    value = F.struct("_rank", "_landed", *[c for c in names if c != "dwid"])
     with scratch_scope(spark):
-        overwrite_table(first.select("dwid", "_first.*").select(*names), lake.path(HOURS))
+        wanted = stage(
+            reduce(DataFrame.unionAll, ranked).groupBy("dwid").agg(F.min(value).alias("_first"))
+            .select("dwid", "_first.*").drop("_rank")
+        )
+        folders = current_folders(spark, lake.path(HOURS)) or {}
+        years = {str(r.year) for r in wanted.select("year").distinct().collect()}
+        stored = read_folders(
+            spark, lake.path(HOURS), lake.schema(HOURS),
+            [folder for part, folder in folders.items() if part.split("=")[1] in years],
+        )
+        # Of the hours wanted, those that are not stored like that.
+        same = F.col("w.dwid") == F.col("s.dwid")
+        for c in names:
+            same &= ~F.col("w._landed") | F.col(f"w.{c}").eqNullSafe(F.col(f"s.{c}"))
+        new = stage(wanted.alias("w").join(stored.alias("s"), same, "left_anti").select(*names))
+        gaining = [r.year for r in new.select("year").distinct().collect()]
+        if gaining:
+            kept = stored.filter(F.col("year").isin(gaining)).join(new, "dwid", "left_anti")
+            _write_hours(lake, kept.select(*names).unionByName(new))
 
 
 def load_date_dimension(lake: Lake, header: bool = True) -> None:
-    """Replace the dimension with the landed CSV of hours."""
-    name = "stg.pub_dim_date"
-    raw = csv_scan_with_schema(lake.spark, lake.path(name), lake.schema(name), header)
-    with scratch_scope(lake.spark):
-        overwrite_table(raw, lake.path(HOURS))
+    """Replace the dimension with the landed CSV of hours: years that it lacks go, too."""
+    landed = _landed_hours(lake, header)
+    if landed is None:
+        raise ValueError("no calendar has landed")
+    have = current_folders(lake.spark, lake.path(HOURS)) or {}
+    replace_partitions(
+        landed, lake.path(HOURS), lake.table(HOURS).partition_by, rebalance=True,
+        touched=[partition_of(part) for part in have], then=registered(lake, HOURS),
+    )
 
 
 def catalog_feeds(lake: Lake) -> dict[str, DataFrame]:
@@ -107,11 +142,9 @@ def jobs(
 
     def union() -> None:
         build_union_trip(lake, catalog_feeds(lake), partition)
-        publish_months(lake, UNION, partition)
 
     def wide() -> None:
         build_wide_trip(lake, current_zones(lake), partition)
-        publish_months(lake, WIDE, partition)
 
     found["ods_geo_taxi_zone_insert"] = partial(load_zones, lake, year, month, instant, ts)
     found["dwh_geo_taxi_zone_upsert"] = partial(
@@ -156,5 +189,3 @@ def monthly_build(
     )
     build_date_dimension(lake, trips, hours=hours)
     build_wide_trip(lake, current_zones(lake), partition, how, order_by, repeated_zones)
-    for name in (UNION, WIDE):
-        publish_months(lake, name, partition)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,14 +13,16 @@ from tidelake.functions.rates import (
 )
 from tidelake.functions.text import route_label
 from tidelake.functions.times import elapsed_seconds, hour_key
-from tidelake.lake import Lake, partition_folder, scratch_scope
+from tidelake.lake import Lake, scratch_scope
 from tidelake.operators.joins import Dimension, join_dimension, measured
 from tidelake.operators.numbering import ADDRESS, surrogate_key, with_address
 from tidelake.operators.union import union_sources
 from tidelake.schemas import TABLES, TRIP_FEEDS, TRIP_RENAMES
-from tidelake.sinks.catalog import attach_partition, register_catalog
+from tidelake.sinks.catalog import register_catalog
 from tidelake.sinks.parquet import overwrite_partitions
+from tidelake.sinks.ranges import base_of_range
 from tidelake.sources.tables import partitioned_parquet_scan
+from tidelake.versions import Touched, part_name
 
 UNION, WIDE, HOURS, ZONES = (
     "dmt.tlc_union_trip", "dmt.tlc_wide_trip", "dmt.pub_dim_date", "dmt.geo_dim_taxi_zone",
@@ -139,14 +142,14 @@ def known_trips(trips: DataFrame, zones: Dimension, hours: Dimension) -> DataFra
 def wide_trips(
     trips: DataFrame, zones: DataFrame | Dimension, hours: DataFrame | Dimension,
     how: str = "inner", order_by: Sequence[str] = (), is_scan: bool = False,
-    repeated_zones: bool = False,
+    repeated_zones: bool = False, base_of: Callable[[int], int] | None = None,
 ) -> DataFrame:
     """The wide mart. ``dwid`` is dense and unique within the result.
 
     The trips that stay are numbered while their rows are short, and widened only as they are
     read. Where a dimension's key repeats, trips multiply, so the wide rows are numbered. Numbers
     that follow an order need equal trips told apart. ``is_scan`` says that the trips read
-    Parquet files.
+    Parquet files; ``base_of`` is that of ``surrogate_key``.
     """
     columns = [c for c in TABLES[WIDE].schema.names if c != "dwid"]
     zones, hours = measured_zones(zones, repeated_zones), measured_hours(hours)
@@ -157,9 +160,9 @@ def wide_trips(
         wide = wide.select(*columns, *(ADDRESS if order else []))
         # Copies of one trip have its address, so the ends' zones tell them apart.
         ends = [f"{end}_{c}" for end in ("pu", "do") for c in ZONE_COLUMNS] if order else []
-        return surrogate_key(wide, "dwid", [*order, *ends], unique=True).drop(*ADDRESS)
+        return surrogate_key(wide, "dwid", [*order, *ends], True, base_of).drop(*ADDRESS)
     kept = known_trips(placed, zones, hours) if how == "inner" else placed
-    numbered = surrogate_key(kept, "dwid", order, unique=True).drop(*ADDRESS)
+    numbered = surrogate_key(kept, "dwid", order, True, base_of).drop(*ADDRESS)
     return widen_trips(numbered, zones, hours, how).select("dwid", *columns)
 
 
@@ -178,7 +181,7 @@ def build_union_trip(
         feeds = {name: in_month(df, month) for name, df in feeds.items()}
     overwrite_partitions(
         union_trips(feeds), lake.path(UNION), lake.table(UNION).partition_by,
-        rebalance=not (month or clustered),
+        rebalance=not (month or clustered), then=registered(lake, UNION),
     )
 
 
@@ -196,7 +199,10 @@ def build_wide_trip(
     order_by: Sequence[str] = (),
     repeated_zones: bool = False,
 ) -> None:
-    """Replace the month, or every month, of the wide mart. Numbers restart with each call.
+    """Replace the month, or every month, of the wide mart.
+
+    ``dwid`` is dense within what is built at a time, and unique over the mart: each month has a
+    range of numbers, which it keeps when it is built again, as long as its rows have room there.
 
     Wide rows are written once, into the mart. Without ``order_by`` nothing is shuffled: trips
     stay with those of their month. Rows that were sorted for their numbers are gathered by month
@@ -205,12 +211,13 @@ def build_wide_trip(
     trips = partitioned_parquet_scan(
         lake.spark, lake.path(UNION), lake.schema(UNION), **(month or {})
     )
-    hours = lake.spark.read.schema(lake.schema(HOURS)).parquet(lake.path(HOURS))
+    hours = partitioned_parquet_scan(lake.spark, lake.path(HOURS), lake.schema(HOURS))
+    base_of = partial(base_of_range, lake.spark, lake.path(WIDE), part_name(month or {}))
     with scratch_scope(lake.spark):
-        wide = wide_trips(trips, zones, hours, how, order_by, True, repeated_zones)
+        wide = wide_trips(trips, zones, hours, how, order_by, True, repeated_zones, base_of)
         overwrite_partitions(
             wide, lake.path(WIDE), lake.table(WIDE).partition_by,
-            rebalance=bool(order_by) and not month,
+            rebalance=bool(order_by) and not month, then=registered(lake, WIDE),
         )
 
 
@@ -229,18 +236,17 @@ def trip_mart(
         raise ValueError(f"unknown feeds {set(feeds) - set(TRIP_FEEDS)}")
     build_union_trip(lake, feeds, month, clustered)
     build_wide_trip(lake, zones, month, how, order_by, repeated_zones)
-    for name in (UNION, WIDE):
-        publish_months(lake, name, month)
 
 
-def publish_months(lake: Lake, name: str, month: Mapping[str, str] | None) -> None:
-    """Bring the catalog entry of a mart, if there is one, up to the months written."""
-    entry = lake.catalog_name(name)
-    if not lake.spark.catalog.tableExists(entry):
-        return
-    if month:
-        attach_partition(lake.spark, entry, month, partition_folder(lake.path(name), month))
-    else:
-        register_catalog(
-            lake.spark, entry, lake.schema(name), lake.path(name), lake.table(name).partition_by
-        )
+def registered(lake: Lake, name: str) -> Callable[[Touched], None]:
+    """Moves the catalog entry of a table, if there is one, to the partitions written."""
+
+    def move(touched: Touched) -> None:
+        entry = lake.catalog_name(name)
+        if lake.spark.catalog.tableExists(entry):
+            register_catalog(
+                lake.spark, entry, lake.schema(name), lake.path(name),
+                lake.table(name).partition_by, touched.written, touched.emptied, touched.folders,
+            )
+
+    return move

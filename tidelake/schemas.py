@@ -146,7 +146,7 @@ TABLES: dict[str, Table] = {
         ),
         ("service_zone",), ("locationid",), "ts",
     ),
-    "dmt.pub_dim_date": Table(struct_of(_DATE)),
+    "dmt.pub_dim_date": Table(struct_of(_DATE), ("year",)),
     "dmt.tlc_union_trip": Table(struct_of(f"{_UNION_TEXT}, {_MONTH}"), _BY_MONTH),
     "dmt.tlc_wide_trip": Table(
         struct_of(f"dwid bigint, {_UNION_TEXT}, {_WIDE_EXTRA}, {_MONTH}"), _BY_MONTH

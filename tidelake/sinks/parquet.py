@@ -2,54 +2,51 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidelake.lake import Lake, stage
+from tidelake.lake import Lake, path_exists
 from tidelake.schemas import TABLES
-
-
-def _laid_out(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:
-    """Gather each partition's rows so that it gets few files.
-
-    Adaptive execution splits a partition that is too large for one task and merges small ones.
-    """
-    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
+from tidelake.versions import Touched, current_folders, partition_of, replace_partitions
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
-) -> None:
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True,
+    then: Callable[[Touched], None] | None = None,
+) -> Touched:
     """Replace the partitions present in ``df``; others stay untouched.
 
-    ``rebalance=False`` skips the shuffle where every task holds few partitions anyway, as in
-    the load of one month.
+    Readers find either all of the old partitions or all of the new ones, also when the driver dies.
+    ``rebalance`` gathers each partition's rows so that it gets few files: adaptive execution splits
+    a partition that is too large for one task and merges small ones. ``rebalance=False`` skips that
+    shuffle where every task holds few partitions anyway, as in the load of one month. ``then`` is
+    called when the new partitions count and before the old files are removed.
     """
-    (
-        _laid_out(df, partition_by, rebalance)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    return replace_partitions(df, path, partition_by, rebalance, then=then)
 
 
 def append_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = False
 ) -> None:
-    """Add rows; a rerun adds them again."""
-    writer = _laid_out(df, partition_by, rebalance).write.mode("append")
+    """Add rows to plain folders; a rerun adds them again. Not for a table with versions."""
+    if path_exists(df.sparkSession, f"{path}/_commits"):
+        raise ValueError(f"the rows of {path} are in versions, which are replaced and not added to")
+    laid = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
+    writer = laid.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str) -> None:
-    """Replace a whole unpartitioned dimension.
+def overwrite_table(
+    df: DataFrame, path: str, then: Callable[[Touched], None] | None = None
+) -> Touched:
+    """Replace a whole unpartitioned dimension in one step.
 
-    The result is first written aside, so ``df`` may read the table it replaces and a query
-    that fails leaves the table as it was.
+    The result is first written aside, so ``df`` may read the table it replaces, and a query or a
+    driver that fails leaves the table as it was.
     """
-    stage(df).write.mode("overwrite").parquet(path)
+    have = current_folders(df.sparkSession, path) or {}
+    return replace_partitions(df, path, touched=[partition_of(p) for p in have], then=then)
 
 
 def replace_landing(df: DataFrame, path: str, header: bool = True) -> None:

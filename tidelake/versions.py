@@ -153,7 +153,7 @@ def replace_partitions(
     the new partitions count and before the old folders are removed: there catalog entries are
     moved. ``keep_old`` leaves old folders to readers that still have them.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, df.drop(VERSION)
     before = current_folders(spark, path) or {}
     written, folders = _write(df, path, partition_by, rebalance)
     names = [part_name(p) for p in written]
