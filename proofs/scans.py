@@ -12,7 +12,9 @@ from tidelake.schemas import COMMIT_TIME, struct_of
 from tidelake.sinks.catalog import register_catalog
 from tidelake.sinks.keyed import upsert_unpartitioned
 from tidelake.sinks.parquet import overwrite_partitions, replace_landing
-from tidelake.sources.csv import csv_scan_with_schema, infer_merge_schema, sample_lines
+from tidelake.sources.csv import (
+    csv_scan_with_schema, found_types, infer_merge_schema, sample_lines, widened_schema,
+)
 from tidelake.sources.tables import catalog_scan, partitioned_parquet_scan, snapshot_scan
 
 ORDER_SCHEMA = struct_of(
@@ -158,6 +160,38 @@ def infer(spark, sf_dir):
     )
 
 
+@proof(
+    "widen_types",
+    """
+    SELECT CAST(o_orderkey AS INTEGER) AS k, CAST(CASE p WHEN 0 THEN o_custkey
+        WHEN 1 THEN o_custkey * 10000000000 ELSE o_totalprice END AS DOUBLE) AS v,
+      CASE p WHEN 1 THEN o_custkey * 10000000000 ELSE o_custkey END AS u,
+      CASE p WHEN 2 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS w
+    FROM (SELECT *, o_orderkey % 3 AS p FROM orders)
+    """,
+)
+def widen(spark, sf_dir):
+    """Three files of integers, large integers, and decimals with text, under a schema of integers."""
+    key, part = F.col("o_custkey"), F.col("o_orderkey") % 3
+    large = (key * 10_000_000_000).cast("string")
+    small = key.cast("string")
+    root = scratch_path(spark)
+    table(spark, sf_dir, "orders").select(
+        part.alias("part"), F.col("o_orderkey").alias("K"),
+        F.when(part == 0, small).when(part == 1, large)
+        .otherwise(F.col("o_totalprice").cast("string")).alias("V"),
+        F.when(part == 1, large).otherwise(small).alias("U"),
+        F.when(part == 2, F.col("o_orderpriority")).otherwise(small).alias("W"),
+    ).repartition(3, "part").write.partitionBy("part").option("header", True).csv(f"{root}/mixed")
+    known = {"raw_mixed": struct_of("k int, v int, u int, w int")}
+    files = [f"part={i}" for i in range(3)]
+    for name in files:  # file by file, as months come in
+        known["raw_mixed"] = widened_schema(
+            found_types(spark, f"{root}/mixed/{name}"), known["raw_mixed"]
+        )
+    return csv_scan_with_schema(spark, f"{root}/mixed/part=*", known["raw_mixed"])
+
+
 @proof(
     "sample_every_nth",
     """

@@ -326,7 +326,7 @@ def test_only_touched_buckets_are_read_and_rewritten(spark, path, capsys):
     rows_now = snapshot_scan(spark, path)
     assert rows_now.count() == 400 and rows_now.filter("v = 'b'").count() == 1
     # A reader of the commit lists one bucket.
-    taken = scan_commits(spark, path, None, commits_of(spark, path).filter("stamp = '02'"))
+    taken = scan_commits(spark, path, None, commits_of(spark, path).filter("stamp = '02'").collect())
     assert rows(taken, "k") == [(7,)] and all(f"/{moved.copy().pop()}/" in f for f in taken.inputFiles())
 
 

@@ -4,8 +4,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from proofs.registry import QUERIES
 
+from proofs import scans
 from tidelake.lake import Lake
 from tidelake.operators.numbering import (
     preview, preview_tables, sample_by_key, sample_every_nth, surrogate_key,
@@ -122,7 +122,7 @@ def test_sample_by_key_query(spark):
     sf = "/root/testdata/sf0.001"
     orders = [r.o_orderkey for r in spark.read.parquet(f"{sf}/orders.parquet").collect()]
     lines = [r.l_orderkey for r in spark.read.parquet(f"{sf}/lineitem.parquet").collect()]
-    got = QUERIES["sample_by_key"](spark, sf).collect()
+    got = scans.every_nth_key(spark, sf).collect()
     sampled = {k for k in orders if chosen(k, 100)}
     assert {r.o_orderkey for r in got} == sampled
     assert sum(r.l_orderkey is not None for r in got) == sum(k in sampled for k in lines)

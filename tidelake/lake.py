@@ -10,7 +10,6 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -97,13 +96,8 @@ def stage(df: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("_ string").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def partition_folder(path: str, partition: Mapping[str, str | None]) -> str:

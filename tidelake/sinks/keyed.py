@@ -25,7 +25,7 @@ from tidelake.operators.joins import broadcast_if_small
 from tidelake.operators.keyed import merge_rows, precombine, rows_that_change, stamp_commit
 from tidelake.sources.tables import BUCKET, commits_of
 from tidelake.versions import (
-    Touched, current_folders, now, part_name, partition_of, read_folders, replace_partitions,
+    Touched, append_log, current_folders, now, part_name, partition_of, read_folders, replace_partitions,
 )
 
 CONSUMED_LOG = StructType(
@@ -40,7 +40,7 @@ CONSUMED_LOG = StructType(
 def commits_to_take(
     spark: SparkSession, source: str, target: str, instant: str, after: str | None = None,
     max_commits: int | None = None,
-) -> DataFrame:
+) -> list[Row]:
     """The commits of the table at ``source`` that the one at ``target`` takes in at ``instant``.
 
     Those are the commits that its log does not name yet, whatever their instants. A rerun of an
@@ -64,16 +64,14 @@ def commits_to_take(
     chosen = chosen.distinct()
     if max_commits is not None:
         chosen = chosen.orderBy("order", "stamp").limit(max_commits)
-    return commits.join(chosen.select("stamp"), "stamp", "left_semi")
+    return commits.join(chosen.select("stamp"), "stamp", "left_semi").collect()
 
 
-def note_consumed(spark: SparkSession, path: str, instant: str, commits: DataFrame) -> None:
+def note_consumed(spark: SparkSession, path: str, instant: str, commits: Sequence[Row]) -> None:
     """Log the source's commits that the commits of ``instant`` have taken in."""
-    stamps = [r.stamp for r in commits.select("stamp").distinct().collect()]
-    if stamps:
-        rows = [(instant, stamp, now()) for stamp in sorted(stamps)]
-        log = spark.createDataFrame(rows, CONSUMED_LOG).coalesce(1)
-        log.write.mode("append").parquet(f"{path}/_consumed")
+    rows = [(instant, stamp, now()) for stamp in sorted({r.stamp for r in commits})]
+    if rows:
+        append_log(spark, f"{path}/_consumed", CONSUMED_LOG, rows)
 
 
 def free_stamp(instant: str, taken: Sequence[str]) -> str:
@@ -122,7 +120,7 @@ def _upsert(
 ) -> Touched:
     spark = batch.sparkSession
     scope = () if global_key else partition_by
-    log = commits_of(spark, path).select("stamp", "instant").distinct().collect()
+    log = commits_of(spark, path).coalesce(1).select("stamp", "instant").distinct().collect()
     taken = [r.stamp for r in log if r.instant == instant]
     stamp = free_stamp(instant, taken)
     later = any(r.stamp > stamp for r in log)

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidelake.lake import path_exists
+from tidelake.versions import append_log
 
 RANGE_LOG = StructType(
     [
@@ -31,10 +32,9 @@ def base_of_range(spark: SparkSession, path: str, part: str, n: int) -> int:
     if path_exists(spark, folder):
         log = spark.read.schema(RANGE_LOG).parquet(folder)
         own = F.when((F.col("part") == part) & (F.col("room") >= n), F.col("base"))
-        end, fitting = log.agg(F.max(F.col("base") + F.col("room")), F.min(own)).first()
+        end, fitting = log.coalesce(1).agg(F.max(F.col("base") + F.col("room")), F.min(own)).first()
         if fitting is not None:
             return fitting
         base = end or 0
-    log = spark.createDataFrame([(part, base, n)], RANGE_LOG).coalesce(1)
-    log.write.mode("append").parquet(folder)
+    append_log(spark, folder, RANGE_LOG, [(part, base, n)])
     return base

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidelake.lake import partition_folder, path_exists
 from tidelake.operators.joins import broadcast_if_small
 from tidelake.schemas import COMMIT_TIME
-from tidelake.versions import current_folders, read_folders, version_log
+from tidelake.versions import LOG_SCHEMA, current_folders, read_folders, version_log
 
 #: The hidden column by which an unpartitioned keyed table is laid out.
 BUCKET = "_bucket"
@@ -70,30 +70,29 @@ def commits_of(spark: SparkSession, path: str) -> DataFrame:
     """The commits of a keyed table: stamp, instant, part, one row per partition touched."""
     log = version_log(spark, path)
     if log is None:
-        return spark.createDataFrame([], "stamp string, instant string, part string")
+        log = spark.range(0).selectExpr(*[f"CAST(NULL AS STRING) AS {c}" for c in LOG_SCHEMA.names])
     return log.select("stamp", "instant", "part")
 
 
 def scan_commits(
-    spark: SparkSession, path: str, schema: StructType | None, commits: DataFrame,
+    spark: SparkSession, path: str, schema: StructType | None, commits: Iterable[Row],
     where: Mapping[str, str | None] | None = None,
 ) -> DataFrame:
-    """The rows that some commits (those of ``commits_of``) wrote and that still count.
+    """The rows that some commits (rows of ``commits_of``) wrote and that still count.
 
     Only the partitions that these commits have touched are listed and read, and their stamps reach
     the Parquet scan as a filter.
     """
-    touched = commits.select("stamp", "part").distinct().collect()  # as the log: small
-    stamps = sorted({r.stamp for r in touched})
-    folders = current_folders(spark, path, where, {r.part for r in touched}) or {}
-    rows = read_folders(spark, path, schema, sorted(folders.values())) if folders else None
-    if rows is None:
+    commits = list(commits)  # as the log: small
+    stamps = sorted({r.stamp for r in commits})
+    folders = current_folders(spark, path, where, {r.part for r in commits}) or {}
+    if not folders:
         return snapshot_scan(spark, path, schema).limit(0)
-    rows = rows.drop(BUCKET)
+    rows = read_folders(spark, path, schema, sorted(folders.values())).drop(BUCKET)
     if len(stamps) <= STAMPS:
         return rows.filter(F.col(COMMIT_TIME).isin(stamps))
     between = F.col(COMMIT_TIME).between(stamps[0], stamps[-1])
-    own = broadcast_if_small(commits.select(F.col("stamp").alias(COMMIT_TIME)).distinct())
+    own = broadcast_if_small(spark.createDataFrame([(s,) for s in stamps], f"{COMMIT_TIME} string"))
     return rows.filter(between).join(own, COMMIT_TIME, "left_semi")
 
 
@@ -109,7 +108,7 @@ def incremental_table_scan(
     if max_commits is not None:
         first = commits.select("stamp").distinct().orderBy("stamp").limit(max_commits)
         commits = commits.join(first, "stamp", "left_semi")
-    return scan_commits(spark, path, schema, commits, where)
+    return scan_commits(spark, path, schema, commits.collect(), where)
 
 
 def latest_table_commit(spark: SparkSession, path: str) -> str | None:

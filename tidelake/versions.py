@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -81,7 +82,8 @@ def current_folders(
     for column, value in (where or {}).items():
         segment = f"/{part_name({column: value})}/"
         log = log.filter(F.concat(F.lit("/"), "part", F.lit("/")).contains(segment))
-    newest = log.groupBy("part").agg(F.max(F.struct("written", "folder")).alias("last"))
+    # A log is small: one task reads it, without a shuffle.
+    newest = log.coalesce(1).groupBy("part").agg(F.max(F.struct("written", "folder")).alias("last"))
     rows = newest.filter("last.folder IS NOT NULL").select("part", "last.folder").collect()
     wanted = None if parts is None else set(parts)
     return {
@@ -132,8 +134,16 @@ def publish(
     """Add a commit to the log, as one file, so that all its partitions count at once."""
     written = now()
     rows = [(part, folder, stamp, instant, written) for part, folder in entries]
-    log = spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
-    log.write.mode("append").parquet(f"{path}/_commits")
+    append_log(spark, f"{path}/_commits", LOG_SCHEMA, rows)
+
+
+def append_log(
+    spark: SparkSession, path: str, schema: StructType, rows: Sequence[tuple]
+) -> None:
+    """Add rows to a log in one file."""
+    columns = {f.name: [row[i] for row in rows] for i, f in enumerate(schema)}
+    local = spark.createDataFrame(pa.table(columns), schema)
+    local.coalesce(1).write.mode("append").parquet(path)
 
 
 def replace_partitions(
