@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from itertools import product
 
@@ -26,7 +27,6 @@ def encoded(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     found = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [x.ids + [2] for x in found]
 
@@ -161,6 +161,31 @@ def test_space_marks_and_private_characters_come_back(model, text):
         assert data[data_at[i] : data_at[i + 1]].tobytes() == text.encode()
 
 
+@pytest.mark.parametrize("sign", ["=", "-", "a", "_", ".", "*", "é", "日"])
+def test_runs_of_one_sign_take_time_in_proportion(model, sign):
+    short = pieces.Stream(model)
+    ids = short.push(sign * 300) + short.finish()
+    assert ids == best_ids(model, sign * 300)
+    steps = []
+    for n in (4_000, 32_000):
+        stream, start = pieces.Stream(model), time.perf_counter()
+        out = stream.push(sign * n) + stream.finish()
+        steps.append((time.perf_counter() - start) / n)
+        assert sum(model.width[i] for i in out) == len((sign * n).encode())
+    assert steps[1] < 4 * steps[0]
+
+
+def test_parts_of_a_run_may_come_in_any_size(model):
+    text = "=" * 700 + "a-" * 200 + "=" * 90
+    whole = pieces.Stream(model)
+    want = whole.push(text) + whole.finish()
+    for size in (1, 7, 100):
+        stream, out = pieces.Stream(model), []
+        for i in range(0, len(text), size):
+            out += stream.push(text[i : i + size])
+        assert out + stream.finish() == want
+
+
 def test_stream_keeps_a_short_window(model):
     text = "thenationalrestorationofthe" * 500
     stream, out = pieces.Stream(model), []

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -164,56 +165,85 @@ def _octets(character: str) -> bytes:
 
 
 class Stream:
-    """A search over a text that comes in parts; ids are given out as they are decided."""
+    """A search over a text that comes in parts; ids are given out as they are decided.
+
+    Scores are kept of the last ``longest + 1`` boundaries only. Whether the ways back from them
+    share a boundary is looked for when so many characters are undecided, and again each time as
+    many again have come, so the time is in proportion to the text also where nothing is decided
+    for long, as in a run of one sign. What waits there is one pointer for each character.
+    """
 
     def __init__(self, model: Model):
         self.model = model
         self.text = ""  # characters after the last decided boundary
-        self.best: list[int] = [0]  # of each boundary after the last decided one
-        self.back: list[tuple[int, int]] = [(0, -1)]  # begin and id (-1: bytes) of the last piece
+        self.best = [0] * (model.longest + 1)  # a ring: of boundary b at b % (longest + 1)
+        self.back = array("q", [0])  # begin of the last piece before each boundary
+        self.piece = array("i", [-1])  # and its id; -1: bytes
+        self.again = 2 * model.longest  # undecided characters at which to look again
         self.window = 0  # most characters that were ever undecided
 
     def push(self, text: str) -> list[int]:
         """Read more of the text, where spaces are space marks already and its own are OWN_MARK."""
-        model, out = self.model, []
-        for character in text:
-            self.text += character
-            end = len(self.text)
-            value = self.best[end - 1] + BYTE_SCORE * len(_octets(character))
-            found = (value, end - 1, -1)
-            for begin in range(max(0, end - model.longest), end):
-                piece = model.pieces.get(self.text[begin:end])
-                # A piece wins over bytes, the longer piece over the shorter.
-                if piece and (self.best[begin] + piece[1], found[2] < 0) > (found[0], False):
-                    found = (self.best[begin] + piece[1], begin, piece[0])
-            self.best.append(found[0])
-            self.back.append(found[1:])
-            if end >= 2 * model.longest and end % model.longest == 0:
+        out: list[int] = []
+        begin = 0
+        while begin < len(text):
+            step = max(self.model.longest, len(self.text))
+            self._push(text[begin : begin + step])
+            begin += step
+            if len(self.text) >= self.again:
                 out += self._commit()
-        self.window = max(self.window, len(self.text))
         return out
 
+    def _push(self, text: str) -> None:
+        longest, pieces, best = self.model.longest, self.model.pieces, self.best
+        ring, first = longest + 1, len(self.text) + 1
+        self.text = whole = self.text + text
+        for end in range(first, len(whole) + 1):
+            value = best[(end - 1) % ring] + BYTE_SCORE * len(_octets(whole[end - 1]))
+            begin_of, id_of = end - 1, -1
+            # A piece wins over bytes, the longer piece over the shorter.
+            for begin in range(max(0, end - longest), end):
+                piece = pieces.get(whole[begin:end])
+                if piece:
+                    score = best[begin % ring] + piece[1]
+                    if score > value or (score == value and id_of < 0):
+                        value, begin_of, id_of = score, begin, piece[0]
+            best[end % ring] = value
+            self.back.append(begin_of)
+            self.piece.append(id_of)
+        self.window = max(self.window, len(whole))
+
     def _commit(self) -> list[int]:
         """Decide up to the last boundary that the ways back from the whole window share."""
-        end = len(self.text)
-        ways = set(range(end - self.model.longest + 1, end + 1))
-        while len(ways) > 1:  # the farthest boundary goes one piece back
-            last = max(ways)
-            ways.remove(last)
-            ways.add(self.back[last][0])
-        shared = ways.pop()
-        out = self._ids(shared)
-        self.window = max(self.window, end)
-        self.text = self.text[shared:]
-        floor = self.best[shared]
-        self.best = [b - floor for b in self.best[shared:]]
-        self.back = [(0, -1)] + [(b - shared, i) for b, i in self.back[shared + 1 :]]
+        longest, end = self.model.longest, len(self.text)
+        ways = bytearray(end + 1)
+        ways[end - longest + 1 :] = b"\1" * longest
+        left, at = longest, end
+        while left > 1:  # the farthest boundary goes one piece back
+            if ways[at]:
+                begin = self.back[at]
+                left -= ways[begin]
+                ways[begin] = 1
+            at -= 1
+        shared = ways.rindex(1, 0, at + 1)
+        if shared:
+            out = self._ids(shared)
+            ring = longest + 1
+            kept = {b: self.best[b % ring] for b in range(max(shared, end - longest), end + 1)}
+            for b, value in kept.items():
+                self.best[(b - shared) % ring] = value
+            self.text = self.text[shared:]
+            self.back = array("q", [0, *(b - shared for b in self.back[shared + 1 :])])
+            self.piece = array("i", [-1, *self.piece[shared + 1 :]])
+        else:
+            out = []
+        self.again = max(2 * longest, 2 * len(self.text))
         return out
 
     def _ids(self, end: int) -> list[int]:
         found: list[list[int]] = []
         while end:
-            begin, piece = self.back[end]
+            begin, piece = self.back[end], self.piece[end]
             found.append([piece] if piece >= 0 else self.model.bytes_of(self.text[begin:end]))
             end = begin
         return [i for ids in reversed(found) for i in ids]
