@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.llm.common import per_process, ranges, slices, text_array, utf8
-from tidelake.llm.tokens import chunk_bounds
+from tidelake.llm.tokens import chunk_bounds, uncut
 from tidelake.llm.trees import merged_state
 
 #: Counters of a summary, and so entries of the broadcast table at most.
@@ -132,16 +132,7 @@ class FileUnits:
     def cut(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not self.divisible:
             return data, np.unique(at), at
-        bounds = chunk_bounds(data, at)
-        raw = data.tobytes()
-        inside = np.zeros(len(bounds), bool)
-        for token in self.added:
-            place = raw.find(token)
-            while place >= 0:
-                text = int(np.searchsorted(at, place, side="right")) - 1
-                inside |= (bounds > at[text]) & (bounds < at[text + 1])
-                place = raw.find(token, at[text + 1])
-        return data, bounds[~inside], at
+        return data, uncut(data, at, chunk_bounds(data, at), self.added), at
 
     def count(self, units: list[str]) -> list[int]:
         return [

@@ -9,6 +9,7 @@ line feed, and between an ASCII letter and an ASCII punctuation mark other than
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +52,29 @@ def chunk_bounds(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def uncut(
+    data: np.ndarray, at: np.ndarray, bounds: np.ndarray, strings: Iterable[bytes]
+) -> np.ndarray:
+    """The bounds without those inside texts that hold one of the strings."""
+    raw = data.tobytes()
+    inside = np.zeros(len(bounds), bool)
+    for string in strings:
+        place = raw.find(string)
+        while place >= 0:
+            text = int(np.searchsorted(at, place, side="right")) - 1
+            if place + len(string) <= at[text + 1]:
+                inside |= (bounds > at[text]) & (bounds < at[text + 1])
+                place = raw.find(string, at[text + 1])
+            else:
+                place = raw.find(string, place + 1)
+    return bounds[~inside]
+
+
 class Encoder:
     """Ids of the texts of a slice, from a tokenizer file of the tokenizers library.
 
-    Special tokens' strings inside a text are ordinary text.
+    The string of an added token inside a text is that token, as the library has it by default; so a
+    text that holds one is not cut.
     """
 
     #: Chunks joined for one call of the tokenizer.
@@ -65,7 +85,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added]
         vocabulary = self.tokenizer.get_vocab()
         self.size = max(vocabulary.values()) + 1
         self.width = np.zeros(self.size, np.int64)  # bytes of each token
@@ -124,7 +145,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts at offsets ``at`` of ``data``, and each text's offset in them."""
-        bounds = chunk_bounds(data, at)
+        bounds = uncut(data, at, chunk_bounds(data, at), self.added)
         if len(bounds) < 2:
             return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
         chunks = text_array(data, bounds).dictionary_encode()
