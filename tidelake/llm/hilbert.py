@@ -96,6 +96,13 @@ def curve_column(df: DataFrame, dims: Sequence[str | tuple[str, Column]], bits:
     return index(*numbers)
 
 
+def file_number(name: Column) -> Column:
+    """Place of a written file in the order of the rows: its task, and its number in the task."""
+    task = F.regexp_extract(name, r"^part-(\d+)", 1).cast("bigint")
+    chunk = F.coalesce(F.regexp_extract(name, r"-c(\d+)", 1).try_cast("bigint"), F.lit(0))
+    return task * 1_000_000 + chunk
+
+
 @dataclass(frozen=True)
 class Layout:
     """Shards written at ``path``: folders ``<shard>=0`` …, each file a piece of the sorted run."""
@@ -115,7 +122,7 @@ class Layout:
         files = df.sparkSession.read.schema(kinds).parquet(self.path)
         rows = files.select(
             "*",
-            F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int").alias(file),
+            file_number(F.col("_metadata.file_name")).alias(file),
             F.col("_metadata.row_index").alias(slot),
         )
         earlier = Window.partitionBy(self.shard).orderBy(file).rowsBetween(
@@ -145,7 +152,7 @@ def cut_keys(keys: DataFrame, order: Sequence[str], size: str, shards: int) -> l
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = (  # one row per file
         rows.groupBy("_file").agg(F.sum(size).alias("_sum"))
-        .withColumn("_part", F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int"))
+        .withColumn("_part", file_number(F.col("_file")))
         .withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
     )
     total = sums.agg(F.sum("_sum")).first()[0]
