@@ -14,7 +14,10 @@ are not read by the index.
 
 from __future__ import annotations
 
+import hashlib
 import string
+import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidelake.lake import scratch_path, stage
 from tidelake.llm.common import free_name
 
-INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, group_size BIGINT"
+INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, group_size BIGINT, batch STRING"
 
 
 def normal_text(text: Column) -> Column:
@@ -43,17 +46,25 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """An index at ``path``, which may exist already; ``buckets`` must then be what it was."""
+    """An index at ``path``, which may exist already; ``buckets`` must then be what it was.
+
+    Its catalog entry is named by a hash of the exact path, so no two indexes share one, and points
+    there alone; ``close`` drops the entry and keeps the files.
+    """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int):
         self.spark, self.path, self.buckets = spark, path, buckets
-        self.name = "digest_index_" + "".join(c if c.isalnum() else "_" for c in path.lower())
+        self.name = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{self.name}` ({INDEX_SCHEMA}) USING parquet"
             f" CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS"
-            f" LOCATION '{path}'"
+            f" LOCATION '{place}'"
         )
 
+    def close(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS `{self.name}`")
+
     def _table(self) -> DataFrame:
         """All rows of the index, bucketed: a join by digest does not shuffle it."""
         self.spark.catalog.refreshTable(self.name)
@@ -69,8 +80,11 @@ class DigestIndex:
         """The index as plain files: a join shuffles it, and can split a hot digest."""
         return self.spark.read.schema(INDEX_SCHEMA).parquet(self.path)
 
-    def add(self, digests: DataFrame) -> DataFrame:
-        """Append a batch; the index's rows of its digests, at least, as plain files.
+    def holds(self, batch: str) -> bool:
+        return not self._table().filter(F.col("batch") == batch).isEmpty()
+
+    def add(self, digests: DataFrame, batch: str) -> None:
+        """Append a batch, unless it is there already, as after a retry.
 
         A new digest gets a row with the largest id and the number of rows. One that is there gets
         a row with the number alone, so the document that is kept stays the first batch's.
@@ -79,22 +93,21 @@ class DigestIndex:
         a large group of them is one row per task. The counts are written before the join, which
         would otherwise be done first, on the rows.
         """
-        batch = stage(
+        if self.holds(batch):
+            return
+        counted = stage(
             digests.groupBy("digest").agg(
                 F.max("doc_id").cast("bigint").alias("keep_id"), F.count("*").alias("group_size")
             )
         )
-        first = self._table().isEmpty()
-        added = batch.hint("merge").join(self._table(), "digest", "left_anti")
-        if not first:
-            again = batch.hint("merge").join(self._table(), "digest", "left_semi")
+        added = counted.hint("merge").join(self._table(), "digest", "left_anti")
+        if not self._table().isEmpty():
+            again = counted.hint("merge").join(self._table(), "digest", "left_semi")
             added = added.unionAll(again.withColumn("keep_id", F.lit(None).cast("bigint")))
-        added.repartition(self.buckets, "digest").sortWithinPartitions("digest").write.insertInto(
-            self.name
+        (
+            added.withColumn("batch", F.lit(batch)).repartition(self.buckets, "digest")
+            .sortWithinPartitions("digest").write.insertInto(self.name)
         )
-        if first:
-            return self.files()
-        return stage(batch.select("digest").hint("merge").join(self.rows(), "digest"))
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -106,19 +119,39 @@ def mark_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
     index: DigestIndex | None = None,
+    batch: str | None = None,
+    batches: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, digest, keep_id, group_size, kept.
 
     New digests are added to ``index`` (by default one in a new scratch folder). A text that the
     index already had keeps the document of the batch that brought it. group_size counts the rows
-    of all batches so far, this one included; a batch that is given twice counts twice.
+    of all batches so far, this one included. ``batch`` names this one: given again under the same
+    name, as after a lost driver, it counts once. ``batches``, conditions on the id of which one
+    holds for each row (as ``doc_id``), add the rows in several batches, one after the other.
     """
     spark = df.sparkSession
-    index = index or DigestIndex(spark, scratch_path(spark), default_buckets(spark))
+    own = index or DigestIndex(spark, scratch_path(spark), default_buckets(spark))
+    batch = batch or uuid.uuid4().hex
     digests = stage(
         df.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("digest"))
     )
-    marked = digests.join(index.add(digests), "digest")
+    parts = list(batches) or [F.lit(True)]
+    for i, part in enumerate(parts):
+        own.add(digests.filter(part), f"{batch}/{i}")
+    if index is None and len(parts) == 1:
+        found = own.files().drop("batch")
+    elif index is None:
+        found = own.files().groupBy("digest").agg(
+            F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
+        )
+    else:
+        wanted = digests.select("digest").distinct()
+        found = stage(wanted.hint("merge").join(own.rows(), "digest"))
+    if index is None:
+        own.close()
+        found = stage(found) if len(parts) > 1 else found
+    marked = digests.join(found, "digest")
     return marked.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 

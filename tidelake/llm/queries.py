@@ -106,7 +106,7 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_near_duplicates")
 def near_duplicate_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), is_scan=True)
 
 
 # The turns of conversation -1.
@@ -177,7 +177,15 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mark_copies(table(spark, sf_dir, "documents")).select(
+    """Two batches, the larger ids first, so that the second one meets digests of the first.
+
+    Of equal texts the first batch's document stays, so it is the one with the largest id.
+    """
+    docs = table(spark, sf_dir, "documents")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    middle = 0 if low is None else (low + high) // 2
+    later = F.coalesce(F.col("doc_id") > middle, F.lit(False))
+    return mark_copies(docs, batches=[later, ~later]).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
