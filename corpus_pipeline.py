@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.lake import stage
-from tidelake.llm.common import table
+from tidelake.llm.common import reads_files, table
 from tidelake.llm.digests import without_copies
 from tidelake.llm.langid import known_language
 from tidelake.llm.mixing import mixed_rows
@@ -39,12 +39,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates."""
-    return one_of_each(docs)
+    return one_of_each(docs, reads_files(docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each document as often as the mix of sources does."""
-    return mixed_rows(docs)
+    return mixed_rows(docs, is_scan=reads_files(docs))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,6 +187,21 @@ def test_mixing_in_many_blocks(spark):
         assert abs(sum(r.copies for r in own) - want) < 1 + 1e-6
 
 
+@pytest.mark.parametrize("ids", [None, 7])
+def test_mixing_rows_without_ids_of_their_own(spark, ids):
+    """Rows of one id and size are dealt over the blocks, and each is taken for itself."""
+    rows = [(ids, "w w", f"s{i % 4 % 3}") for i in range(2400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix(df, block_rows=200).collect()
+    assert len(found) == 2400
+    check_mix(found, df, 0.02)
+    taken = {}
+    for r in mixing.mixed_rows(df).collect():
+        taken[r.source] = taken.get(r.source, 0) + 2
+    for r in found:
+        assert abs(taken[r.source] - r.target) <= 0.02 * r.target
+
+
 def test_mixing_odd_rows(spark, tricky, clashing, no_docs):
     rows = mixing.mix(tricky).collect()
     assert len(rows) == tricky.count()
@@ -319,6 +334,20 @@ def test_near_copies_of_odd_rows(spark, tricky, clashing, no_docs):
     assert setjoin.one_of_each(no_docs).count() == 0
 
 
+def test_rows_without_an_id_are_told_apart(spark):
+    """Many null ids: each text is checked once, and one row of each group stays."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    texts = [words(k) for k in range(40)] * 2 + [words(k) + " tail" for k in range(40)]
+    texts += [None, "", "!!"]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    rows = setjoin.near_duplicates(df).collect()
+    assert len(rows) == len(texts) and sum(r.stays for r in rows) == 43
+    assert sorted(r.links for r in rows) == [0] * 3 + [2] * 120
+    for given in (df, df.withColumn("doc_id", F.lit(7).cast("bigint"))):
+        kept = [r.text for r in setjoin.one_of_each(given).collect()]
+        assert len(kept) == 43 and len({(t or "")[:6] for t in kept}) == 42
+
+
 def test_runs_reach_the_recall():
     assert setjoin.loss_of_run(0.8) == pytest.approx(0.0625)
     assert setjoin.loss_of_run(0.8) ** setjoin.runs_for(0.999, 0.8) < 0.001
@@ -354,6 +383,39 @@ def test_digest_index_persists(spark, tricky):
     assert "Exchange" not in plan
 
 
+def test_indexes_of_alike_paths_are_apart(spark):
+    root = scratch_path(spark)
+    rows = {"a-b": [(1, "x")], "a_b": [(2, "x")], "A-B": [(3, "x")], "it's": [(4, "x")]}
+    for name, batch in rows.items():
+        index = DigestIndex(spark, f"{root}/{name}", 2)
+        found = mark_copies(spark.createDataFrame(batch, "doc_id bigint, text string"), index=index)
+        assert [(r.keep_id, r.group_size) for r in found.collect()] == [(batch[0][0], 1)]
+    for name, batch in rows.items():
+        index = DigestIndex(spark, f"{root}/{name}", 2)
+        assert [r.keep_id for r in index.rows().collect()] == [batch[0][0]]
+        index.close()
+    tables = {t.name for t in spark.catalog.listTables()}
+    assert not any(t.startswith("digest_index_") and t == index.name for t in tables)
+
+
+def test_a_batch_given_again_counts_once(spark):
+    index = DigestIndex(spark, scratch_path(spark), 2)
+    batch = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id bigint, text string")
+    for _ in range(2):
+        found = mark_copies(batch, index=index, batch="monday").collect()
+        assert {(r.doc_id, r.keep_id, r.group_size) for r in found} == {(1, 2, 2), (2, 2, 2), (3, 3, 1)}
+    found = mark_copies(batch, index=index, batch="tuesday").collect()
+    assert {r.group_size for r in found} == {4, 2}
+
+
+def test_several_batches_at_once(spark, tricky, no_docs):
+    later = F.coalesce(F.col("doc_id") > 5, F.lit(False))
+    once = {(r.doc_id, r.keep_id, r.group_size, bytes(r.digest)) for r in mark_copies(tricky).collect()}
+    found = mark_copies(tricky, batches=[later, ~later])
+    assert {(r.doc_id, r.keep_id, r.group_size, bytes(r.digest)) for r in found.collect()} == once
+    assert mark_copies(no_docs, batches=[later, ~later]).count() == 0
+
+
 def test_group_sizes_cover_all_batches(spark):
     index = DigestIndex(spark, scratch_path(spark), 4)
     batches = [
@@ -462,10 +524,17 @@ def test_pipeline(spark, docs):
 
 def test_pipeline_of_odd_rows(spark, clashing, no_docs):
     for docs in (clashing, no_docs):
-        table = docs
+        table, counts = docs, []
         for name, function in corpus_pipeline.STAGES:
             out = function(spark, table, SF)
             if name != "tokens":
                 assert out.columns == docs.columns
                 table = out
-        out.count()
+            counts.append(out.count())
+        if docs is no_docs:
+            assert counts == [0] * 5
+            continue
+        known, kept, apart = counts[:3]
+        assert known >= kept > 0 and apart <= kept and counts[3] == counts[4] <= 3 * apart
+        texts = {(r.text or "").lower() for r in clashing.collect() if re.search("[a-z]", r.text or "")}
+        assert kept <= len(texts)

@@ -6,7 +6,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidelake.lake import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,29 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def reads_files(df: DataFrame) -> bool:
+    """Whether a frame is made of rows of files, as a table that was just read is."""
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        return False
+    return True
+
+
+def with_place(df: DataFrame, is_scan: bool = False) -> tuple[DataFrame, list[str]]:
+    """The rows with the place each was read from, which tells equal rows apart, and its columns.
+
+    ``is_scan`` says that ``df`` reads Parquet files; any other frame is written once first.
+    """
+    names = [free_name(df, "place_file"), free_name(df, "place_row")]
+    rows = df if is_scan else stage(df)
+    read_from = rows.metadataColumn("_metadata")
+    return rows.select(
+        "*", F.xxhash64(read_from["file_path"]).alias(names[0]),
+        read_from["row_index"].alias(names[1]),
+    ), names
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column, null as empty, and each row's offset in them (rows + 1)."""
     column = column.cast(pa.large_binary())

@@ -12,8 +12,9 @@ are the landing problem, solved by trying every rounding.
 
 Nulls and edge cases: a null text has size 0, a null source is a source of its own, the last one.
 Documents of size 0 are decided like others; they add no words. A source without words has target
-0. Repeated rows count each for itself. The draws are hashes of a seed, the document's id and its
-size, and blocks depend on the rows alone, so reruns agree. An empty table gives no rows. Other
+0. Repeated rows, and rows that repeat an id or have none, count each for itself. The draws are
+hashes of a seed and the row's number in the order of source, id and size, and blocks depend on the
+rows alone, so reruns agree. An empty table gives no rows. Other
 columns are carried by ``mixed_rows`` only.
 """
 
@@ -21,15 +22,16 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelake.lake import stage
-from tidelake.llm.common import free_name
+from tidelake.llm.common import free_name, with_place
 from tidelake.operators.joins import broadcast_if_small
+from tidelake.operators.numbering import surrogate_key
 
 # Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -240,53 +242,57 @@ def mix(
 
     ``copies`` says how often the mix takes the document, ``taken`` is copies * size.
     """
-    docs = stage(
-        df.select(
-            F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).alias("source"),
-            n_words(F.col(text_col)).alias("size"),
-        )
+    docs = df.select(
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).alias("source"),
+        n_words(F.col(text_col)).alias("size"),
     )
+    return _mix(docs, seed, block_rows)
+
+
+def _mix(
+    docs: DataFrame, seed: int, block_rows: int = BLOCK_ROWS, carried: Sequence[str] = ()
+) -> DataFrame:
+    """The same for rows (doc_id, source, size, …); the columns ``carried`` are returned, too.
+
+    Each row is a unit of its own, known by its number in the order of source, id and size. So rows
+    without an id and rows that repeat one are spread over the blocks like any others, and what is
+    decided does not depend on the files that the rows lie in.
+    """
+    order = ["source", "doc_id", "size"]
+    docs = surrogate_key(docs.select(*order, *carried), "unit", order)
     targets = stage(source_targets(docs))
     units = docs.join(broadcast_if_small(targets), docs["source"].eqNullSafe(targets["source"])).select(
-        docs["doc_id"], docs["source"], "size", "source_size", "target",
+        "unit", docs["doc_id"], docs["source"], "size", "source_size", "target", *carried,
         F.col("copies").alias("whole"), "chance",
     )
     open_units = units.filter("chance > 0").select(
-        "source", F.col("doc_id").alias("key"), "size", "chance"
+        "source", F.col("unit").alias("key"), "size", "chance"
     )
-    # Rows that repeat an id, a source and a size are alike: they are counted, then dealt out.
-    extra = decide(open_units, seed, block_rows).groupBy("source", "key", "size").agg(
-        F.sum("extra").alias("more")
-    )
-    joined = units.alias("u").join(
-        extra.alias("e"),
-        F.expr("u.source <=> e.source AND u.doc_id <=> e.key AND u.size = e.size AND u.chance > 0"),
-        "left",
-    ).select("u.*", F.coalesce("e.more", F.lit(0)).alias("more"))
-    alike = Window.partitionBy("doc_id", "source", "size").orderBy("whole")
-    copies = F.col("whole") + (F.row_number().over(alike) <= F.col("more")).cast("int")
-    return joined.withColumn("copies", copies).select(
+    extra = decide(open_units, seed, block_rows).select(F.col("key").alias("unit"), "extra")
+    copies = F.col("whole") + F.coalesce(F.col("extra").cast("int"), F.lit(0))
+    return units.join(extra, "unit", "left").withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies",
-        (F.col("size") * F.col("copies")).alias("taken"),
+        (F.col("size") * F.col("copies")).alias("taken"), *carried,
     )
 
 
-def mixed_rows(df: DataFrame, seed: int = 42) -> DataFrame:
+def mixed_rows(df: DataFrame, seed: int = 42, is_scan: bool = False) -> DataFrame:
     """The rows of ``df`` with all their columns, each as often as the mix takes it.
 
-    Ids must be unique: rows that repeat an id, source and size are taken as often as any of them.
+    Every row is decided for itself, also where ids repeat or are null. ``is_scan`` is that of
+    ``with_place``.
     """
-    key, source, size, times = (free_name(df, f"mix_{c}") for c in ("id", "source", "size", "times"))
-    chosen = mix(df, seed).filter("copies > 0").groupBy("doc_id", "source", "size").agg(
-        F.max("copies").alias(times)
-    ).withColumnsRenamed({"doc_id": key, "source": source, "size": size})
-    own = free_name(df, "mix_own_size")
-    joined = df.withColumn(own, n_words(F.col("text"))).join(
-        chosen,
-        F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source))
-        & (F.col(own) == F.col(size)),
+    placed, place = with_place(df, is_scan)
+    at = [f"at_{i}" for i in range(len(place))]
+    docs = placed.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").alias("source"),
+        n_words(F.col("text")).alias("size"), *[F.col(c).alias(n) for c, n in zip(place, at)],
+    )
+    times, copy = free_name(placed, "mix_times"), free_name(placed, "mix_copy")
+    chosen = _mix(docs, seed, carried=at).filter("copies > 0").select(
+        *[F.col(n).alias(c) for c, n in zip(place, at)], F.col("copies").alias(times)
     )
-    copy = free_name(df, "mix_copy")
+    joined = placed.join(chosen, place)
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(
         *[f"`{c}`" for c in df.columns]
     )

@@ -22,8 +22,8 @@ tile, and connected components of it are the near-duplicate groups.
 
 Nulls and edge cases: a document without words (null, empty or marks only) is in no group and has no links. Rows with
 a null id take part; the class id of a group is its smallest id, null only if all are null. Rows
-that repeat an id are linked like any others, and share its smallest class id. Texts are read
-whole, of any length. An empty table gives no rows. Other columns are not read. No pair is dropped
+are told apart by their place in the files, so rows that repeat an id, or have none, are linked like
+any others, and one row of each group stays. Texts are read whole, of any length. An empty table gives no rows. Other columns are not read. No pair is dropped
 for the size of its group: a group of n alike sets costs n * n comparisons, spread over tasks.
 """
 
@@ -37,9 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelake.lake import stage
-from tidelake.llm.common import free_name, slices, utf8
+from tidelake.llm.common import slices, utf8, with_place
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
+#: Columns that tell the rows apart: the place each was read from.
+PLACE = ("place_file", "place_row")
 SKETCH, FANOUT, LEAST_DEPTH, MOST_DEPTH, BUCKET = 64, 2, 2, 5, 256
 #: Classes of a block in the exact check.
 BLOCK = 512
@@ -375,16 +377,27 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS,
-    threshold: float = THRESHOLD, recall: float = RECALL,
+    threshold: float = THRESHOLD, recall: float = RECALL, is_scan: bool = False,
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, class_id, links, copies, n_grams, stays.
 
     ``copies`` are the rows with the same set of grams, ``links`` the other rows with a similarity
     of ``threshold`` or more, ``class_id`` the smallest id of the connected rows. ``stays`` is true
-    for the row with that id, and for rows without any words.
+    for one row with that id, and for rows without any words. ``is_scan`` is that of
+    ``with_place``.
     """
-    given = df.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")
+    placed, place = with_place(df, is_scan)
+    return _near_duplicates(placed, place, id_col, text_col, n, threshold, recall).drop(*PLACE)
+
+
+def _near_duplicates(
+    placed: DataFrame, place: list[str], id_col: str = "doc_id", text_col: str = "text",
+    n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL,
+) -> DataFrame:
+    """The same with each row's ``PLACE``, by which rows are told apart and texts are found."""
+    given = placed.select(
+        *[F.col(own).alias(c) for own, c in zip(place, PLACE, strict=True)],
+        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
     )
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,19 +409,20 @@ def near_duplicates(
             minima = sketches(grams, at).astype("<u4")
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), pa.array(size.astype(np.int64)),
+                    *(batch.column(c) for c in (*PLACE, "doc_id")), pa.array(size.astype(np.int64)),
                     pa.array([k.tobytes() if s else None for k, s in zip(keys, size)], pa.binary()),
                     pa.array([m.tobytes() if s else None for m, s in zip(minima, size)], pa.binary()),
                 ],
-                ["doc_id", "n_grams", "class", "sketch"],
+                [*PLACE, "doc_id", "n_grams", "class", "sketch"],
             )
 
-    rows = stage(
-        given.mapInArrow(sketch, "doc_id bigint, n_grams bigint, class binary, sketch binary")
-    )
+    kinds = ", ".join(f"{c} bigint" for c in (*PLACE, "doc_id", "n_grams"))
+    rows = stage(given.mapInArrow(sketch, f"{kinds}, class binary, sketch binary"))
+    # The row that stands for others has the smallest id; null ids come last, places break ties.
+    head = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *PLACE)
     classes = stage(
         rows.filter("class IS NOT NULL").groupBy("class").agg(
-            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"),
+            F.min(head).alias("head"), F.count("*").alias("copies"),
             F.first("sketch").alias("sketch"),
         )
     )
@@ -420,27 +434,31 @@ def near_duplicates(
     )
     roots = components(checked.filter("b IS NOT NULL").select("a", "b"))
     named = roots.join(
-        classes.select(F.col("class").alias("node"), "doc_id"), "node"
-    ).groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    found = roots.join(named, "root").select(F.col("node").alias("class"), "class_id")
+        classes.select(F.col("class").alias("node"), "head"), "node"
+    ).groupBy("root").agg(F.min("head").alias("first"))
+    found = roots.join(named, "root").select(F.col("node").alias("class"), "first")
     # Written, so that the join with the rows can split a class of very many copies.
-    known = classes.select("class", "copies", F.col("doc_id").alias("own_id")).join(
-        found, "class", "left"
-    ).join(links, "class", "left").select(
-        "class", "copies", F.coalesce("class_id", "own_id").alias("class_id"),
+    known = classes.select("class", "copies", "head").join(found, "class", "left").join(
+        links, "class", "left"
+    ).select(
+        "class", "copies", F.coalesce("first", "head").alias("first"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
     )
     known = stage(known)
-    worded = rows.filter("class IS NOT NULL").select("doc_id", "n_grams", "class").join(
+    stays = F.lit(True)
+    for c in PLACE:
+        stays &= F.col(c) == F.col(f"first.{c}")
+    worded = rows.filter("class IS NOT NULL").select(*PLACE, "doc_id", "n_grams", "class").join(
         known, "class"
-    ).select("doc_id", "class_id", "links", "copies", "n_grams")
-    silent = rows.filter("class IS NULL").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("links"),
-        F.lit(1).cast("bigint").alias("copies"), "n_grams",
+    ).select(
+        *PLACE, "doc_id", F.col("first.doc_id").alias("class_id"), "links", "copies", "n_grams",
+        stays.alias("stays"),
     )
-    return worded.unionAll(silent).withColumn(
-        "stays", F.col("doc_id").eqNullSafe(F.col("class_id")) | (F.col("n_grams") == 0)
+    silent = rows.filter("class IS NULL").select(
+        *PLACE, "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("links"),
+        F.lit(1).cast("bigint").alias("copies"), "n_grams", F.lit(True).alias("stays"),
     )
+    return worded.unionAll(silent)
 
 
 def candidate_edges(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
@@ -501,10 +519,11 @@ def check_groups(
         ), "UTF-8")).alias("cell"),
         (own > F.col("other")).cast("int").alias("side"),
     )
-    known = cells.join(classes.select("class", "copies", "doc_id"), "class")
-    # Only the checked documents' texts go on; the ids are few beside them.
-    texts = given.withColumnsRenamed({"doc_id": "of_doc"})
-    full = known.join(texts, F.col("doc_id").eqNullSafe(F.col("of_doc")))
+    known = cells.join(
+        classes.select("class", "copies", *[F.col(f"head.{c}").alias(c) for c in PLACE]), "class"
+    )
+    # Only the checked documents' texts go on; the places are few beside them.
+    full = known.join(given.select(*PLACE, "text"), list(PLACE))
     return (
         full.select("cell", "class", "copies", "side", "text")
         .repartition("cell").sortWithinPartitions("cell")
@@ -512,13 +531,13 @@ def check_groups(
     )
 
 
-def one_of_each(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns: one of each group.
+def one_of_each(df: DataFrame, is_scan: bool = False) -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns: one row of each group.
 
-    Rows that repeat an id stay or go together.
+    Rows are told apart by their place, so it does not matter whether ids are null or repeat.
     """
-    key = free_name(df, "staying_id")
-    staying = near_duplicates(df).filter("stays").select(F.col("doc_id").alias(key)).distinct()
-    return df.join(staying, F.col("doc_id").eqNullSafe(F.col(key))).select(
-        *[f"`{c}`" for c in df.columns]
+    placed, place = with_place(df, is_scan)
+    staying = _near_duplicates(placed, place).filter("stays").select(
+        *[F.col(c).alias(own) for c, own in zip(PLACE, place, strict=True)]
     )
+    return placed.join(staying, place).select(*[f"`{c}`" for c in df.columns])
