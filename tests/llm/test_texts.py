@@ -4,16 +4,18 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 from itertools import product
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidelake.lake import scratch_path
 from tidelake.llm import pieces, repair
-from tidelake.llm.hilbert import hilbert_index, write_shards
+from tidelake.llm.hilbert import curve_column, hilbert_index, write_shards
 from tidelake.llm.licenses import BASE_PHRASES, evaluate, postfix, scan_licenses
 from tidelake.llm.queries import QUERIES
 from tidelake.llm.tokens import Encoder
@@ -315,3 +317,52 @@ def test_shards_of_odd_rows(spark, clashing, no_docs):
         map(repr, clashing.collect())
     )
     assert write_shards(no_docs, ["source", "n_chars"], 4).rows(no_docs).count() == 0
+
+
+def test_equal_rows_are_cut(spark, monkeypatch):
+    rows = [(7, "x" * 99, "a")] * 4000 + [(i, "y" * i, "b") for i in range(400)]
+    rows += [(None, None, None)] * 50
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+    for piece_bytes in (32 << 20, 4000):
+        monkeypatch.setattr("tidelake.llm.hilbert.PIECE_BYTES", piece_bytes)
+        layout = write_shards(df, ["source", ("size", size)], 8)
+        back = layout.rows(df).select("doc_id", "text", "source", "shard", "slot", "curve")
+        found = back.collect()
+        assert Counter(tuple(r)[:3] for r in found) == Counter(rows)
+        total = Counter()
+        for r in found:
+            total[r.shard] += len(r.text or "") + 1
+        assert max(total.values()) - min(total.values()) <= 2 * 400
+        assert len({(r.shard, r.slot) for r in found}) == len(rows)
+        assert all(r.slot < 10_000 for r in found)
+        files = back.inputFiles()
+    # No file has much more than a piece: many files, though most rows are equal.
+    assert len(files) >= sum(len(t or "") + 1 for _, t, _ in rows) / 4000
+
+
+def test_an_outlier_leaves_the_steps_to_the_others(spark):
+    rows = [(i, "t", f"https://site{i % 40:02d}.example/") for i in range(4000)]
+    rows += [(4000, "t", "!odd one"), (4001, "t", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = df.select("source", curve_column(df, ["source", "doc_id"], 8).alias("curve")).collect()
+    layout = write_shards(df, ["source", ("none", F.lit(0))], 8)
+    held = layout.rows(df).groupBy("shard").agg(F.collect_set("source").alias("held")).collect()
+    assert len({r.curve for r in found}) > 1000
+    assert all(len(r.held) <= 40 // 8 + 3 for r in held)
+
+
+def test_slots_of_files_cut_by_a_record_limit(spark):
+    rows = [(i, "t" * (i % 50), "ab"[i % 2]) for i in range(700)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "9")
+    try:
+        layout = write_shards(df, ["source", "doc_id"], 4)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    check_shards(
+        layout.rows(df).select(
+            "*", (F.octet_length("text") + 1).alias("size"), F.crc32("text").alias("text_crc32")
+        ).collect(),
+        {i: t for i, t, _ in rows}, 4,
+    )
