@@ -252,6 +252,26 @@ def test_licenses(spark, no_docs):
     assert scan_licenses(no_docs).count() == 0
 
 
+@pytest.mark.parametrize(
+    "tag, labels, score",
+    [
+        ("MIT-->", "mit", 1.0), ("BSD-3-Clause*/", "bsd", 1.0), ("GPL-2.0+", "gpl", 1.0),
+        ("see", "unknown", 0.5), ("banana", "unknown", 0.5), ("LicenseRef-Foo", "unknown", 0.5),
+        ("NONE", "", 0.0), ("NOASSERTION", "", 0.0), ("MIT OR banana", "mit,unknown", 1.0),
+    ],
+)
+def test_identifiers_are_looked_up(spark, tag, labels, score):
+    texts = {1: f"<!-- SPDX-License-Identifier: {tag}\nrest", 2: "mit license\n" * 3}
+    rows = scan_licenses(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    found = sorted(rows.collect())
+    check_base(found, texts)
+    assert (found[0].labels, found[0].score) == (labels, score)
+    assert (found[1].labels, found[1].score) == ("mit", 0.8)
+    listed = scan_licenses(rows.select("doc_id", F.lit(texts[1]).alias("text")),
+                           identifiers=["banana", "see", "mit", "licenseref-foo"])
+    assert all("unknown" not in r.labels for r in listed.collect() if "GPL" not in tag and "BSD" not in tag)
+
+
 def test_op5_on_the_table(spark, docs):
     texts = {r.doc_id: r.text for r in docs.collect()}
     check_base(QUERIES["op5_licenses"](spark, SF).collect(), texts)
