@@ -488,6 +488,25 @@ def test_reply_trees(spark):
     assert format_chats(df.limit(0)).count() == 0
 
 
+def test_repeated_messages_count_once(spark):
+    rows = [
+        ("t", 1, None, "user", "q", 0.0), ("t", 2, 1, "assistant", "a", 1.0),
+        ("t", 2, 1, "assistant", "a", 1.0), ("t", 2, 1, "assistant", "b", 9.0),
+        ("t", 3, 2, "user", "more", 0.0), ("t", 1, None, "user", "q", 0.0),
+        ("t", None, 3, "assistant", "without an id", 9.0),
+        (None, 1, None, "user", "x", 0.0), (None, 1, None, "user", "x", 0.0),
+        (None, 2, 1, None, None, None), (None, 2, 1, None, None, None),
+    ]
+    kinds = "tree string, message bigint, parent bigint, role string, text string, score double"
+    df = spark.createDataFrame(rows, kinds).withColumn("branch", F.lit("x"))
+    read = read_chats(format_chats(df, per_tree=9)).collect()
+    found = {(r.tree, r.branch): ([(t.role, t.text) for t in r.turns], r.learnt) for r in read}
+    assert len(read) == len(found) and found == {
+        ("t", 1): ([("user", "q"), ("assistant", "a"), ("user", "more")], ["a"]),
+        (None, 1): ([("user", "x"), ("", "")], []),
+    }
+
+
 def test_long_and_repeated_conversations(spark):
     rows = [(1, i, "user" if i % 2 else "assistant", f"turn {i} \\ <s>") for i in range(70)]
     rows += [(2, 0, "a\nb", "x" * 200_000), (2, 0, "a\nb", "x" * 200_000), (2, None, "[INST]", None)]

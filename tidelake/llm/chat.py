@@ -5,9 +5,11 @@ joins the pairs found so far with jumps twice as long, so a thread of n messages
 rounds. Of each tree the paths with the highest mean score stay.
 
 Nulls and edge cases: a null text or role counts as empty, a null score as 0. A message whose
-parent is null or missing is a root. Messages must have unique ids within their tree; of repeated
-ids all rows would take part. Messages on a cycle of parents have no root and form no path. Equal
-scores are ordered by the leaf's id. An empty table gives no rows. Other columns are not read.
+parent is null or missing is a root. Rows without a tree id are one tree. Of rows with one tree and
+message id the smallest by parent, role, text and score takes part, nulls first, so repeated rows
+change nothing; rows without a message id take no part. Messages on a cycle of parents have no root
+and form no path. Equal scores are ordered by the leaf's id. An empty table gives no rows. Texts of
+any length are kept whole; a conversation must fit into one string. Other columns are not read.
 All work is DataFrame code.
 """
 
@@ -57,8 +59,12 @@ def linear_replies(df: DataFrame, tree: str, turn: str, role: str, text: str) ->
     )
 
 
-def _same(a: DataFrame, b: DataFrame, left: str, right: str) -> Column:
-    return a["tree"].eqNullSafe(b["tree"]) & (a[left] == b[right])
+def single_messages(messages: DataFrame) -> DataFrame:
+    """One row for each message id of a tree: tree, message, parent, role, text, score."""
+    rest = ["parent", "role", "text", "score"]
+    return messages.filter("message IS NOT NULL").groupBy("tree", "message").agg(
+        F.min(F.struct(*rest)).alias("row")
+    ).select("tree", "message", *[F.col("row")[c].alias(c) for c in rest])
 
 
 def leaf_paths(messages: DataFrame) -> DataFrame:
@@ -119,6 +125,7 @@ def best_paths(
 
     Paths are ranked by the mean score of their messages, ties by the smaller leaf id.
     """
+    messages = stage(single_messages(messages))
     paths = leaf_paths(messages)
     full = stage(
         paths.alias("p").join(
