@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from proofs import scans
 from tidelake.lake import Lake
 from tidelake.operators.numbering import (
-    preview, preview_tables, sample_by_key, sample_every_nth, surrogate_key,
+    chunk_number, preview, preview_tables, sample_by_key, sample_every_nth, surrogate_key,
 )
 from tidelake.sinks.ranges import base_of_range
 from tidelake.sources.csv import number_lines, sample_lines
@@ -57,6 +57,23 @@ def test_rows_in_skewed_partitions_and_none_at_all(spark):
         surrogate_key(spark.range(3), "id")
 
 
+def test_numbers_of_files_cut_by_a_record_limit(spark):
+    names = {
+        "part-00001-1f4b0a52-c123-4c5d-9e1f-c77a00aa11bb-c012.snappy.parquet": 12,
+        "part-00001-1f4b0a52-c123-4c5d-9e1f-c77a00aa11bb.c003.snappy.parquet": 3,
+        "part-00001-c4b0a522-aaaa-4c5d-9e1f-177a00aa11bb.parquet": 0,
+    }
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = df.select("name", chunk_number(F.col("name")).alias("chunk")).collect()
+    assert {r.name: r.chunk for r in found} == names
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        rows = surrogate_key(spark.range(200), "n", ["id"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted((r.id, r.n) for r in rows) == [(i, i + 1) for i in range(200)]
+
+
 @pytest.mark.parametrize("rows, want", [(0, []), (99, []), (100, [99]), (1000, None)])
 def test_every_hundredth_row(spark, rows, want):
     got = numbers(sample_every_nth(spark.range(rows), 100, ["id"], unique=True), "id")

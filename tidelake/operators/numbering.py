@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidelake.lake import Lake, scratch_path, stage
 from tidelake.operators.joins import broadcast_if_small
@@ -29,6 +29,15 @@ def with_address(df: DataFrame, is_scan: bool = False) -> DataFrame:
     )
 
 
+def chunk_number(file: Column) -> Column:
+    """Place of a written file among those of its task, of which a record limit makes several.
+
+    It stands last in the name, after the run's id, which may hold signs that look like it.
+    """
+    number = F.regexp_extract(file, r"[-.]c(\d+)\.[^-]*$", 1)
+    return F.coalesce(number.try_cast("bigint"), F.lit(0))
+
+
 def surrogate_key(
     df: DataFrame,
     name: str = "dwid",
@@ -65,9 +74,7 @@ def surrogate_key(
         .select(
             "*",
             F.regexp_extract(file, r"^part-(\d+)", 1).cast("bigint").alias(_FILE),
-            F.coalesce(
-                F.regexp_extract(file, r"-c(\d+)", 1).try_cast("bigint"), F.lit(0)
-            ).alias(_CHUNK),
+            chunk_number(file).alias(_CHUNK),
             F.col("_metadata.row_index").alias(_ROW),
         )
     )
