@@ -110,6 +110,36 @@ def test_repair_round_trip_and_random_access(terminals):
             assert len(data) < 4 * len(ids)
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    equal = np.zeros(1 << 20, np.uint32)
+    sequence, rules, _ = repair.compress(equal, 50_257)
+    assert len(sequence) + len(rules) <= 40
+    pick = np.random.default_rng(3)
+    ids = np.concatenate([np.tile(pick.integers(0, 60_000, 400), 30) for _ in range(60)])
+    for terminals in (60_000, 65_530):  # the second one has room for six rules of 16 bits
+        sequence, rules, rounds = repair.compress(ids, terminals)
+        pairs = Counter(zip(sequence[:-1].tolist(), sequence[1:].tolist()))
+        assert max(pairs.values(), default=0) < repair.LEAST_COUNT
+        assert sum(rounds) == len(rules) > 6
+
+
+def test_a_long_expansion_is_read_in_part():
+    ids = np.tile(np.arange(1000), 1000).astype(np.uint32)
+    at = np.arange(0, len(ids) + 1, 1000)
+    data = repair.write_payload(
+        ids, at, np.arange(1000), np.zeros(1000, bool), 65_530
+    )
+    shard = repair.Payload(data)
+    assert (shard.ids() == ids).all() and len(data) < len(ids)
+    shard._expansions = None  # what is asked for must not need the whole shard
+    pick = random.Random(4)
+    for _ in range(200):
+        a = pick.randrange(len(ids))
+        b = min(len(ids), a + pick.randrange(1500))
+        assert (shard.ids(a, b) == ids[a:b]).all()
+    assert (shard.document(999) == np.arange(1000)).all()
+
+
 @pytest.fixture(scope="module")
 def model():
     return pieces.load_model(PIECES)

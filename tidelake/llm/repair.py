@@ -3,8 +3,8 @@
 Documents are range-sorted by id, encoded, and gathered into shards of about ``SHARD_TOKENS`` ids.
 Each shard has a grammar of its own. Re-Pair replaces the most frequent pair of neighbours by a new
 symbol, again and again; here a round replaces many frequent pairs at once, chosen so that no two
-of them can overlap (a symbol is only the left or only the right part of the round's pairs). The
-shard stores the rules, the length of each symbol's expansion and the sequence that is left; to
+of them can overlap (a symbol is only the left or only the right part of the round's pairs). Rounds
+go on until no pair has ``LEAST_COUNT`` places. The shard stores the rules, the length of each symbol's expansion and the sequence that is left; to
 read some ids, the lengths lead to the few symbols to expand.
 
 The file format is a folder of Parquet files with one row per shard: ``part`` and ``number`` (shards
@@ -37,7 +37,7 @@ MAGIC, VERSION = 0x52505347, 1
 HEADER = 8  # magic, version, bytes of a symbol, terminals, documents, rounds, rules, symbols
 SHARD_TOKENS = 1 << 20
 #: A pair must be this frequent to become a rule, and this many rules are made in one round.
-LEAST_COUNT, ROUND_RULES, ROUNDS = 12, 3000, 5
+LEAST_COUNT, ROUND_RULES = 12, 3000
 #: Text taken at once from an Arrow batch.
 SLICE_BYTES = 12_000_000
 
@@ -80,9 +80,12 @@ def _chosen(pairs: np.ndarray, half: int, most: int) -> np.ndarray:
 def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """What is left of the ids, the rules (left, right) and the number of rules of each round."""
     half, kind = (16, np.uint32) if terminals < 1 << 16 else (32, np.uint64)
-    room = (1 << 16) - terminals if half == 16 else 1 << 20
+    room = (1 << 16) - terminals if half == 16 else 1 << 31
     sequence, rules, rounds = ids.astype(kind), [], []
-    while len(rounds) < ROUNDS and room and len(sequence) > 1:
+    while len(sequence) > 1:
+        if not room:  # the symbols no longer fit into 16 bits
+            half, kind, room = 32, np.uint64, 1 << 31
+            sequence = sequence.astype(kind)
         pairs = (sequence[:-1] << kind(half)) | sequence[1:]
         found = np.sort(pairs)
         first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
@@ -110,12 +113,13 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, l
         keep = np.ones(len(sequence), bool)
         keep[at + 1] = False
         sequence = sequence[keep]
-        rules.append(np.stack([new >> kind(half), new & kind((1 << half) - 1)], axis=1))
+        parts = np.stack([new >> kind(half), new & kind((1 << half) - 1)], axis=1)
+        rules.append(parts.astype(np.int64))
         rounds.append(len(new))
         room -= len(new)
     if not rules:
         return sequence, np.zeros((0, 2), np.int64), rounds
-    return sequence, np.concatenate(rules).astype(np.int64), rounds
+    return sequence, np.concatenate(rules), rounds
 
 
 def write_payload(
@@ -156,6 +160,7 @@ class Payload:
         length = self._take("<u4", rules)
         self.sequence = self._take(f"<u{size}", symbols)
         self.length = np.concatenate([np.ones(self.terminals, np.int64), length])
+        self.upto: np.ndarray | None = None  # ends of the sequence's symbols, once asked for
 
     def _take(self, kind: str, n: int) -> np.ndarray:
         found = np.frombuffer(self.data, kind, n, self.place)
@@ -176,19 +181,40 @@ class Payload:
             done += n
         return pool, begin
 
+    def all_ids(self) -> np.ndarray:
+        """All ids of the shard; every symbol is expanded once."""
+        pool, at = self._expansions()
+        return pool[ranges(at[self.sequence], self.length[self.sequence])]
+
     def ids(self, begin: int = 0, end: int | None = None) -> np.ndarray:
-        """The ids from ``begin`` to ``end``; only symbols that overlap them are expanded."""
-        end = int(self.at[-1]) if end is None else end
+        """The ids from ``begin`` to ``end``; all of them if no end is given.
+
+        Symbols are replaced by their parts level by level, and those outside are left out at
+        every level by their lengths, so the work goes by the ids asked for and the depth.
+        """
+        if end is None:
+            return self.all_ids()[begin:]
         if begin >= end:
             return np.zeros(0, np.uint32)
-        upto = np.cumsum(self.length[self.sequence])
-        first = int(np.searchsorted(upto, begin, side="right"))
-        last = int(np.searchsorted(upto, end, side="left")) + 1
-        symbols = self.sequence[first:last]
-        pool, at = self._expansions()
-        found = pool[ranges(at[symbols], self.length[symbols])]
-        skip = begin - (int(upto[first - 1]) if first else 0)
-        return found[skip : skip + end - begin]
+        if self.upto is None:
+            self.upto = np.cumsum(self.length[self.sequence])
+        first = int(np.searchsorted(self.upto, begin, side="right"))
+        last = int(np.searchsorted(self.upto, end, side="left")) + 1
+        symbols = self.sequence[first:last].astype(np.int64)
+        start = int(self.upto[first - 1]) if first else 0
+        while True:
+            after = start + np.cumsum(self.length[symbols])
+            inside = np.flatnonzero((after > begin) & (after - self.length[symbols] < end))
+            start = int(after[inside[0]] - self.length[symbols[inside[0]]])
+            symbols = symbols[inside]
+            split = symbols >= self.terminals
+            if not split.any():
+                return symbols.astype(np.uint32)
+            at = np.cumsum(1 + split) - 1 - split
+            parts = np.repeat(symbols, 1 + split)
+            rule = self.rules[symbols[split] - self.terminals]
+            parts[at[split]], parts[at[split] + 1] = rule[:, 0], rule[:, 1]
+            symbols = parts
 
     def document(self, i: int) -> np.ndarray:
         return self.ids(int(self.at[i]), int(self.at[i + 1]))
@@ -287,7 +313,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
         for batch in batches:
             for part, begin, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 shard = Payload(data)
-                ids = shard.ids().astype("<u4")
+                ids = shard.all_ids().astype("<u4")
                 raw, at = memoryview(ids.tobytes()), shard.at
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at[:-1], at[1:])]
                 columns = [
