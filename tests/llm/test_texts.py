@@ -110,6 +110,28 @@ def test_repair_round_trip_and_random_access(terminals):
             assert len(data) < 4 * len(ids)
 
 
+def test_token_files_of_repeated_rows_and_clashing_columns(spark, tmp_path, clashing):
+    rows = [(None, "one and the same text")] * 3000 + [(1, None)] * 1000
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # it would join these small tasks
+    spark.conf.set(merge, "false")
+    try:
+        repair.write_tokens(df, str(tmp_path / "equal"), BPE, 2)
+    finally:
+        spark.conf.unset(merge)
+    found = repair.read_tokens(spark, str(tmp_path / "equal")).orderBy("start").collect()
+    assert [tuple(r.ids) for r in found] == [tuple(x) for x in encoded([t for _, t in rows])]
+    shards = repair.read_shards(spark, str(tmp_path / "equal"))
+    assert shards.select("part").distinct().count() > 2  # a group of equal rows is spread
+    named = clashing.withColumns({c: F.lit("x") for c in ("id", "tie", "part", "place_file", "begin")})
+    repair.write_tokens(named, str(tmp_path / "named"), BPE, 2)
+    found = repair.read_tokens(spark, str(tmp_path / "named")).collect()
+    want = Counter((r.doc_id, *ids) for r, ids in zip(
+        clashing.select("doc_id", "text").collect(),
+        encoded([r.text for r in clashing.select("doc_id", "text").collect()]), strict=True))
+    assert Counter((r.doc_id, *r.ids) for r in found) == want
+
+
 def test_grammar_goes_on_until_no_pair_is_frequent():
     equal = np.zeros(1 << 20, np.uint32)
     sequence, rules, _ = repair.compress(equal, 50_257)

@@ -14,7 +14,8 @@ eight header numbers of ``HEADER``, document ids, null marks, document offsets,
 expansion lengths, sequence.
 
 Nulls and edge cases: a null text is empty, so its document is the end id alone. A null id sorts
-first and is kept as null. Repeated ids are documents of their own, ordered by text hash. A very
+first and is kept as null. Repeated ids are documents of their own, ordered by text hash,
+and equal rows by the place they were read from, so that many of them go to many tasks. A very
 long text makes a longer shard: a document never spans two. An empty table gives a folder
 without rows. Columns other than the id and the text are not read.
 """
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidelake.llm.common import per_process, ranges, slices, utf8
+from tidelake.llm.common import per_process, ranges, reads_files, slices, utf8, with_place
 from tidelake.llm.tokens import Encoder, with_end
 from tidelake.operators.joins import broadcast_if_small
 
@@ -286,10 +287,11 @@ def write_tokens(
         if out.held:
             yield out.flush()
 
-    rows = df.select(
-        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
-        F.xxhash64(text_col).alias("tie"),
-    ).repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
+    given = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    placed, place = with_place(given, reads_files(given))
+    order = ["id", "tie", *place]
+    rows = placed.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order)
+    rows = rows.sortWithinPartitions(*order).select("id", "text")
     # A reader takes a row group's rows at once, so groups are kept small.
     rows.mapInArrow(shards, FILE_SCHEMA).write.option("parquet.block.size", 16 << 20).option(
         "compression", "zstd"
