@@ -250,6 +250,34 @@ def test_stream_keeps_a_short_window(model):
     assert out == best_ids(model, text)
 
 
+@pytest.mark.parametrize("alone", [0, 5, 1 << 30])
+def test_both_forms_of_the_search_agree(model, monkeypatch, alone):
+    monkeypatch.setattr(pieces, "ALONE", alone)
+    monkeypatch.setattr(pieces, "LANES", 40)  # several groups of cuts
+    pick = random.Random(6)
+    texts = ["".join(pick.choice("etainos日é=\ue000▁") for _ in range(pick.randrange(200))) for _ in range(90)]
+    texts += ["=" * n for n in (1, 15, 16, 17, 33, 300)] + ["-=" * 90, "a" * 100 + "=" * 100, "▁" * 50]
+    texts += random_texts(30, 9)
+    ids, at = pieces.encode(model, pa.array(texts))
+    for i, text in enumerate(texts):
+        want = best_ids(model, " " + text) if text else []
+        assert ids[at[i] : at[i + 1]].tolist() == want
+
+
+def test_lanes_keep_a_short_window(model):
+    pick = random.Random(8)
+    words = ["the", "national", "restoration", "of", "town"]
+    texts = ["".join(pick.choice(words) for _ in range(pick.randrange(1, 300))) for _ in range(70)]
+    points = np.array([ord(c) for t in texts for c in t], np.int32)
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    lanes = pieces.Lanes(model, points, at)
+    ids, count = lanes.run()
+    assert lanes.end > 1000 and lanes.window <= 4 * model.longest
+    begin = np.cumsum(count) - count
+    for i, text in enumerate(texts):
+        assert ids[begin[i] : begin[i] + count[i]].tolist() == best_ids(model, text)
+
+
 def test_encode_texts(spark, clashing, no_docs):
     rows = pieces.encode_texts(clashing, PIECES).collect()
     assert len(rows) == clashing.count() and all(r.round_trip for r in rows)

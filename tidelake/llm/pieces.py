@@ -6,8 +6,10 @@ boundary in the window and a pointer back. Whenever the ways back from all bound
 meet in one boundary, what lies before it is decided, and its ids are given out.
 
 The ways surely meet wherever no piece of the vocabulary spans two neighbouring characters. Texts
-are cut there (in practice around words), and each distinct cut of a slice is searched once: short
-ones in lock-step, one character of all of them at a time; longer ones by the streaming search.
+are cut there (in practice around words), and each distinct cut of a slice is searched once. The
+search is there in two forms, with the same window and the same rule for what is decided: ``Lanes``
+reads one character of many cuts at a time, ``Stream`` reads one cut that comes in parts, which is
+the faster way for the longest few, where hardly any other cut is left to go along.
 
 A file of pieces found by merging stores no probabilities but ranks. By Zipf's law the log
 probability of the piece of rank r is near -log(r), and that is the score used here, in whole
@@ -40,13 +42,15 @@ MARK = "▁"
 #: Stands for a space mark of the text itself in a search: a surrogate, which no text can hold. It
 #: is in no piece, and its bytes are those of the space mark.
 OWN_MARK = "\ud800"
-#: Cuts up to this many characters are searched in lock-step.
-LOCKSTEP = 48
 #: Cuts searched together.
 LANES = 1 << 14
+#: So many of the longest cuts of a slice are searched one by one.
+ALONE = 64
 SLICE_BYTES = 3_000_000
 #: Score of a byte, in millionths; lower than that of any piece.
 BYTE_SCORE = -20_000_000
+#: Score of a boundary that no piece has reached yet.
+LOWEST = np.iinfo(np.int64).min // 2
 
 
 class Model:
@@ -254,70 +258,129 @@ class Stream:
         return out
 
 
-def _lockstep(model: Model, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of many short texts of code points, one after the other, and the number for each.
+class Lanes:
+    """The search over many texts of code points at once: a step reads one more character of each.
 
-    Boundaries of all texts advance together. Bytes of a character have ids below zero, -1 -
-    code point, here.
+    A piece is met at its begin, so the ring holds the boundary of the step and, as far as pieces
+    that have begun reach, those ahead of it. The ways of these boundaries are looked back on when
+    ``longest`` more characters have come, later where nothing is decided for long; what they share
+    is given out, and the pointers before it are dropped.
     """
-    n, length = len(at) - 1, np.diff(at)
-    longest = int(length.max())
-    lanes = np.argsort(-length, kind="stable")  # long ones first: the live ones are a prefix
-    live = np.searchsorted(-length[lanes], -np.arange(longest + 1), side="right")
-    codes = np.zeros((longest, n), np.int32)
-    for t in range(longest):
-        codes[t, : live[t + 1]] = text[at[lanes[: live[t + 1]]] + t]
-    letters = model.letters[codes]
-    octets = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
-    best = np.full((longest + 1, n), np.iinfo(np.int64).min // 2, np.int64)
-    best[0] = 0
-    back = np.zeros((longest + 1, n), np.int8)  # characters of the last piece
-    piece = np.zeros((longest + 1, n), np.int32)
-    for t in range(longest):
-        now = live[t + 1]
-        value = best[t, :now] + BYTE_SCORE * octets[t, :now]
-        better = np.flatnonzero(value > best[t + 1, :now])
-        best[t + 1, better] = value[better]
-        back[t + 1, better] = 1
-        piece[t + 1, better] = -1 - codes[t, better]
-        lane = np.arange(now)
-        node = np.zeros(now, np.int64)
-        for end in range(t, min(t + model.longest, longest)):
-            if end > t:
-                keep = lane < live[end + 1]
+
+    def __init__(self, model: Model, text: np.ndarray, at: np.ndarray):
+        self.model, self.text = model, text
+        self.letters = model.letters[text]
+        self.octets = 1 + (text >= 0x80).astype(np.int64) + (text >= 0x800) + (text >= 0x10000)
+        length = np.diff(at)
+        self.lanes = np.argsort(-length, kind="stable")  # long ones first: the live are a prefix
+        self.length, self.first = length[self.lanes], at[:-1][self.lanes]
+        self.end = int(length.max())
+        # How many texts have so many characters.
+        self.live = np.searchsorted(-self.length, -np.arange(self.end + 2), side="right")
+        n, ring = len(length), model.longest + 1
+        self.best = np.full((ring, n), LOWEST, np.int64)  # of boundary b at b % (longest + 1)
+        self.best[0] = 0
+        self.begin = np.zeros((ring, n), np.int32)  # begin of the last piece before it
+        self.piece = np.zeros((ring, n), np.int32)  # and its id; of bytes: -1 - code point
+        self.base = 0  # the first boundary that a live text has not left behind
+        self.done = np.zeros(n, np.int64)  # the last decided boundary of each text
+        self.again = min(model.longest, self.end)  # boundary at which to look back
+        self.begins = np.zeros((self.again, n), np.int32)  # of the boundaries after ``base``
+        self.pieces = np.zeros((self.again, n), np.int32)
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # text, end, id
+        self.window = 0  # most boundaries that were ever undecided
+
+    def run(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after the other, and the number for each.
+
+        Bytes of a character have ids below zero, -1 - code point, here.
+        """
+        for t in range(self.end):
+            self._step(t)
+            if t + 1 == self.again:
+                self._decide(t + 1)
+        owner, end, ids = (np.concatenate(c) for c in zip(*self.found, strict=True))
+        return ids[np.lexsort((end, owner))], np.bincount(owner, minlength=len(self.lanes))
+
+    def _step(self, t: int) -> None:
+        """All pieces that begin at boundary t. After that, the next boundary's way is known."""
+        model, ring, now = self.model, self.model.longest + 1, self.live[t + 1]
+        here, to = self.best[t % ring], (t + 1) % ring
+        place = self.first[:now] + t
+        value = here[:now] + BYTE_SCORE * self.octets[place]
+        better = np.flatnonzero(value > self.best[to, :now])
+        self.best[to, better] = value[better]
+        self.begin[to, better] = t
+        self.piece[to, better] = -1 - self.text[place[better]]
+        lane, node = np.arange(now), np.zeros(now, np.int64)
+        for last in range(t, min(t + model.longest, self.end)):
+            if last > t:
+                keep = lane < self.live[last + 1]
                 lane, node = lane[keep], node[keep]
-            to = model.base[node] + letters[end, lane]
-            keep = model.check[to] == node
+            at = model.base[node] + self.letters[self.first[lane] + last]
+            keep = model.check[at] == node
             if not keep.all():
-                lane, to = lane[keep], to[keep]
+                lane, at = lane[keep], at[keep]
             if not len(lane):
                 break
-            node = to
-            hit = model.accept[to] >= 0
-            own, to = lane[hit], to[hit]
-            value = best[t, own] + model.score[to]
+            node = at
+            hit = model.accept[at] >= 0
+            own, at = lane[hit], at[hit]
+            value = here[own] + model.score[at]
             # Longer pieces come first; only a better one, or any against bytes, replaces.
-            held = best[end + 1, own]
-            wins = (value > held) | ((value == held) & (piece[end + 1, own] < 0))
-            own, to = own[wins], to[wins]
-            best[end + 1, own] = value[wins]
-            back[end + 1, own] = end + 1 - t
-            piece[end + 1, own] = model.accept[to]
-    # The ways back, of all texts at once.
-    place = length[lanes].copy()
-    steps, owners = [], []
-    lane = np.flatnonzero(place)
-    while len(lane):
-        steps.append(piece[place[lane], lane])
-        owners.append(lane)
-        place[lane] -= back[place[lane], lane]
-        lane = lane[place[lane] > 0]
-    if not steps:
-        return np.zeros(0, np.int32), np.zeros(n, np.int64)
-    step = np.repeat(np.arange(len(steps)), [len(o) for o in owners])
-    owner = lanes[np.concatenate(owners)]
-    order = np.lexsort((-step, owner))
-    return np.concatenate(steps)[order], np.bincount(owner, minlength=n)
+            slot = (last + 1) % ring
+            held = self.best[slot, own]
+            wins = (value > held) | ((value == held) & (self.piece[slot, own] < 0))
+            own, at = own[wins], at[wins]
+            self.best[slot, own] = value[wins]
+            self.begin[slot, own] = t
+            self.piece[slot, own] = model.accept[at]
+        here[:now] = LOWEST  # the place of boundary t + ring
+        self.begins[t - self.base, :now] = self.begin[to, :now]
+        self.pieces[t - self.base, :now] = self.piece[to, :now]
+
+    def _decide(self, end: int) -> None:
+        """Give out texts that end here or before, and what is decided of the others."""
+        base, n = self.base, self.live[end + 1]
+        shared = self._shared(end, n)
+        self.window = max(self.window, end - base)
+        place = np.concatenate([shared, self.length[n : len(self.done)]])
+        lane = np.flatnonzero(place > self.done)
+        while len(lane):
+            row = place[lane] - 1 - base
+            self.found.append((self.lanes[lane], place[lane], self.pieces[row, lane]))
+            place[lane] = self.begins[row, lane]
+            lane = lane[place[lane] > self.done[lane]]
+        self.done, self.base = shared, int(shared.min()) if n else end
+        wait = end - self.base
+        self.again = min(end + max(self.model.longest, wait), self.end)
+        kept = slice(self.base - base, end - base)
+        for name in ("begins", "pieces"):
+            rows = np.zeros((self.again - self.base, n), np.int32)
+            rows[:wait] = getattr(self, name)[kept, :n]
+            setattr(self, name, rows)
+
+    def _shared(self, end: int, n: int) -> np.ndarray:
+        """The last boundary of each of the first n texts that all its ways back share.
+
+        Every way on goes through this boundary, or by a piece that has begun before it.
+        """
+        base, ring = self.base, self.model.longest + 1
+        ways = np.zeros((end - base + 1, n), bool)
+        if not n:
+            return np.zeros(0, np.int64)
+        ways[-1] = True
+        for ahead in range(end + 1, end + ring - 1):
+            own = np.flatnonzero(self.best[ahead % ring, :n] > LOWEST)
+            ways[self.begin[ahead % ring, own] - base, own] = True
+        left = ways.sum(axis=0)
+        for at in range(end - base, 0, -1):  # the farthest boundary goes one piece back
+            own = np.flatnonzero(ways[at] & (left > 1))
+            to = self.begins[at - 1, own] - base
+            ways[at, own] = False
+            left[own] -= ways[to, own]
+            ways[to, own] = True
+        return base + ways.argmax(axis=0)
 
 
 def _with_bytes(model: Model, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -349,19 +412,18 @@ def search(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     length = np.diff(at)
     count = np.zeros(len(length), np.int64)
     order, ids = [], []
-    short = np.flatnonzero(length <= LOCKSTEP)
-    short = short[np.argsort(length[short], kind="stable")]
-    for i in range(0, len(short), LANES):
-        lanes = short[i : i + LANES]
+    by_length = np.argsort(length, kind="stable")
+    by_length = by_length[length[by_length] > 0]
+    many = max(0, len(by_length) - ALONE)
+    for i in range(0, many, LANES):
+        lanes = by_length[i : min(i + LANES, many)]
         lane_at = np.concatenate([[0], np.cumsum(length[lanes])])
-        if not lane_at[-1]:
-            continue
-        found, n = _lockstep(model, points[ranges(at[lanes], length[lanes])], lane_at)
+        found, n = Lanes(model, points[ranges(at[lanes], length[lanes])], lane_at).run()
         found, n = _with_bytes(model, found, n)
         count[lanes] = n
         order.append(lanes)
         ids.append(found)
-    for i in np.flatnonzero(length > LOCKSTEP).tolist():
+    for i in by_length[many:].tolist():
         stream = Stream(model)
         text = points[at[i] : at[i + 1]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
         found = stream.push(text) + stream.finish()
