@@ -202,6 +202,27 @@ def test_mixing_rows_without_ids_of_their_own(spark, ids):
         assert abs(taken[r.source] - r.target) <= 0.02 * r.target
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_mixing_of_many_sources(spark, monkeypatch, small):
+    """Sizes over five powers of ten, so that the level rises several times."""
+    if not small:
+        monkeypatch.setattr("tidelake.operators.joins.BROADCAST_BYTES", 1)
+        monkeypatch.setattr("tidelake.operators.joins.HOT_ROWS", 20)
+    rows = [(i, "w " * int(2 ** (i % 17)), f"s{i % 400:03}" if i % 400 else None) for i in range(400)]
+    rows += [(1000 + i, "w w", "s007") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix(df).collect()
+    assert sorted(r.doc_id for r in found) == sorted(r[0] for r in rows)
+    sizes = {}
+    for r in found:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+    want = water_level(sizes)
+    for r in found:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(want[r.source], rel=1e-9)
+        assert abs(r.copies - r.target / r.source_size) < 1 or r.source == "s007"
+
+
 def test_mixing_odd_rows(spark, tricky, clashing, no_docs):
     rows = mixing.mix(tricky).collect()
     assert len(rows) == tricky.count()

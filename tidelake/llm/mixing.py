@@ -26,11 +26,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidelake.lake import stage
 from tidelake.llm.common import free_name, with_place
-from tidelake.operators.joins import broadcast_if_small
+from tidelake.operators.joins import join_dimension
 from tidelake.operators.numbering import surrogate_key
 
 # Weights of the sources in code point order, repeating.
@@ -51,39 +51,48 @@ def n_words(text: Column) -> Column:
     ).cast("bigint")
 
 
+def water_level(rows: DataFrame) -> float:
+    """The level at which the sum of all min(most, level * weight) is that of the sizes.
+
+    It rises from 0: sources that are full at a level keep what they hold, and the rest is shared
+    by the others, until no more of them are full. A rise is one aggregation. With each one the
+    words that are left or the weight that is not full are halved at least, so there are few.
+    """
+    level, before = 0.0, -1
+    while True:
+        is_full = F.col("full_at") <= level
+        words, held, weight, n = rows.agg(
+            F.sum("source_size"), F.sum(F.when(is_full, F.col("most"))),
+            F.sum(F.when(~is_full, F.col("weight"))), F.count_if(is_full),
+        ).first()
+        if n == before or weight is None:
+            return level
+        level, before = (words - (held or 0)) / weight, n
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """source, source_size, target, copies (whole) and chance (of one more), one row per source.
 
-    The targets are a water level: with the sources in the order of the level at which they are
-    full, the first ones are full and the others get level * weight. Windows here run over one row
-    per source.
+    Sources may be as many as documents: they are numbered by a range sort, written once, and the
+    driver sees four sums of them at a time.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    in_order = Window.orderBy(F.col("source").asc_nulls_last())
-    number = F.row_number().over(in_order) - 1
+    ordered = totals.withColumn("no_source", F.col("source").isNull())
+    number = F.col("number") - 1
     weight = F.element_at(
-        F.array(*[F.lit(float(w)) for w in WEIGHTS]), (number % len(WEIGHTS) + 1).cast("int")
-    )
-    most = (F.col("source_size") * MOST_COPIES).cast("double")
-    full = totals.withColumn("weight", weight).withColumn("most", most).withColumn(
-        "level", F.col("most") / F.col("weight")
-    )
-    by_level = Window.orderBy("level", F.col("source").asc_nulls_last())
-    upto = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    onward = by_level.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = by_level.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # The level if all sources before this one are full and the others are not.
-    level = (
-        F.sum(F.col("source_size")).over(everything) - F.coalesce(F.sum("most").over(upto), F.lit(0.0))
-    ) / F.sum("weight").over(onward)
-    # It rises from source to source while these are full, and falls after that.
-    water = F.max("from_here").over(everything)
-    share = full.withColumn("from_here", level).withColumn("water", water).withColumn(
-        "target", F.least(F.col("most"), F.col("water") * F.col("weight"))
+        F.array(*[F.lit(w) for w in WEIGHTS]), (number % len(WEIGHTS) + 1).cast("int")
     )
+    rows = stage(
+        surrogate_key(ordered, "number", ["no_source", "source"], unique=True).select(
+            "source", "source_size", weight.alias("weight"),
+            (F.col("source_size") * MOST_COPIES).alias("most"),
+        )
+    ).withColumn("full_at", F.col("most") / F.col("weight"))
+    target = F.least(F.col("most").cast("double"), F.lit(water_level(rows)) * F.col("weight"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     near = F.when(F.abs(ratio - F.round(ratio)) < EPSILON, F.round(ratio)).otherwise(ratio)
-    return share.select("source", "source_size", "target", near.alias("ratio")).select(
+    shares = rows.withColumn("target", target).withColumn("ratio", near)
+    return shares.select(
         "source", "source_size", "target", F.floor("ratio").cast("int").alias("copies"),
         (F.col("ratio") - F.floor("ratio")).alias("chance"),
     )
@@ -260,10 +269,11 @@ def _mix(
     """
     order = ["source", "doc_id", "size"]
     docs = surrogate_key(docs.select(*order, *carried), "unit", order)
-    targets = stage(source_targets(docs))
-    units = docs.join(broadcast_if_small(targets), docs["source"].eqNullSafe(targets["source"])).select(
-        "unit", docs["doc_id"], docs["source"], "size", "source_size", "target", *carried,
-        F.col("copies").alias("whole"), "chance",
+    own = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    targets = stage(source_targets(docs).withColumn("key", own))
+    units = join_dimension(
+        docs, targets, own, "key",
+        {"source_size": "source_size", "target": "target", "copies": "whole", "chance": "chance"},
     )
     open_units = units.filter("chance > 0").select(
         "source", F.col("unit").alias("key"), "size", "chance"
