@@ -76,6 +76,11 @@ class Model:
         for rank, (_, i, piece) in enumerate(sorted(ranks)):
             self.pieces[piece] = (i, -round(1e6 * math.log(rank + 2)))
         self.longest = max(map(len, self.pieces))
+        lengths: dict[str, set[int]] = {}
+        for piece in self.pieces:
+            lengths.setdefault(piece[-1], set()).add(len(piece))
+        # Lengths of the pieces that end with a character, the longest first.
+        self.lengths = {c: sorted(own, reverse=True) for c, own in lengths.items()}
         self._trie()
         self._joined()
         self.width = np.array([len(d) for d in self.decoded], np.int64)
@@ -199,15 +204,17 @@ class Stream:
         return out
 
     def _push(self, text: str) -> None:
-        longest, pieces, best = self.model.longest, self.model.pieces, self.best
-        ring, first = longest + 1, len(self.text) + 1
+        pieces, lengths, best = self.model.pieces, self.model.lengths, self.best
+        ring, first = self.model.longest + 1, len(self.text) + 1
         self.text = whole = self.text + text
         for end in range(first, len(whole) + 1):
-            value = best[(end - 1) % ring] + BYTE_SCORE * len(_octets(whole[end - 1]))
+            sign = whole[end - 1]
+            value = best[(end - 1) % ring] + BYTE_SCORE * len(_octets(sign))
             begin_of, id_of = end - 1, -1
             # A piece wins over bytes, the longer piece over the shorter.
-            for begin in range(max(0, end - longest), end):
-                piece = pieces.get(whole[begin:end])
+            for length in lengths.get(sign, ()):
+                begin = end - length
+                piece = pieces.get(whole[begin:end]) if begin >= 0 else None
                 if piece:
                     score = best[begin % ring] + piece[1]
                     if score > value or (score == value and id_of < 0):
