@@ -3,19 +3,21 @@
 import hashlib
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from test_texts import best_ids
 
 import corpus_pipeline
 from check import compare
 from tidelake.lake import scratch_path
-from tidelake.llm import langid, mixing, setjoin
+from tidelake.llm import langid, mixing, pieces, setjoin
 from tidelake.llm.chat import CONTROLS, escape, format_chats, linear_replies, read_chats, unescape
 from tidelake.llm.digests import DigestIndex, mark_copies, without_copies
-from tidelake.llm.queries import ORACLES, QUERIES
+from tidelake.llm.queries import ORACLES, QUERIES, tokenizer_file
 from tidelake.llm.topk import exact_top_k
 
 SF = "/root/testdata/sf0.001"
@@ -288,8 +290,8 @@ def grams(text, n=5):
     return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def check_near(rows, texts, threshold=0.8):
-    """texts: unique id to text."""
+def near_groups(texts, threshold=0.8):
+    """Of texts by unique id: the number of links of each, and the first id of its group."""
     sets = {i: grams(t) for i, t in texts.items()}
     links, root = dict.fromkeys(texts, 0), {i: i for i in texts}
 
@@ -305,8 +307,13 @@ def check_near(rows, texts, threshold=0.8):
             links[b] += 1
             low, high = sorted((find(a), find(b)))
             root[high] = low
+    return links, {i: find(i) for i in texts}
+
+
+def check_near(rows, texts):
+    links, first = near_groups(texts)
     for r in rows:
-        assert (r.links, r.class_id) == (links[r.doc_id], find(r.doc_id))
+        assert (r.links, r.class_id) == (links[r.doc_id], first[r.doc_id])
         assert r.stays == (r.class_id == r.doc_id)
 
 
@@ -543,23 +550,36 @@ def test_long_and_repeated_conversations(spark):
 
 
 def test_pipeline(spark, docs):
-    table = docs
-    sizes = []
+    """What each stage makes of its input is what brute force makes of it."""
+    table, outs = docs, {}
     for name, function in corpus_pipeline.STAGES:
         out = function(spark, table, SF).cache()
         if name != "tokens":
             assert out.columns == docs.columns
-        sizes.append(out.count())
-        table = out
-    assert sizes[0] >= sizes[1] >= sizes[2] and sizes[3] == sizes[4]
-    # What each filter kept is what the operators say, by brute force.
+        outs[name], table = out.collect(), out
     texts = {r.doc_id: r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    assert sorted(r.doc_id for r in outs["language"]) == sorted(texts)
     last = {}
     for i, t in texts.items():
         key = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
         last[key] = max(i, last.get(key, i))
-    assert sizes[:2] == [len(texts), len(last)]
-    assert corpus_pipeline.run(spark, SF).count() == sizes[4]
+    assert sorted(r.doc_id for r in outs["exact_dedup"]) == sorted(last.values())
+    _, first = near_groups({i: texts[i] for i in last.values()})
+    assert sorted(r.doc_id for r in outs["near_dedup"]) == sorted(set(first.values()))
+    sizes, taken = {}, {}
+    words = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+    for stage, found in (("near_dedup", sizes), ("mixing", taken)):
+        for r in outs[stage]:
+            found[r.source] = found.get(r.source, 0) + words(r)
+    for source, target in water_level(sizes).items():
+        assert abs(taken.get(source, 0) - target) <= 0.35 * target  # ten documents a source
+    copies = Counter(r.doc_id for r in outs["mixing"])
+    assert set(copies) <= set(first.values()) and max(copies.values()) <= 3
+    assert Counter(r.doc_id for r in outs["tokens"]) == copies
+    model = pieces.load_model(tokenizer_file("piece_bpe_32k.model"))
+    for row in {r.doc_id: r for r in outs["tokens"]}.values():
+        assert row.ids == best_ids(model, " " + texts[row.doc_id])
+    assert corpus_pipeline.run(spark, SF).count() == len(outs["tokens"])
 
 
 def test_pipeline_of_odd_rows(spark, clashing, no_docs):

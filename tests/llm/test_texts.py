@@ -284,8 +284,15 @@ def test_encode_texts(spark, clashing, no_docs):
     assert all(crc(r.ids) == r.ids_crc32 and len(r.ids) == r.n_tokens for r in rows)
     assert {r.n_tokens for r in rows if r.doc_id in (3, 4, 5)} == {0}
     assert pieces.encode_texts(no_docs, PIECES).count() == 0
+
+
+def test_op9_on_the_table(spark, docs, model):
     rows = QUERIES["op9_sentencepiece"](spark, SF).collect()
-    assert all(r.round_trip for r in rows)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(rows) == len(texts) and all(r.round_trip for r in rows)
+    for r in rows:
+        text = texts[r.doc_id]
+        assert r.ids == (best_ids(model, " " + text) if text else [])
 
 
 def words_of(text):
