@@ -13,7 +13,7 @@ from tidelake.sources.tables import (
     partitioned_parquet_scan, scan_commits, snapshot_scan,
 )
 from tidelake.versions import (
-    current_folders, part_name, read_folders, remove_unpublished, replace_partitions,
+    current_folders, merge_log, part_name, read_folders, remove_unpublished, replace_partitions,
 )
 
 COLUMNS = "k bigint, v string, ts bigint, p string"
@@ -377,3 +377,39 @@ def test_a_run_that_fails_before_the_switch_leaves_the_old_rows(spark, path, mon
     replace_partitions(df.withColumn("v", F.lit("new")), path, ["p"])
     assert now() == [(1, "new"), (2, "new")]
     assert not any(os.path.exists(folder) for folder in old.values())
+
+
+def test_a_merged_log_says_the_same(spark, path, monkeypatch):
+    given = [batch(spark, (i, f"v{i}", 1, "xyz"[i % 3])) for i in range(4)]
+    for i, df in enumerate(given):
+        upsert(df, path, "01" if i < 2 else f"0{i}")
+    log = f"{path}/_commits"
+    before, commits = rows(read(spark, path)), rows(commits_of(spark, path))
+    assert merge_log(spark, log) == 4 and len(spark.read.parquet(log).inputFiles()) == 1
+    assert (rows(read(spark, path)), rows(commits_of(spark, path))) == (before, commits)
+    assert merge_log(spark, log) == 1  # nothing left to do
+    # Used stamps stay used, and late rows still know the later ones.
+    upsert(batch(spark, (9, "new", 1, "x")), path, "01")
+    assert (9, "01002") in rows(read(spark, path), "k", "_commit_time")
+    upsert(batch(spark, (3, "late", 9, "x")), path, "02")  # changes nothing: no commit
+    assert (3, "v3") in rows(read(spark, path), "k", "v")
+    before, commits = rows(read(spark, path)), rows(commits_of(spark, path))
+    latest = latest_table_commit(spark, path)
+
+    def dies(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tidelake.versions.remove_folders", dies)
+        with pytest.raises(OSError):
+            merge_log(spark, log)
+    assert len(spark.read.parquet(log).inputFiles()) == 3  # merged rows and the ones they repeat
+    assert rows(read(spark, path)) == before
+    assert rows(commits_of(spark, path).distinct()) == commits
+    assert rows(incremental_table_scan(spark, path, SCHEMA, "02")) == [
+        r for r in before if r[3] > "02"
+    ]
+    upsert(batch(spark, (10, "z", 1, "z")), path, "04")
+    assert latest_table_commit(spark, path) > latest and len(rows(read(spark, path))) == len(before) + 1
+    assert merge_log(spark, log) == 4 and len(spark.read.parquet(log).inputFiles()) == 1
+    assert rows(commits_of(spark, path).filter("stamp < '04'")) == commits

@@ -146,6 +146,22 @@ def append_log(
     local.coalesce(1).write.mode("append").parquet(path)
 
 
+def merge_log(spark: SparkSession, folder: str) -> int:
+    """Make one file of a log's many, and return how many there were.
+
+    Every row stays, since what a log says of old commits goes on to matter: which stamps are used,
+    and which commits have been taken in. The merged file is there before the others are removed, and
+    readers of a log count equal rows once, so a run that dies in between has changed nothing. No
+    other run may write to or read the table's log meanwhile.
+    """
+    log = spark.read.parquet(folder)
+    files = log.inputFiles()
+    if len(files) > 1:
+        log.distinct().coalesce(1).write.mode("append").parquet(folder)
+        remove_folders(spark, files)
+    return len(files)
+
+
 def replace_partitions(
     df: DataFrame,
     path: str,
