@@ -473,3 +473,23 @@ def test_slots_of_files_cut_by_a_record_limit(spark):
         ).collect(),
         {i: t for i, t, _ in rows}, 4,
     )
+
+
+@pytest.mark.parametrize("most", [400_000, 5, 0])
+def test_chunks_of_earlier_slices_are_not_encoded_again(monkeypatch, most):
+    slices = [["the same words, again and again", "", "ünïcode words " + "x" * 100, "12 34\n\n ab"],
+              ["again the same words", "new ones, 12 and " + "x" * 100], random_texts(50)]
+    monkeypatch.setattr(Encoder, "KEPT", most)
+    encoder, given = Encoder(BPE), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda own: given.extend(own) or encode(own))
+    for texts in slices + slices:
+        given.clear()
+        ids, bounds = encoder.encode(*repair.utf8(pa.array(texts)))
+        found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert found == [want[:-1] for want in encoded(texts)]
+        assert len(encoder.kept) <= most
+    if most > 5:  # nothing is new any more but what is too long to be kept
+        given.clear()
+        encoder.encode(*repair.utf8(pa.array(slices[0])))
+        assert {t for t in given if t} == {" " + "x" * 100}

@@ -89,10 +89,14 @@ def compress(ids: np.ndarray, terminals: int) -> tuple[np.ndarray, np.ndarray, l
             sequence = sequence.astype(kind)
         pairs = (sequence[:-1] << kind(half)) | sequence[1:]
         found = np.sort(pairs)
-        first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-        count = np.diff(first, append=len(found))
-        often = np.flatnonzero(count >= LEAST_COUNT)
-        often = found[first[often[np.argsort(-count[often], kind="stable")]]]
+        # A pair that is the same as the one LEAST_COUNT - 1 places on is frequent.
+        alike = np.flatnonzero(found[LEAST_COUNT - 1 :] == found[: 1 - LEAST_COUNT])
+        if not len(alike):
+            break
+        alike_pairs = found[alike]
+        first = np.flatnonzero(np.concatenate([[True], alike_pairs[1:] != alike_pairs[:-1]]))
+        count = np.diff(first, append=len(alike))  # less LEAST_COUNT - 1 each
+        often = alike_pairs[first[np.argsort(-count, kind="stable")]]
         new = often[_chosen(often, half, min(room, ROUND_RULES))]
         if not len(new):
             break

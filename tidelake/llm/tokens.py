@@ -1,4 +1,5 @@
-"""Token ids of whole texts, fast where words repeat: each distinct chunk of a slice is encoded once.
+"""Token ids of whole texts, fast where words repeat: each distinct chunk of a slice is encoded once,
+and the ids of short chunks are kept for later slices.
 
 A text is cut only where a byte-level tokenizer with the usual word pattern must begin a new
 pre-token, so that the ids of the chunks, one after the other, are those of the whole text:
@@ -13,6 +14,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidelake.llm.common import ranges, text_array
 
@@ -79,6 +81,8 @@ class Encoder:
 
     #: Chunks joined for one call of the tokenizer.
     JOINED = 1000
+    #: Chunks whose ids are kept from slice to slice: this many, each of at most so many bytes.
+    KEPT, KEPT_BYTES = 400_000, 40
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,11 +96,37 @@ class Encoder:
         self.width = np.zeros(self.size, np.int64)  # bytes of each token
         for token, number in vocabulary.items():
             self.width[number] = len(token)
+        self.kept = text_array(np.zeros(0, np.uint8), np.zeros(1, np.int64))
+        self.kept_ids, self.kept_count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [x.ids for x in found]
 
+    def _known_pool(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_pool``, but chunks that an earlier slice had are not encoded again."""
+        place = pc.fill_null(pc.index_in(chunks, self.kept), -1).to_numpy().astype(np.int64)
+        fresh = np.flatnonzero(place < 0)
+        if not len(fresh):
+            begin = np.cumsum(self.kept_count) - self.kept_count
+            own = self.kept_count[place]
+            return self.kept_ids[ranges(begin[place], own)], own
+        new = chunks.take(pa.array(fresh))
+        new_ids, new_count = self._pool(new)
+        ids, count = (
+            np.concatenate([self.kept_ids, new_ids]), np.concatenate([self.kept_count, new_count])
+        )
+        place[fresh] = len(self.kept) + np.arange(len(fresh))
+        begin = np.cumsum(count) - count
+        room = self.KEPT - len(self.kept)
+        if room > 0:
+            short = np.flatnonzero(pc.binary_length(new).to_numpy() <= self.KEPT_BYTES)[:room]
+            own, own_count = len(self.kept) + short, new_count[short]
+            self.kept = pa.concat_arrays([self.kept, new.take(pa.array(short))])
+            self.kept_ids = np.concatenate([self.kept_ids, ids[ranges(begin[own], own_count)]])
+            self.kept_count = np.concatenate([self.kept_count, own_count])
+        return ids[ranges(begin[place], count[place])], count[place]
+
     def _pool(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks, one chunk after the other, and the number of ids of each."""
         _, offsets, data = chunks.buffers()
@@ -149,7 +179,7 @@ class Encoder:
         if len(bounds) < 2:
             return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
         chunks = text_array(data, bounds).dictionary_encode()
-        pool, count = self._pool(chunks.dictionary)
+        pool, count = self._known_pool(chunks.dictionary)
         codes = chunks.indices.to_numpy()
         begin = np.cumsum(count) - count
         own = count[codes]
