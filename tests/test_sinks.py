@@ -247,3 +247,26 @@ def test_landing_a_domain_empties_what_is_not_fed(lake):
     assert raw.count() == 0
     with pytest.raises(ValueError):
         land_domain(lake, "geo", {"stg.geo_other": zone})
+
+
+def test_partitions_are_written_without_a_sort_of_the_rows(spark, path):
+    """Nor in the session's setting is anything left behind."""
+    from tidelake.lake import OPEN_PARTITIONS, WRITERS_SETTING, open_partitions, stage
+
+    before = spark.conf.get(WRITERS_SETTING)
+    with open_partitions(spark):
+        assert int(spark.conf.get(WRITERS_SETTING)) == OPEN_PARTITIONS
+    with pytest.raises(KeyError), open_partitions(spark):
+        raise KeyError
+    assert spark.conf.get(WRITERS_SETTING) == before
+    # More partitions than files that may be open, in one task, in no order.
+    rows = spark.range(5000).selectExpr("id", "cast(id * 7 % 40 as string) AS p").coalesce(1)
+    overwrite_partitions(rows, path, ["p"], rebalance=False)
+    schema = rows.schema
+    got = partitioned_parquet_scan(spark, path, schema).collect()
+    assert sorted((r.id, r.p) for r in got) == [(i, str(i * 7 % 40)) for i in range(5000)]
+    # A task's rows of few partitions are written as they come, however they alternate.
+    staged = stage(spark.range(1000).selectExpr("id", "cast(id % 3 as string) AS p").coalesce(1),
+                   partition_by=["p"])
+    assert [r.id for r in staged.filter("p = '1'").collect()] == list(range(1, 1000, 3))
+    assert len(staged.inputFiles()) == 3

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -83,15 +83,38 @@ def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
             done.result()
 
 
-def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+#: Setting of the files of partitions that a task may have open at a time.
+WRITERS_SETTING = "spark.sql.maxConcurrentOutputFileWriters"
+#: Partitions whose files a task has open at a time; its rows are sorted only if it meets more.
+OPEN_PARTITIONS = 16
+
+
+@contextmanager
+def open_partitions(spark: SparkSession) -> Iterator[None]:
+    """Within it, tasks write rows of some partitions as they come, without sorting them first.
+
+    The sort would hold all of a task's rows, as wide as they are, or spill them. Files of a task
+    that meets more partitions are written from sorted rows, as usual.
+    """
+    before = spark.conf.get(WRITERS_SETTING)
+    spark.conf.set(WRITERS_SETTING, max(int(before), OPEN_PARTITIONS))
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS_SETTING, before)
+
+
+def stage(df: DataFrame, path: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to scratch space and read it back.
 
     The result has no lineage to recompute when executors are lost, its size is known to
-    the optimizer, and every later use of it reads the same rows.
+    the optimizer, and every later use of it reads the same rows. Readers that filter by the
+    columns ``partition_by`` (they come last) read only the rows that they ask for.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark)
-    df.write.parquet(path)
+    with open_partitions(spark):
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

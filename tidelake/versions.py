@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidelake.lake import partition_folder, path_exists, remove_folders
+from tidelake.lake import open_partitions, partition_folder, path_exists, remove_folders
 
 VERSION = "_version"
 LOG_SCHEMA = StructType(
@@ -118,11 +118,12 @@ def _write(
     # The partitions are noted while they are written: one small row for each.
     seen = Observation()
     values = F.struct(*[F.col(c).cast("string").alias(c) for c in partition_by])
-    (
-        laid.observe(seen, F.collect_set(values).alias("parts"))
-        .withColumn(VERSION, F.lit(run))
-        .write.mode("append").partitionBy(*partition_by, VERSION).parquet(path)
-    )
+    with open_partitions(df.sparkSession):
+        (
+            laid.observe(seen, F.collect_set(values).alias("parts"))
+            .withColumn(VERSION, F.lit(run))
+            .write.mode("append").partitionBy(*partition_by, VERSION).parquet(path)
+        )
     found = {part_name(row.asDict()): row.asDict() for row in seen.get["parts"] or []}
     return list(found.values()), [f"{part}/{VERSION}={run}" for part in found]
 
