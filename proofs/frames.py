@@ -92,15 +92,17 @@ NATION_ZONES = """
 def line_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The order lines as four trip feeds; each line is in exactly one of them.
 
-    The joined lines are written once, as the feeds' common origin.
+    The joined lines are written once, as the feeds' common origin, in a folder for each feed.
     """
-    trips = stage(
-        line_trips(spark, sf_dir).select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
-            "o_orderdate", "pulocationid", "dolocationid",
-        )
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    hired = F.when(status == "O", "fhv").when(status == "F", "fhvhv")
+    feed = F.when(flag == "A", "yellow").when(flag == "R", "green").when(flag == "N", hired)
+    lines = line_trips(spark, sf_dir).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate",
+        "o_orderdate", "pulocationid", "dolocationid", feed.alias("feed"),
     )
+    trips = stage(lines.filter("feed IS NOT NULL"), partition_by=["feed"])
     pickup, dropoff = F.col("o_orderdate").cast("string"), F.col("l_shipdate").cast("string")
     at = [
         F.col("pulocationid").cast("bigint").alias("pulocationid"),
@@ -134,18 +136,17 @@ def line_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             *month,
         ]
 
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     hire = [pickup.alias("pickup_datetime"), dropoff.alias("dropoff_datetime"), *at]
     return {
-        "yellow": trips.filter(flag == "A").select(*taxi("tpep")),
-        "green": trips.filter(flag == "R").select(
+        "yellow": trips.filter("feed = 'yellow'").select(*taxi("tpep")),
+        "green": trips.filter("feed = 'green'").select(
             *taxi("lpep", status.alias("ehail_fee"), number.alias("trip_type"))
         ),
-        "fhv": trips.filter((flag == "N") & (status == "O")).select(
+        "fhv": trips.filter("feed = 'fhv'").select(
             base.alias("dispatching_base_num"), *hire,
             number.cast("string").alias("sr_flag"), *month,
         ),
-        "fhvhv": trips.filter((flag == "N") & (status == "F")).select(
+        "fhvhv": trips.filter("feed = 'fhvhv'").select(
             F.lit("HV1").alias("hvfhs_license_num"), base.alias("dispatching_base_num"), *hire,
             number.alias("sr_flag"), *month,
         ),

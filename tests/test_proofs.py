@@ -55,3 +55,46 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
         spark_entry.queries()[name](spark, SF_DIR).explain("formatted")
     for word in ("CartesianProduct", "NestedLoop", "Python", "SortMergeJoin"):
         assert word not in out.getvalue()
+
+
+def test_feeds_read_their_own_lines_only(spark):
+    from proofs.frames import line_feeds
+
+    for feed, df in line_feeds(spark, SF_DIR).items():
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        assert "PartitionFilters: [isnotnull(feed#" in out.getvalue()
+        assert f"= {feed})]" in out.getvalue()
+
+
+def test_dense_numbers_are_told_from_others(spark):
+    from proofs.marts import dense
+
+    def told(*numbers):
+        row = dense(spark.createDataFrame([(n, 0) for n in numbers], "dwid bigint, x int")).first()
+        return row.lowest, row.highest, row.numbers, row.n
+
+    assert told(*range(1, 40001)) == (1, 40000, 40000, 40000)
+    assert told(1, 2, 2, 70000) == (1, 70000, 3, 4)
+    assert told(-3, 0, 5, 5) == (-3, 5, 3, 4)
+
+
+def test_a_part_of_the_mixed_files_goes_to_many_tasks(spark, tmp_path):
+    """With small pieces asked for, each of the three parts lies in several files."""
+    rows = spark.range(0, 20000, 1, 8).selectExpr(
+        "id AS o_orderkey", "cast(id % 500 as int) AS o_custkey",
+        "id / 2 AS o_totalprice", "'1-URGENT' AS o_orderpriority",
+    )
+    for i in range(8):
+        own = rows.filter(f"o_orderkey div 2500 = {i}").coalesce(1)
+        own.write.mode("append").parquet(str(tmp_path / "orders.parquet"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "4KB")
+    try:
+        found = spark_entry.queries()["widen_types"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset(size)
+    files = [f.split("/part=")[1].split("/")[0] for f in found.inputFiles()]
+    assert {part: files.count(part) > 1 for part in files} == {"0": True, "1": True, "2": True}
+    assert sorted(r.k for r in found.collect()) == list(range(20000))
