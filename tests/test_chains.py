@@ -368,3 +368,46 @@ def test_single_jobs_make_the_same_mart_as_the_build(lake):
     for name in order:
         steps[name]()
     assert rows(lake.spark.table(lake.catalog_name(WIDE)), *columns) == want
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_ordered_wide_trips_are_gathered_while_short(spark, monkeypatch, limit):
+    """And not at all in place of a dimension that must be shuffled; the rows are the same."""
+    import contextlib
+    import io
+
+    from tidelake.plans import mart
+
+    schema = TABLES["dmt.tlc_union_trip"].schema
+    blank = {f.name: None for f in schema}
+    trips = [
+        {**blank, "tlc_trip_type": kind, "pickup_datetime": f"2020-0{1 + i % 2}-01 0{i % 5}:00:00",
+         "dropoff_datetime": "2020-03-01 00:00:00", "pulocationid": i % 4, "dolocationid": 1,
+         "year": "2020", "month": f"0{1 + i % 2}"}
+        for i, kind in enumerate(["yellow", "green"] * 20)
+    ]
+    df = spark.createDataFrame([tuple(t[f.name] for f in schema) for t in trips], schema)
+    zones = spark.createDataFrame(
+        [(i, "b", f"z{i}", "s") for i in range(3)],
+        "locationid bigint, borough string, zone string, service_zone string",
+    )
+    hours = spark.createDataFrame(
+        [(2020000100 + m * 10000 + h, "d", 1, h, 1, 1, "n", "n", True) for m in (1, 2) for h in range(4)],
+        "dwid bigint, db_date string, day int, hour int, quarter int, week int, day_name string,"
+        " month_name string, weekend_flag boolean",
+    )
+    if limit is not None:
+        monkeypatch.setattr("tidelake.operators.joins.BROADCAST_BYTES", limit)
+    order = ["tlc_trip_type", "pickup_datetime", "pulocationid"]
+    wide = mart.wide_trips(df, zones, hours, order_by=order, gather=["year", "month"])
+    known = [t for t in trips if t["pulocationid"] < 3 and int(t["pickup_datetime"][12]) < 4]
+    want = sorted(tuple(t[c] for c in order) for t in known)
+    rows = sorted(wide.collect(), key=lambda r: r.dwid)
+    assert [r.dwid for r in rows] == list(range(1, len(known) + 1))
+    assert [tuple(r[c] for c in order) for r in rows] == want
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        wide.explain()
+    plan = out.getvalue()
+    shuffle = plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert (plan.index("Join") < shuffle) == (limit is None)  # a plan is read from its end

@@ -156,3 +156,25 @@ def test_a_base_shifts_the_numbers(spark):
     counted = []
     df = surrogate_key(spark.range(7), "n", base_of=lambda n: counted.append(n) or 100)
     assert numbers(df, "n") == list(range(101, 108)) and counted == [7]
+
+
+@pytest.mark.parametrize("order", [[], ["k"]])
+def test_rows_to_number_are_picked_once(spark, order):
+    """Not also for the sample that finds the ranges of the order."""
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("k")).repartition(5)
+    counted, seen = [], spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def third(k):
+        seen.add(1)
+        return k % 3 == 0
+
+    def keep(rows):
+        return rows.filter(third.asNondeterministic()("k"))
+
+    numbered = surrogate_key(df, "n", order, True, lambda n: counted.append(n) or 100, keep)
+    rows = numbered.collect()
+    assert counted == [334] and seen.value == 1000
+    assert sorted(r.k for r in rows) == list(range(0, 1000, 3))
+    assert sorted(r.n for r in rows) == list(range(101, 435))
+    assert not order or all(r.n == 101 + r.k // 3 for r in rows)

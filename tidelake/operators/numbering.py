@@ -10,7 +10,6 @@ from tidelake.lake import Lake, scratch_path, stage
 from tidelake.operators.joins import broadcast_if_small
 
 _FILE = "_row_file"
-_CHUNK = "_row_chunk"
 _ROW = "_row_index"
 #: Columns that tell equal rows apart.
 ADDRESS = ["_tie_file", "_tie_row"]
@@ -44,57 +43,64 @@ def surrogate_key(
     order_by: Sequence[str] = (),
     unique: bool = False,
     base_of: Callable[[int], int] | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Put a dense number 1..n first, as a bigint.
 
     The rows are written once. A row's number is its position in its file plus the rows of all
-    files before it. Files are told apart by the numbers in their names, 16 bytes; their counts are
+    files before it. The files' rows are counted once, without reading a column; the counts are
     summed by thousands of files, so one task sees one row per thousand.
 
     Without ``order_by`` the order is arbitrary and no row is shuffled. With it, rows are
     range-sorted first. ``unique`` says that the order columns identify a row; otherwise equal
     rows are told apart by their address, so that a large group of them spreads over many
-    tasks. ``base_of`` gives the number before the first one for the number of rows.
+    tasks. ``base_of`` gives the number before the first one for the number of rows. ``keep`` picks
+    the rows to number without moving any to another task, as joins with broadcast rows do; with an
+    order it runs once, after the shuffle, and not also for the sample that finds the ranges.
     """
     if name in df.columns:
         raise ValueError(f"column {name} exists")
     columns = df.columns
-    if order_by and unique:
-        df = df.orderBy(*order_by)
-    elif order_by:
-        df = with_address(df).orderBy(*order_by, *ADDRESS).select(*columns)
+    keep = keep or (lambda rows: rows)
+    if order_by:
+        placed = df if unique else with_address(df)
+        order = [*order_by, *([] if unique else ADDRESS)]
+        df = keep(placed.repartitionByRange(*order)).sortWithinPartitions(*order).select(*columns)
+    else:
+        df = keep(df)
 
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.parquet(path)
-    file = F.col("_metadata.file_name")
     rows = (
         spark.read.schema(df.schema)
         .parquet(path)
         .select(
             "*",
-            F.regexp_extract(file, r"^part-(\d+)", 1).cast("bigint").alias(_FILE),
-            chunk_number(file).alias(_CHUNK),
+            F.col("_metadata.file_name").alias(_FILE),
             F.col("_metadata.row_index").alias(_ROW),
         )
     )
-    counts = rows.groupBy(_FILE, _CHUNK).agg(F.count("*").alias("rows")).withColumn(
-        "thousand", F.floor(F.col(_FILE) / 1000)
+    task = F.regexp_extract(_FILE, r"^part-(\d+)", 1).cast("bigint")
+    counts = stage(
+        rows.groupBy(_FILE).agg(F.count("*").alias("rows"))
+        .select(_FILE, "rows", task.alias("task"), chunk_number(F.col(_FILE)).alias("chunk"))
+        .withColumn("thousand", F.floor(F.col("task") / 1000))
     )
     before = Window.orderBy("thousand").rowsBetween(Window.unboundedPreceding, -1)
     thousands = counts.groupBy("thousand").agg(F.sum("rows").alias("all")).select(
         "thousand", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base")
     )
-    within = Window.partitionBy("thousand").orderBy(_FILE, _CHUNK).rowsBetween(
+    within = Window.partitionBy("thousand").orderBy("task", "chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = counts.withColumn(
         "since", F.coalesce(F.sum("rows").over(within), F.lit(0))
     ).join(thousands, "thousand").select(
-        _FILE, _CHUNK, (F.col("base") + F.col("since")).alias("_offset")
+        _FILE, (F.col("base") + F.col("since")).alias("_offset")
     )
-    base = base_of(rows.count()) if base_of else 0
-    return rows.join(broadcast_if_small(offsets), [_FILE, _CHUNK]).select(
+    base = base_of(counts.agg(F.sum("rows")).first()[0] or 0) if base_of else 0
+    return rows.join(broadcast_if_small(offsets), _FILE).select(
         (F.col("_offset") + F.col(_ROW) + (base + 1)).alias(name), *columns
     )
 

@@ -143,13 +143,15 @@ def wide_trips(
     trips: DataFrame, zones: DataFrame | Dimension, hours: DataFrame | Dimension,
     how: str = "inner", order_by: Sequence[str] = (), is_scan: bool = False,
     repeated_zones: bool = False, base_of: Callable[[int], int] | None = None,
+    gather: Sequence[str] = (),
 ) -> DataFrame:
     """The wide mart. ``dwid`` is dense and unique within the result.
 
     The trips that stay are numbered while their rows are short, and widened only as they are
     read. Where a dimension's key repeats, trips multiply, so the wide rows are numbered. Numbers
     that follow an order need equal trips told apart. ``is_scan`` says that the trips read
-    Parquet files; ``base_of`` is that of ``surrogate_key``.
+    Parquet files; ``base_of`` is that of ``surrogate_key``. ``gather`` names columns whose values
+    get few tasks each; unless a dimension must be shuffled, rows are moved while they are short.
     """
     columns = [c for c in TABLES[WIDE].schema.names if c != "dwid"]
     zones, hours = measured_zones(zones, repeated_zones), measured_hours(hours)
@@ -160,10 +162,20 @@ def wide_trips(
         wide = wide.select(*columns, *(ADDRESS if order else []))
         # Copies of one trip have its address, so the ends' zones tell them apart.
         ends = [f"{end}_{c}" for end in ("pu", "do") for c in ZONE_COLUMNS] if order else []
-        return surrogate_key(wide, "dwid", [*order, *ends], True, base_of).drop(*ADDRESS)
-    kept = known_trips(placed, zones, hours) if how == "inner" else placed
-    numbered = surrogate_key(kept, "dwid", order, True, base_of).drop(*ADDRESS)
-    return widen_trips(numbered, zones, hours, how).select("dwid", *columns)
+        numbered = surrogate_key(wide, "dwid", [*order, *ends], True, base_of).drop(*ADDRESS)
+        return gathered(numbered, gather)
+    in_place = zones.small and hours.small
+    keep = partial(known_trips, zones=zones, hours=hours) if how == "inner" else None
+    if keep and not in_place:
+        placed, keep = keep(placed), None
+    numbered = surrogate_key(placed, "dwid", order, True, base_of, keep).drop(*ADDRESS)
+    if in_place:
+        return widen_trips(gathered(numbered, gather), zones, hours, how).select("dwid", *columns)
+    return gathered(widen_trips(numbered, zones, hours, how).select("dwid", *columns), gather)
+
+
+def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df
 
 
 def build_union_trip(
@@ -213,11 +225,14 @@ def build_wide_trip(
     )
     hours = partitioned_parquet_scan(lake.spark, lake.path(HOURS), lake.schema(HOURS))
     base_of = partial(base_of_range, lake.spark, lake.path(WIDE), part_name(month or {}))
+    partition_by = lake.table(WIDE).partition_by
+    gather = partition_by if order_by and not month else ()
     with scratch_scope(lake.spark):
-        wide = wide_trips(trips, zones, hours, how, order_by, True, repeated_zones, base_of)
+        wide = wide_trips(
+            trips, zones, hours, how, order_by, True, repeated_zones, base_of, gather
+        )
         overwrite_partitions(
-            wide, lake.path(WIDE), lake.table(WIDE).partition_by,
-            rebalance=bool(order_by) and not month, then=registered(lake, WIDE),
+            wide, lake.path(WIDE), partition_by, rebalance=False, then=registered(lake, WIDE)
         )
 
 
